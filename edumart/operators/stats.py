@@ -53,30 +53,43 @@ def avg_of_stats(child: DataFrame, mapping: DataFrame, from_key: str, to_key: st
 
 def value_stats(df: DataFrame, keys: Sequence[str], value: str,
                 names: tuple[str, str, str] = ("mean", "median", "std")) -> DataFrame:
-    """Per-key mean, exact median (interpolated) and sample std (A2).
+    """Per-key mean, exact median (mean of the two middle values) and sample
+    standard deviation (A2).
 
     Plan: (1) histogram ``(keys, value) -> frequency`` in a codegen'd hash
-    aggregate, partial on the map side, so even a key with a third of all
+    aggregate, partial on the map side, so even a key holding a third of all
     rows reaches the shuffle as at most one row per distinct value per map
-    task; (2) on the small histogram, a window per key gives the mean, and a
-    second aggregate gives the weighted median (``percentile`` with a
-    frequency) and the two-pass sample standard deviation. A key with one
-    value has no std (NULL); a key whose values are all missing is kept with
-    NULL statistics.
+    task; (2) one window per key over the small histogram, ordered by value,
+    gives the running and total frequency and the value sum; (3) a plain hash
+    aggregate (no object aggregate, no sort fallback) picks the two middle
+    values by cumulative frequency and forms the two-pass sample variance.
+    A key with one value has no std (NULL); a key whose values are all
+    missing is kept with NULL statistics.
     """
     mean_n, median_n, std_n = names
     v, f = F.col(value), F.col("_f")
     hist = drop_null_keys(df.select(*keys, value), keys) \
         .groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_f"))
-    w = Window.partitionBy(*keys)
-    cnt = F.sum(F.when(v.isNotNull(), f)).over(w)
-    hist = hist.withColumn("_cnt", cnt)
-    hist = hist.withColumn("_mean", F.when(F.col("_cnt") > 0,
-                                           F.sum(v * f).over(w) / F.col("_cnt")))
-    dev2 = f * (v - F.col("_mean")) * (v - F.col("_mean"))
-    n = F.max("_cnt")
-    return hist.groupBy(*keys).agg(
-        F.max("_mean").alias(mean_n),
-        F.percentile(v, F.lit(0.5), f).alias(median_n),
-        F.when(n > 1, F.sqrt(F.sum(dev2) / (n - 1))).alias(std_n),
-    )
+    nn = F.when(v.isNotNull(), f)
+    ordered = Window.partitionBy(*keys).orderBy(v.asc_nulls_first())
+    running = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    whole = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    hist = hist.select(*keys, value, "_f",
+                       F.sum(nn).over(running).alias("_cum"),
+                       F.sum(nn).over(whole).alias("_n"),
+                       F.sum(v * f).over(whole).alias("_s"))
+    n, cum = F.col("_n"), F.col("_cum")
+    mean = F.when(n > 0, F.col("_s") / n)
+    lo_pos = F.floor((n + 1) / 2)        # 1-based positions of the middle pair
+    hi_pos = F.floor(n / 2) + 1
+    dev = v - mean
+    out = hist.groupBy(*keys).agg(
+        F.max(mean).alias(mean_n),
+        F.min(F.when(cum >= lo_pos, v)).alias("_lo"),
+        F.min(F.when(cum >= hi_pos, v)).alias("_hi"),
+        F.sum(f * dev * dev).alias("_ss"),
+        F.max(n).alias("_n"))
+    return out.select(
+        *keys, mean_n,
+        ((F.col("_lo") + F.col("_hi")) / 2).cast("double").alias(median_n),
+        F.when(F.col("_n") > 1, F.sqrt(F.col("_ss") / (F.col("_n") - 1))).alias(std_n))

@@ -3,5 +3,6 @@ from edumart.functions.scalar import (  # noqa: F401
     exact_mean,
     fill_category,
     null_if_token,
+    qcol,
     round_half_even,
 )

@@ -18,8 +18,14 @@ PANDAS_NA_TOKENS = (
 MISSING_CODE = "N"
 
 
+def qcol(name: str) -> Column:
+    """Column by its literal name, even when the name holds dots, commas or
+    spaces (the display labels do)."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def _col(c) -> Column:
-    return F.col(c) if isinstance(c, str) else c
+    return qcol(c) if isinstance(c, str) else c
 
 
 def round_half_even(c, places: int = 2) -> Column:

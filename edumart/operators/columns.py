@@ -7,13 +7,15 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from edumart.functions.scalar import qcol
+
 
 def project(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Projection by name list; missing names raise (the contract)."""
     missing = [c for c in cols if c not in df.columns]
     if missing:
         raise ValueError(f"missing columns: {missing}")
-    return df.select(*cols)
+    return df.select(*[qcol(c) for c in cols])
 
 
 def drop_like(df: DataFrame, pattern: str) -> DataFrame:
@@ -22,7 +24,7 @@ def drop_like(df: DataFrame, pattern: str) -> DataFrame:
 
 
 def move_first(df: DataFrame, col: str) -> DataFrame:
-    return df.select(col, *[c for c in df.columns if c != col])
+    return df.select(qcol(col), *[qcol(c) for c in df.columns if c != col])
 
 
 def drop_null_keys(df: DataFrame, keys: str | Sequence[str]) -> DataFrame:
@@ -31,10 +33,10 @@ def drop_null_keys(df: DataFrame, keys: str | Sequence[str]) -> DataFrame:
     keys = [keys] if isinstance(keys, str) else list(keys)
     cond = None
     for k in keys:
-        c = F.col(k).isNotNull()
+        c = qcol(k).isNotNull()
         cond = c if cond is None else cond & c
     return df.filter(cond)
 
 
 def rename(df: DataFrame, mapping: dict[str, str]) -> DataFrame:
-    return df.select(*[F.col(c).alias(mapping.get(c, c)) for c in df.columns])
+    return df.select(*[qcol(c).alias(mapping.get(c, c)) for c in df.columns])

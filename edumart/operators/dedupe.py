@@ -15,6 +15,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from edumart.functions.scalar import qcol
+
 ORDINAL = "_ordinal"
 
 
@@ -28,8 +30,8 @@ def dedupe_first(df: DataFrame, keys: str | Sequence[str], order: str = ORDINAL,
     payload = [c for c in df.columns if c not in keys]
     if order not in df.columns:
         raise ValueError(f"ordinal column {order!r} not in {df.columns}")
-    winner = F.min_by(F.struct(*[F.col(c) for c in payload]), F.col(order))
+    winner = F.min_by(F.struct(*[qcol(c) for c in payload]), qcol(order))
     out = df.groupBy(*keys).agg(winner.alias("_first")).select(
-        *keys, *[F.col(f"_first.{c}").alias(c) for c in payload])
+        *keys, *[F.col("_first")[c].alias(c) for c in payload])
     cols = [c for c in df.columns if keep_order_col or c != order]
-    return out.select(*cols)
+    return out.select(*[qcol(c) for c in cols])

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from edumart.functions.scalar import qcol
+
 
 def _keys(on) -> list[str]:
     return [on] if isinstance(on, str) else list(on)
@@ -20,19 +22,19 @@ def join_suffixed(left: DataFrame, right: DataFrame, on, how: str = "left",
     keys = _keys(on)
     clash = (set(left.columns) & set(right.columns)) - set(keys)
     lsx, rsx = suffixes
-    l2 = left.select(*[F.col(c).alias(c + lsx if c in clash else c) for c in left.columns])
-    r2 = right.select(*[F.col(c).alias(c + rsx if c in clash else c) for c in right.columns])
+    l2 = left.select(*[qcol(c).alias(c + lsx if c in clash else c) for c in left.columns])
+    r2 = right.select(*[qcol(c).alias(c + rsx if c in clash else c) for c in right.columns])
     joined = l2.join(r2, keys, how)
     order = [c + lsx if c in clash else c for c in left.columns]
     order += [c + rsx if c in clash else c for c in right.columns if c not in keys]
-    return joined.select(*order)
+    return joined.select(*[qcol(c) for c in order])
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, on, how: str = "inner") -> DataFrame:
     """Equi-join where a NULL key matches a NULL key (pandas ``merge``
     parity, J7). Key columns appear once, taken from whichever side has them."""
     keys = _keys(on)
-    r = right.select(*[F.col(c).alias(f"_r_{c}") if c in keys else F.col(c)
+    r = right.select(*[qcol(c).alias(f"_r_{c}") if c in keys else qcol(c)
                        for c in right.columns])
     cond = None
     for k in keys:

@@ -40,6 +40,7 @@ _SQL = {
     "scan_mart": _ORDERS_SEL,
     "sink_roundtrip": _ORDERS_SEL,
     "layer_publish": _ORDERS_SEL,
+    "landing_stream": _ORDERS_SEL,
     "na_tokens": "SELECT o_orderkey, nullif(o_orderstatus, 'P') AS status FROM orders",
     "manifest_missing": "SELECT 'absent.parquet' AS file_name",
     "route_by_filename": "SELECT 'customer' AS relation, count(*) AS n FROM customer UNION ALL SELECT 'orders', count(*) FROM orders",

@@ -146,6 +146,20 @@ def q_layer_partition_prune(spark, sf):
     return spark.read.parquet(path).filter(F.col("edition") == 1997).select("o_orderkey", "edition")
 
 
+def q_landing_stream(spark, sf):
+    """Stream-land the orders file into the bronze layer (AvailableNow), then
+    read what landed."""
+    from edumart.streaming import land, parquet_stream
+    schema = ("o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string")
+    stream = parquet_stream(spark, sf, schema, glob="orders.parquet").select(
+        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", edition().alias("edition"))
+    lake = scratch_path(spark, "stream_lake")
+    land(stream, lake, "orders", "2024-02-16", checkpoint=scratch_path(spark, "stream_ckpt")) \
+        .awaitTermination()
+    return spark.read.parquet(f"{lake}/bronze/orders").select(*[c for c, _ in ORDERS_SEL_TYPES])
+
+
 # ---------------------------------------------------------------- projection / scalar
 
 def q_project_registry(spark, sf):
@@ -384,6 +398,7 @@ QUERIES = {
     "manifest_missing": q_manifest_missing,
     "route_by_filename": q_route_by_filename,
     "layer_partition_prune": q_layer_partition_prune,
+    "landing_stream": q_landing_stream,
     "project_registry": q_project_registry,
     "fill_missing_category": q_fill_missing_category,
     "fill_zero_scores": q_fill_zero_scores,

@@ -87,6 +87,9 @@ _SQL = {
 }
 
 
+_SQL["course_mart_long"] = _SQL["course_mart"]
+
+
 def oracle_sql() -> dict[str, str]:
     """Equivalent DuckDB SQL per query (views: region nation customer
     supplier part orders lineitem events documents embeddings pages

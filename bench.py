@@ -2,8 +2,11 @@
 
 Runs the BASELINE queries through the DataFrame code on
 ``$BENCH_SF_DIR`` (default /root/testdata/sf0.1) with ``local[$BENCH_CPUS]``:
-one warm-up, then the median of ``$BENCH_REPS`` (default 5) timed runs each,
-wall time including planning and ``collect()``. Prints one JSON line.
+one warm-up, then the median of ``$BENCH_REPS`` (default 5) timed runs each.
+A run is wall time from building the DataFrame to holding the full result
+on the driver (fetched as Arrow batches, ``toArrow()``). Each run builds a
+fresh DataFrame, so no shuffle output is reused between runs. Prints one
+JSON line.
 """
 
 from __future__ import annotations
@@ -30,15 +33,16 @@ def main() -> None:
     cpus = int(os.environ.get("BENCH_CPUS", os.cpu_count() or 8))
     reps = int(os.environ.get("BENCH_REPS", "5"))
     names = sys.argv[1:] or HEADLINE
-    spark = build_session(f"local[{cpus}]", cpus)
+    extra = dict(kv.split("=", 1) for kv in os.environ.get("BENCH_CONF", "").split(",") if kv)
+    spark = build_session(f"local[{cpus}]", cpus, extra=extra)
     times, rows = {}, {}
     for name in names:
         q = QUERIES[name]
-        rows[name] = len(q(spark, sf_dir).collect())  # warm-up
+        rows[name] = q(spark, sf_dir).toArrow().num_rows  # warm-up
         samples = []
         for _ in range(reps):
             t0 = time.perf_counter()
-            q(spark, sf_dir).collect()
+            q(spark, sf_dir).toArrow()
             samples.append(time.perf_counter() - t0)
         times[name] = round(statistics.median(samples), 4)
     m = re.search(r"sf([0-9.]+)", sf_dir)
@@ -51,6 +55,7 @@ def main() -> None:
         "sf": float(m.group(1)) if m else sf_dir,
         "cpus": cpus,
         "reps": reps,
+        "fetch": "toArrow",
     }))
     spark.stop()
 

@@ -16,7 +16,7 @@ import json
 from pyspark.sql import SparkSession
 
 from edumart.plans.marts import ExtractLayout, build_marts, read_extracts
-from edumart.session import CLUSTER_CONF, checkpoint_root
+from edumart.session import CLUSTER_CONF, DRIVER_CONF, checkpoint_root
 
 
 def main(argv=None) -> None:
@@ -35,6 +35,8 @@ def main(argv=None) -> None:
     for k, v in CLUSTER_CONF.items():
         if k.startswith("spark.sql.") and spark.conf.get(k, None) in (None, ""):
             spark.conf.set(k, v)
+    for k, v in DRIVER_CONF.items():
+        spark.conf.set(k, v)
     checkpoint_root(spark)
     ex = read_extracts(spark, args.extracts, args.editions,
                        ExtractLayout(decimal_comma=args.decimal_comma))

@@ -85,3 +85,28 @@ def crosstab(df: DataFrame, keys: Sequence[str], code,
     counted_col = _c(counted) if counted is not None else F.lit(1)
     aggs = [F.count(F.when(code_col == v, counted_col)).alias(name) for v, name in cells]
     return drop_null_keys(df, keys).groupBy(*keys).agg(*aggs)
+
+
+def profile(df: DataFrame, keys: Sequence[str], means: Sequence[tuple[str, Column]] = (),
+            cells: Sequence[tuple[Column, str, str]] = (), counted=None, places: int = 2,
+            zero_fill: bool = False, scale: int = 4) -> DataFrame:
+    """Per-key profile of a *wide* source in one hash aggregate: rounded exact
+    means of ``means`` (name, column) and conditional counts for ``cells``
+    (code column, code, output name).
+
+    When the scores and several items sit in one table, this replaces the
+    stacked long form (one scan, one exchange, partial on the map side).
+    Sources split into one file per item use ``answers_long`` instead.
+    Keep the cell count moderate: an aggregate with more than ~100 output
+    fields leaves whole-stage codegen.
+    """
+    from edumart.functions.scalar import exact_mean, round_half_even
+
+    counted_col = _c(counted) if counted is not None else F.lit(1)
+    aggs = []
+    for name, col in means:
+        m = round_half_even(exact_mean(col, scale), places)
+        aggs.append((F.coalesce(m, F.lit(0.0)) if zero_fill else m).alias(name))
+    for code_col, code, name in cells:
+        aggs.append(F.count(F.when(_c(code_col) == code, counted_col)).alias(name))
+    return drop_null_keys(df, keys).groupBy(*keys).agg(*aggs)

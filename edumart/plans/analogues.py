@@ -28,7 +28,7 @@ from edumart.operators import (
     answers_long, avg_of_stats, chain_left, count_long, crosstab, dedupe_first,
     desc_nulls_last_order, domain_violations, drop_like, drop_null_keys,
     duplicate_keys, enrich, join_suffixed, mean_of_means, mean_scores, move_first,
-    null_safe_join, project, rollup, union_editions, value_stats, widen, with_position)
+    null_safe_join, profile, project, rollup, union_editions, value_stats, widen, with_position)
 from edumart.session import scratch_path
 from edumart.sources import (
     manifest_report, publish, read_delimited, read_mart, route_by_filename,
@@ -39,8 +39,26 @@ from edumart.sources import (
 NATION_MAX_ROWS = 1000
 
 
+# Schemas of the driver tables used here. Declaring them skips
+# the footer-inference job Spark runs for every schemaless parquet read.
+TABLE_SCHEMAS = {
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+                "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+                "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, "
+              "props string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    schema = TABLE_SCHEMAS.get(name)
+    return spark.read.schema(schema).parquet(path) if schema else spark.read.parquet(path)
 
 
 # ---------------------------------------------------------------- roles
@@ -150,9 +168,7 @@ def q_landing_stream(spark, sf):
     """Stream-land the orders file into the bronze layer (AvailableNow), then
     read what landed."""
     from edumart.streaming import land, parquet_stream
-    schema = ("o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
-              "o_orderdate timestamp_ntz, o_orderpriority string")
-    stream = parquet_stream(spark, sf, schema, glob="orders.parquet").select(
+    stream = parquet_stream(spark, sf, TABLE_SCHEMAS["orders"], glob="orders.parquet").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", edition().alias("edition"))
     lake = scratch_path(spark, "stream_lake")
     land(stream, lake, "orders", "2024-02-16", checkpoint=scratch_path(spark, "stream_ckpt")) \
@@ -346,7 +362,34 @@ MART_CELLS = [("status", "F", "st_f"), ("status", "O", "st_o"), ("status", "N",
               ("priority", "1-URGENT", "pr_1"), ("priority", "5-LOW", "pr_5")]
 
 
+def _mart_cells():
+    """(code column, code, name) cells of the analogue course mart: the status
+    item (P read as not answered) and two priority codes."""
+    status = fill_category(status_answer())
+    return [(status, "F", "st_f"), (status, "O", "st_o"), (status, "N", "st_n"),
+            (F.col("o_orderpriority"), "1-URGENT", "pr_1"), (F.col("o_orderpriority"), "5-LOW", "pr_5")]
+
+
 def q_course_mart(spark, sf):
+    # orders is a wide source (score and both items on one row): one
+    # aggregate profiles every course in a single scan and exchange.
+    o = table(spark, sf, "orders")
+    prof = profile(o.withColumn("course", F.col("o_custkey")), ["course"],
+                   means=[("score", injected_score())], cells=_mart_cells(), zero_fill=True)
+    age = round4(value_stats(ages(spark, sf).withColumnRenamed("o_custkey", "course"),
+                             ["course"], "l_quantity", AGE_NAMES), AGE_NAMES)
+    reg = join_suffixed(
+        registered(table(spark, sf, "customer")).select(
+            F.col("c_custkey").alias("course"), "c_mktsegment", "c_nationkey"),
+        _nation_dim(spark, sf), "c_nationkey", how="inner")
+    mart = chain_left(enrich(prof, reg, "course", how="left"), [age], "course")
+    return mart.select("course", "score", "c_nationkey", "n_name", "c_mktsegment",
+                       *[n for _, _, n in MART_CELLS], *AGE_NAMES)
+
+
+def q_course_mart_long(spark, sf):
+    """The same mart through the per-item long form (the plan used for
+    extracts split into one file per item)."""
     scored = table(spark, sf, "orders").select(F.col("o_custkey").alias("course"),
                                                injected_score().alias("score"))
     scores = mean_scores(scored, ["course"], ["score"], zero_fill=True)
@@ -371,22 +414,25 @@ def q_institution_mart(spark, sf):
     scores = _course_scores(spark, sf, injected=True, zero_fill=True)
     reg = _course_to_nation(spark, sf)
     inst_scores = mean_of_means(scores, reg, "o_custkey", "c_nationkey", ["score"])
-    cells = [("status", "F", "st_f"), ("status", "N", "st_n")]
-    counts = widen(rollup(_status_counts(spark, sf), reg, "o_custkey", "c_nationkey"),
-                   ["c_nationkey"], cells)
+    # counts straight per institution: respondent rows take their course's
+    # institution through the registry (bounded by the number of courses),
+    # then one conditional-count aggregate
+    o = table(spark, sf, "orders").join(reg, "o_custkey", "inner")
+    counts = crosstab(o, ["c_nationkey"], fill_category(status_answer()),
+                      [("F", "st_f"), ("N", "st_n")])
     mart = enrich(chain_left(inst_scores, [counts], "c_nationkey"), _nation_dim(spark, sf),
                   "c_nationkey", how="left", max_broadcast_rows=NATION_MAX_ROWS)
     return mart.select("c_nationkey", "n_name", "score", "st_f", "st_n")
 
 
 def q_all_editions_mart(spark, sf):
+    # every edition in one aggregate: the edition is part of the key
     keys = ["edition", "course"]
     o = table(spark, sf, "orders").select(edition().alias("edition"), F.col("o_custkey").alias("course"),
                                           "o_totalprice", "o_orderstatus")
-    scores = mean_scores(o.select(*keys, F.col("o_totalprice").alias("score")), keys, ["score"])
-    counts = widen(count_long(answers_long(o, keys, status_answer(), "status"), keys), keys,
-                   [("status", "F", "st_f"), ("status", "N", "st_n")])
-    return chain_left(scores, [counts], keys).select(*keys, "score", "st_f", "st_n")
+    status = fill_category(status_answer())
+    return profile(o, keys, means=[("score", F.col("o_totalprice"))],
+                   cells=[(status, "F", "st_f"), (status, "N", "st_n")])
 
 
 QUERIES = {
@@ -425,6 +471,7 @@ QUERIES = {
     "domain_violations": q_domain_violations,
     "duplicate_keys": q_duplicate_keys,
     "course_mart": q_course_mart,
+    "course_mart_long": q_course_mart_long,
     "institution_mart": q_institution_mart,
     "all_editions_mart": q_all_editions_mart,
 }

@@ -25,6 +25,11 @@ CLUSTER_CONF = {
     "spark.ui.enabled": "false",
 }
 
+# Driver-side: PySpark 4 captures the Python call stack for every Column it
+# builds (error context only). The capture dominates plan-building time for
+# wide aggregates, so jobs built here switch it off.
+DRIVER_CONF = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
+
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app_name: str = "edumart", extra: dict | None = None) -> SparkSession:
@@ -35,6 +40,7 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     conf = dict(CLUSTER_CONF)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions or os.cpu_count() or 8)
     conf["spark.sql.files.maxPartitionBytes"] = "128m"
+    conf.update(DRIVER_CONF)
     conf.update(extra or {})
     for k, v in conf.items():
         b = b.config(k, v)

@@ -52,7 +52,8 @@ def avg_of_stats(child: DataFrame, mapping: DataFrame, from_key: str, to_key: st
 
 
 def value_stats(df: DataFrame, keys: Sequence[str], value: str,
-                names: tuple[str, str, str] = ("mean", "median", "std")) -> DataFrame:
+                names: tuple[str, str, str] = ("mean", "median", "std"),
+                exact_median: bool = True, accuracy: int = 10000) -> DataFrame:
     """Per-key mean, exact median (mean of the two middle values) and sample
     standard deviation (A2).
 
@@ -67,6 +68,14 @@ def value_stats(df: DataFrame, keys: Sequence[str], value: str,
     missing is kept with NULL statistics.
     """
     mean_n, median_n, std_n = names
+    if not exact_median:
+        # opt-in: one aggregate (partial sketches), median within 1/accuracy
+        # of rank; for values with very many distinct levels per key
+        v = F.col(value)
+        return drop_null_keys(df.select(*keys, value), keys).groupBy(*keys).agg(
+            F.avg(v).alias(mean_n),
+            F.percentile_approx(v, 0.5, accuracy).cast("double").alias(median_n),
+            F.stddev_samp(v).alias(std_n))
     v, f = F.col(value), F.col("_f")
     hist = drop_null_keys(df.select(*keys, value), keys) \
         .groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_f"))

@@ -117,3 +117,23 @@ def test_csv_copy_and_union(spark, built):
     assert u.count() == gold.count()
     assert "SEPARADO JUDICIALMENTE/DIVORCIADO" in u.columns
     assert set(gold.columns) - {"date"} <= set(u.columns)
+
+
+def test_long_form_counts_single_exchange(spark, built):
+    import re
+    ex, _, _ = built
+    plan = M.answer_counts(ex)._jdf.queryExecution().executedPlan().toString()
+    # 14 items x 2 editions stacked, one shuffle for all of them
+    assert len(re.findall(r"FileScan csv", plan)) == 28
+    assert len(re.findall(r"Exchange hashpartitioning", plan)) == 1
+
+
+def test_registry_broadcast_after_size_check(spark, built):
+    _, lake, paths = built
+    from edumart.sources import read_layer
+    s = lambda n: read_layer(spark, lake, "silver", n, "2024-02-16").drop("date")
+    cm = M.course_mart_from(s("course_scores"), s("registry"), s("answer_counts"), s("course_ages"),
+                            registry_broadcast_rows=M.REGISTRY_MAX_BROADCAST_ROWS)
+    plan = cm._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan
+    assert "ObjectHashAggregate" not in plan

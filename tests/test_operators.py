@@ -155,3 +155,11 @@ def test_hot_key_aggregates_without_skew_failure(spark):
     assert st[-1].mean == pytest.approx(sum(ages) / len(ages))
     ct = crosstab(hot, ["c"], "q", [("A", "a"), ("B", "b")]).filter("c = -1").collect()[0]
     assert ct.a + ct.b == 10000
+
+
+def test_approx_median_opt_in(spark):
+    df = spark.range(0, 1001).select((F.col("id") % 2).alias("k"), F.col("id").cast("double").alias("v"))
+    exact = {r.k: r.median for r in value_stats(df, ["k"], "v").collect()}
+    approx = {r.k: r.median for r in value_stats(df, ["k"], "v", exact_median=False).collect()}
+    assert exact == {0: 500.0, 1: 500.0}
+    assert all(abs(approx[k] - exact[k]) <= 2 for k in exact)

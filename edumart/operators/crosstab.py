@@ -30,6 +30,10 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+def _sql_str(v: str) -> str:
+    return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def answers_long(df: DataFrame, keys: Sequence[str], code, question: str,
                  counted=None, fill: str | None = MISSING_CODE) -> DataFrame:
     """One question source -> long rows. A missing answer becomes ``fill``;
@@ -65,15 +69,15 @@ def widen(counts: DataFrame, keys: Sequence[str],
     NULL in all its columns, as a left join of a per-question table would.
     Codes outside ``cells`` produce no column (see ``checks.domain_violations``).
     """
-    q, c, n = F.col(QUESTION), F.col(CODE), F.col(N)
-    present = {}
+    # one SQL expression per cell: a single driver round trip each, which
+    # matters for a hundred cells
     aggs = []
     for question, code, name in cells:
-        if question not in present:
-            present[question] = F.count(F.when(q == question, F.lit(1))) > 0
-        total = F.sum(F.when((q == question) & (c == code), n))
-        aggs.append(F.when(present[question], F.coalesce(total, F.lit(0).cast("long")))
-                    .alias(name))
+        q, c = _sql_str(question), _sql_str(code)
+        aggs.append(F.expr(
+            f"CASE WHEN count(CASE WHEN {QUESTION} = {q} THEN 1 END) > 0 "
+            f"THEN coalesce(sum(CASE WHEN {QUESTION} = {q} AND {CODE} = {c} THEN {N} END), 0L) END"
+        ).alias(name))
     return counts.groupBy(*keys).agg(*aggs)
 
 

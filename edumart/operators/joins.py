@@ -22,11 +22,13 @@ def join_suffixed(left: DataFrame, right: DataFrame, on, how: str = "left",
     keys = _keys(on)
     clash = (set(left.columns) & set(right.columns)) - set(keys)
     lsx, rsx = suffixes
-    l2 = left.select(*[qcol(c).alias(c + lsx if c in clash else c) for c in left.columns])
-    r2 = right.select(*[qcol(c).alias(c + rsx if c in clash else c) for c in right.columns])
-    joined = l2.join(r2, keys, how)
-    order = [c + lsx if c in clash else c for c in left.columns]
-    order += [c + rsx if c in clash else c for c in right.columns if c not in keys]
+    if clash:
+        left = left.select(*[qcol(c).alias(c + lsx if c in clash else c) for c in left.columns])
+        right = right.select(*[qcol(c).alias(c + rsx if c in clash else c) for c in right.columns])
+    joined = left.join(right, keys, how)
+    order = list(left.columns) + [c for c in right.columns if c not in keys]
+    if joined.columns == order:
+        return joined
     return joined.select(*[qcol(c) for c in order])
 
 

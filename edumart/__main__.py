@@ -31,12 +31,13 @@ def main(argv=None) -> None:
     b.add_argument("--no-csv", action="store_true", help="skip the CSV copy of the marts")
     args = ap.parse_args(argv)
 
-    spark = SparkSession.builder.appName("edumart").getOrCreate()
+    builder = SparkSession.builder.appName("edumart")
+    for k, v in DRIVER_CONF.items():       # static: only applies to a new session
+        builder = builder.config(k, v)
+    spark = builder.getOrCreate()
     for k, v in CLUSTER_CONF.items():
         if k.startswith("spark.sql.") and spark.conf.get(k, None) in (None, ""):
             spark.conf.set(k, v)
-    for k, v in DRIVER_CONF.items():
-        spark.conf.set(k, v)
     checkpoint_root(spark)
     ex = read_extracts(spark, args.extracts, args.editions,
                        ExtractLayout(decimal_comma=args.decimal_comma))

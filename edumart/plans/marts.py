@@ -60,6 +60,7 @@ class ExtractLayout:
     sep: str = ";"
     encoding: str = LATIN1
     decimal_comma: bool = False
+    registry_missing: str = "error"     # "null": absent registry columns read as NULL
 
 
 @dataclass
@@ -80,22 +81,24 @@ def read_extracts(spark: SparkSession, root: str, editions: Sequence[int],
     differ between editions), stacked by name across editions."""
     root = root.rstrip("/")
 
-    def rel(pattern: str, cols, ordinal=False, **fmt) -> DataFrame:
+    def rel(pattern: str, cols, ordinal=False, missing="error", **fmt) -> DataFrame:
         parts = []
         for ed in editions:
             path = f"{root}/{pattern.format(edition=ed, **fmt)}"
             parts.append(read_delimited(
                 spark, path, cols, sep=layout.sep, encoding=layout.encoding,
                 decimal_comma=layout.decimal_comma, ordinal=ordinal,
-                extra={EDITION: F.lit(int(ed))}))
+                extra={EDITION: F.lit(int(ed))}, missing=missing))
         return union_editions(parts)
 
     return Extracts(
         scores=rel(layout.answers, SCORES, n=SCORES_FILE_NO),
         ages=rel(layout.answers, AGES, n=AGES_FILE_NO),
         answers={q.name: rel(layout.answers, q.schema(), n=q.file_no) for q in questions},
-        course_registry=rel(layout.course_registry, COURSE_REGISTRY, ordinal=True),
-        institution_registry=rel(layout.institution_registry, INSTITUTION_REGISTRY, ordinal=True),
+        course_registry=rel(layout.course_registry, COURSE_REGISTRY, ordinal=True,
+                            missing=layout.registry_missing),
+        institution_registry=rel(layout.institution_registry, INSTITUTION_REGISTRY, ordinal=True,
+                                 missing=layout.registry_missing),
     )
 
 

@@ -53,25 +53,30 @@ def read_delimited(spark: SparkSession, path: str | Sequence[str],
                    sep: str = ";", encoding: str = LATIN1, header: bool = True,
                    na_tokens: Sequence[str] | None = PANDAS_NA_TOKENS,
                    decimal_comma: bool = False, ordinal: bool = False,
-                   multiline: bool = False, extra: Mapping[str, Column] | None = None) -> DataFrame:
+                   multiline: bool = False, extra: Mapping[str, Column] | None = None,
+                   missing: str = "error") -> DataFrame:
     """Read one relation from delimited text.
 
     ``columns``: (name, Spark SQL type) pairs; names must exist in the header.
     ``na_tokens``: exact strings read as missing (default: the pandas set).
     ``ordinal``: add the file-order ordinal column (for keep-first de-dup).
     ``multiline``: quoted fields with newlines (makes each file one split).
+    ``missing``: ``"error"`` (default) fails on a column absent from the
+    header; ``"null"`` reads it as a typed NULL (older editions of a
+    registry may lack newer columns).
     """
     cols = list(columns.items()) if isinstance(columns, Mapping) else list(columns)
     raw = (spark.read.option("header", header).option("sep", sep)
            .option("encoding", encoding).option("quote", '"').option("escape", '"')
            .option("inferSchema", False).option("mode", "PERMISSIVE")
            .option("multiLine", multiline).csv(path if isinstance(path, str) else list(path)))
-    missing = [c for c, _ in cols if c not in raw.columns]
-    if missing:
-        raise ValueError(f"{path}: columns missing from header: {missing}")
+    absent = [c for c, _ in cols if c not in raw.columns]
+    if absent and missing != "null":
+        raise ValueError(f"{path}: columns missing from header: {absent}")
     if ordinal:
         raw = with_file_ordinal(raw)
-    out = [_convert(F.col(f"`{c}`"), t, na_tokens, decimal_comma).alias(c) for c, t in cols]
+    out = [(F.lit(None).cast(t) if c in absent
+            else _convert(F.col(f"`{c}`"), t, na_tokens, decimal_comma)).alias(c) for c, t in cols]
     if ordinal:
         out.append(F.col(ORDINAL))
     for name, expr in (extra or {}).items():

@@ -137,3 +137,28 @@ def test_registry_broadcast_after_size_check(spark, built):
     plan = cm._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan
     assert "ObjectHashAggregate" not in plan
+
+
+def test_cli_build(spark, extracts_dir, capsys):
+    import json
+    import tempfile
+    from edumart.__main__ import main
+    lake = tempfile.mkdtemp(prefix="edumart-cli-")
+    main(["build", "--extracts", extracts_dir, "--editions", "2019", "--lake", lake,
+          "--run-date", "2024-03-01", "--no-csv"])
+    printed = capsys.readouterr().out
+    out = json.loads(printed[printed.index("{"):])
+    assert "course_mart" in out and "institution_mart" in out
+    cm = M.all_editions_mart(spark, lake, "course_mart", "2024-03-01")
+    assert sorted(r.edition for r in cm.select("edition").distinct().collect()) == [2019]
+    assert cm.count() > 0
+
+
+def test_hot_stage_in_codegen(spark, built):
+    ex, _, _ = built
+    df = M.answer_counts(ex)
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    # the partial aggregate right above the scans runs inside whole-stage codegen
+    assert any("*(" in line and "HashAggregate" in line and "partial_count" in line
+               for line in plan.splitlines())

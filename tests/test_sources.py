@@ -92,3 +92,15 @@ def test_layers_partition_overwrite_and_publish(spark, tmp_dir):
     assert "PartitionFilters" in plan or "partitionfilters" in plan.lower()
     target = publish(spark, f"{root}/silver/t", f"{tmp_dir}/published", ["date", "edition"])
     assert spark.read.parquet(target).count() == 12
+
+
+def test_missing_column_policy(spark, tmp_dir):
+    import pytest
+    p = f"{tmp_dir}/old.csv"
+    _write_bytes(p, "CO_CURSO;NO_CURSO\n1;Direito\n")
+    cols = [("CO_CURSO", "bigint"), ("NO_CURSO", "string"), ("NO_CINE_ROTULO", "string")]
+    with pytest.raises(ValueError):
+        read_delimited(spark, p, cols)
+    df = read_delimited(spark, p, cols, missing="null")
+    assert [tuple(r) for r in df.collect()] == [(1, "Direito", None)]
+    assert dict(df.dtypes)["NO_CINE_ROTULO"] == "string"

@@ -41,8 +41,7 @@ from edumart.schemas import (
     INSTITUTION, INSTITUTION_REGISTRY, QUESTIONS, SCORE_COLS, SCORES, SCORES_FILE_NO,
     Question, all_cells, display_names)
 from edumart.sources import (
-    LATIN1, list_files, read_delimited, read_layer, read_mart, route_expr, write_layer,
-    write_mart)
+    LATIN1, list_files, read_delimited, read_layer, route_expr, write_layer, write_mart)
 
 # Registries are bounded by the number of courses / institutions of an
 # edition (tens of thousands), never by the number of respondents. The
@@ -276,5 +275,5 @@ __all__ = [
     "ExtractLayout", "Extracts", "read_extracts", "course_registry", "institution_registry",
     "answer_counts", "course_scores", "course_ages", "violations", "course_mart",
     "institution_mart", "course_mart_from", "institution_mart_from", "labelled",
-    "build_marts", "all_editions_mart", "union_csv_marts", "read_mart",
+    "build_marts", "all_editions_mart", "union_csv_marts",
 ]

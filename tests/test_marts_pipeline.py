@@ -162,3 +162,38 @@ def test_hot_stage_in_codegen(spark, built):
     # the partial aggregate right above the scans runs inside whole-stage codegen
     assert any("*(" in line and "HashAggregate" in line and "partial_count" in line
                for line in plan.splitlines())
+
+
+def test_invariant_codes_sum_to_counted_rows(spark, built):
+    ex, lake, _ = built
+    from edumart.sources import read_layer
+    counts = read_layer(spark, lake, "silver", "answer_counts", "2024-02-16")
+    got = {(r.edition, r.question): r.n for r in
+           counts.groupBy("edition", "question").agg({"n": "sum"}).withColumnRenamed("sum(n)", "n").collect()}
+    for q in QUESTIONS:
+        raw = ex.answers[q.name].filter("CO_CURSO is not null and NU_ANO is not null")
+        for r in raw.groupBy("edition").count().collect():
+            assert got[(r.edition, q.name)] == r["count"], (q.name, r.edition)
+
+
+def test_invariant_courses_roll_up_to_institutions(spark, built):
+    _, lake, _ = built
+    from pyspark.sql import functions as F
+    from edumart.sources import read_layer
+    counts = read_layer(spark, lake, "silver", "answer_counts", "2024-02-16")
+    reg = read_layer(spark, lake, "silver", "registry", "2024-02-16").select("edition", "CO_CURSO", "CO_IES")
+    j = counts.join(reg, ["edition", "CO_CURSO"], "left")
+    total = counts.agg(F.sum("n")).first()[0]
+    registered = j.filter("CO_IES is not null").agg(F.sum("n")).first()[0]
+    unregistered = j.filter("CO_IES is null").agg(F.sum("n")).first()[0]
+    assert total == registered + unregistered and unregistered > 0
+    im = M.all_editions_mart(spark, lake, "institution_mart", "2024-02-16")
+    cells = [names for names in display_names().values()]
+    inst_total = im.select(sum(F.coalesce(F.col(f"`{c}`"), F.lit(0)) for c in cells).alias("t")) \
+        .agg(F.sum("t")).first()[0]
+    # institution cells hold every registered in-domain count
+    in_domain = j.filter("CO_IES is not null").join(
+        spark.createDataFrame([(q.name, c) for q in QUESTIONS for c in q.codes], "question string, code string"),
+        ["question", "code"]).agg(F.sum("n")).first()[0]
+    assert inst_total == in_domain
+    assert im.groupBy("edition", "CO_IES").count().filter("count > 1").count() == 0

@@ -53,7 +53,8 @@ def avg_of_stats(child: DataFrame, mapping: DataFrame, from_key: str, to_key: st
 
 def value_stats(df: DataFrame, keys: Sequence[str], value: str,
                 names: tuple[str, str, str] = ("mean", "median", "std"),
-                exact_median: bool = True, accuracy: int = 10000) -> DataFrame:
+                exact_median: bool = True, accuracy: int = 10000,
+                round_places: int | None = None) -> DataFrame:
     """Per-key mean, exact median (mean of the two middle values) and sample
     standard deviation (A2).
 
@@ -65,20 +66,24 @@ def value_stats(df: DataFrame, keys: Sequence[str], value: str,
     aggregate (no object aggregate, no sort fallback) picks the two middle
     values by cumulative frequency and forms the two-pass sample variance.
     A key with one value has no std (NULL); a key whose values are all
-    missing is kept with NULL statistics.
+    missing is kept with NULL statistics. ``round_places`` rounds the three
+    outputs (half-up), e.g. for comparisons at a fixed precision.
     """
     mean_n, median_n, std_n = names
+
+    def out(c, name):
+        return (F.round(c, round_places) if round_places is not None else c).alias(name)
+
     if not exact_median:
         # opt-in: one aggregate (partial sketches), median within 1/accuracy
         # of rank; for values with very many distinct levels per key
         v = F.col(value)
-        return drop_null_keys(df.select(*keys, value), keys).groupBy(*keys).agg(
-            F.avg(v).alias(mean_n),
-            F.percentile_approx(v, 0.5, accuracy).cast("double").alias(median_n),
-            F.stddev_samp(v).alias(std_n))
+        return drop_null_keys(df, keys).groupBy(*keys).agg(
+            out(F.avg(v), mean_n),
+            out(F.percentile_approx(v, 0.5, accuracy).cast("double"), median_n),
+            out(F.stddev_samp(v), std_n))
     v, f = F.col(value), F.col("_f")
-    hist = drop_null_keys(df.select(*keys, value), keys) \
-        .groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_f"))
+    hist = drop_null_keys(df, keys).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_f"))
     nn = F.when(v.isNotNull(), f)
     ordered = Window.partitionBy(*keys).orderBy(v.asc_nulls_first())
     running = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -92,13 +97,13 @@ def value_stats(df: DataFrame, keys: Sequence[str], value: str,
     lo_pos = F.floor((n + 1) / 2)        # 1-based positions of the middle pair
     hi_pos = F.floor(n / 2) + 1
     dev = v - mean
-    out = hist.groupBy(*keys).agg(
+    stats = hist.groupBy(*keys).agg(
         F.max(mean).alias(mean_n),
         F.min(F.when(cum >= lo_pos, v)).alias("_lo"),
         F.min(F.when(cum >= hi_pos, v)).alias("_hi"),
         F.sum(f * dev * dev).alias("_ss"),
         F.max(n).alias("_n"))
-    return out.select(
-        *keys, mean_n,
-        ((F.col("_lo") + F.col("_hi")) / 2).cast("double").alias(median_n),
-        F.when(F.col("_n") > 1, F.sqrt(F.col("_ss") / (F.col("_n") - 1))).alias(std_n))
+    return stats.select(
+        *keys, out(F.col(mean_n), mean_n),
+        out(((F.col("_lo") + F.col("_hi")) / 2).cast("double"), median_n),
+        out(F.when(F.col("_n") > 1, F.sqrt(F.col("_ss") / (F.col("_n") - 1))), std_n))

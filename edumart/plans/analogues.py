@@ -82,11 +82,12 @@ def edition() -> Column:
     return F.year("o_orderdate").cast("int")
 
 
-def ages(spark, sf) -> DataFrame:
-    """One row per respondent-age observation: (o_custkey, l_quantity)."""
-    o = table(spark, sf, "orders").select("o_orderkey", "o_custkey")
-    li = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), "l_quantity")
-    return o.join(li, "o_orderkey").select("o_custkey", "l_quantity")
+def ages(spark, sf, course: str = "o_custkey") -> DataFrame:
+    """One row per respondent-age observation: (course, l_quantity)."""
+    o = table(spark, sf, "orders")
+    li = table(spark, sf, "lineitem")
+    return o.join(li, o["o_orderkey"] == li["l_orderkey"]) \
+        .select(o["o_custkey"].alias(course), li["l_quantity"])
 
 
 AGE_NAMES = ("mean_age", "median_age", "std_age")
@@ -269,7 +270,7 @@ def q_course_score_mean(spark, sf):
 
 def q_course_age_stats(spark, sf):
     li = table(spark, sf, "lineitem").select("l_orderkey", "l_quantity")
-    return round4(value_stats(li, ["l_orderkey"], "l_quantity", AGE_NAMES), AGE_NAMES)
+    return value_stats(li, ["l_orderkey"], "l_quantity", AGE_NAMES, round_places=4)
 
 
 STATUS_CELLS = [("F", "st_F"), ("O", "st_O"), ("N", "st_N")]
@@ -376,8 +377,8 @@ def q_course_mart(spark, sf):
     o = table(spark, sf, "orders")
     prof = profile(o.withColumn("course", F.col("o_custkey")), ["course"],
                    means=[("score", injected_score())], cells=_mart_cells(), zero_fill=True)
-    age = round4(value_stats(ages(spark, sf).withColumnRenamed("o_custkey", "course"),
-                             ["course"], "l_quantity", AGE_NAMES), AGE_NAMES)
+    age = value_stats(ages(spark, sf, "course"), ["course"], "l_quantity", AGE_NAMES,
+                      round_places=4)
     reg = join_suffixed(
         registered(table(spark, sf, "customer")).select(
             F.col("c_custkey").alias("course"), "c_mktsegment", "c_nationkey"),
@@ -399,8 +400,8 @@ def q_course_mart_long(spark, sf):
         answers_long(o, ["course"], "o_orderpriority", "priority"),
     ])
     counts = widen(count_long(answers, ["course"]), ["course"], MART_CELLS)
-    age = round4(value_stats(ages(spark, sf).withColumnRenamed("o_custkey", "course"),
-                             ["course"], "l_quantity", AGE_NAMES), AGE_NAMES)
+    age = value_stats(ages(spark, sf, "course"), ["course"], "l_quantity", AGE_NAMES,
+                      round_places=4)
     reg = join_suffixed(
         registered(table(spark, sf, "customer")).select(
             F.col("c_custkey").alias("course"), "c_mktsegment", "c_nationkey"),
@@ -420,8 +421,10 @@ def q_institution_mart(spark, sf):
     o = table(spark, sf, "orders").join(reg, "o_custkey", "inner")
     counts = crosstab(o, ["c_nationkey"], fill_category(status_answer()),
                       [("F", "st_f"), ("N", "st_n")])
+    # no hint: the planner's file-size estimate (and AQE's runtime size) of
+    # the dimension decides the broadcast, with a shuffle join beyond it
     mart = enrich(chain_left(inst_scores, [counts], "c_nationkey"), _nation_dim(spark, sf),
-                  "c_nationkey", how="left", max_broadcast_rows=NATION_MAX_ROWS)
+                  "c_nationkey", how="left")
     return mart.select("c_nationkey", "n_name", "score", "st_f", "st_n")
 
 

@@ -33,7 +33,7 @@ def _convert(raw: Column, dtype: str, na_tokens, decimal_comma: bool) -> Column:
     if t in _INTEGRAL:
         # an integral column written through a float (7 -> "7.0") still reads
         d = s.try_cast("double")
-        return F.coalesce(s.try_cast(t), F.when(d == F.floor(d), d.cast(t)))
+        return F.coalesce(s.try_cast(t), F.when(d == F.floor(d), d.try_cast(t)))
     return s.try_cast(t)
 
 

@@ -38,11 +38,11 @@ def test_e16_latin1_roundtrip(spark, tmp_dir):
 
 def test_typed_columns_by_name_and_float_ints(spark, tmp_dir):
     p = f"{tmp_dir}/t.csv"
-    _write_bytes(p, "X;CO_CURSO;NT_GER\nq;7.0;45.5\nq;12;abc\n")
+    _write_bytes(p, "X;CO_CURSO;NT_GER\nq;7.0;45.5\nq;12;abc\nq;1e30;1\nq;2.5;2\n")
     df = read_delimited(spark, p, [("NT_GER", "double"), ("CO_CURSO", "bigint")])
-    assert [tuple(r) for r in df.collect()] == [(45.5, 7), (None, 12)]
+    assert [tuple(r) for r in df.collect()] == [(45.5, 7), (None, 12), (1.0, None), (2.0, None)]
     df2 = read_delimited(spark, p, [("NT_GER", "double")], decimal_comma=True)
-    assert df2.count() == 2
+    assert df2.count() == 4
 
 
 def test_e17_file_order_over_splits(spark, tmp_dir):
@@ -104,3 +104,10 @@ def test_missing_column_policy(spark, tmp_dir):
     df = read_delimited(spark, p, cols, missing="null")
     assert [tuple(r) for r in df.collect()] == [(1, "Direito", None)]
     assert dict(df.dtypes)["NO_CINE_ROTULO"] == "string"
+
+
+def test_decimal_comma_scores(spark, tmp_dir):
+    p = f"{tmp_dir}/dc.csv"
+    _write_bytes(p, "CO_CURSO;NT_GER\n1;45,6\n2;NA\n")
+    df = read_delimited(spark, p, [("CO_CURSO", "bigint"), ("NT_GER", "double")], decimal_comma=True)
+    assert [tuple(r) for r in df.collect()] == [(1, 45.6), (2, None)]

@@ -23,6 +23,11 @@ def con():
     return c
 
 
+# Spark simple type name -> DuckDB type name
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+                 "timestamp_ntz": "TIMESTAMP", "date": "DATE", "boolean": "BOOLEAN"}
+
+
 def _key(v):
     if isinstance(v, float) and math.isnan(v):
         return (2, "nan")
@@ -50,5 +55,7 @@ def test_query_matches_oracle(spark, con, name):
     res = con.sql(E.oracle_sql()[name])
     exp_cols, exp = res.columns, res.fetchall()
     assert sorted(got_cols) == sorted(exp_cols)
+    exp_types = dict(zip(exp_cols, [str(t) for t in res.types]))
+    assert {c: SPARK_TO_DUCK.get(t, t) for c, t in df.dtypes} == exp_types
     assert len(got) == len(exp)
     assert _rows(got_cols, got) == _rows(exp_cols, exp)

@@ -1,7 +1,9 @@
 """Command line: build the marts for a set of editions.
 
-    spark-submit -m edumart build --extracts s3a://bucket/silver/date=2024-02-16 \
-        --editions 2017 2018 2019 2021 --lake s3a://bucket/lake --run-date 2024-02-16
+    python -m edumart build --extracts <folder> --editions 2017 2018 2019 2021 \
+        --lake <lake uri> --run-date 2024-02-16
+
+    spark-submit --py-files edumart.zip edumart/__main__.py build ...   # cluster
 
 Cluster settings (executors, memory, ``spark.checkpoint.dir``) come from
 spark-submit; the session only adds the SQL settings of ``CLUSTER_CONF``

@@ -111,3 +111,16 @@ def test_decimal_comma_scores(spark, tmp_dir):
     _write_bytes(p, "CO_CURSO;NT_GER\n1;45,6\n2;NA\n")
     df = read_delimited(spark, p, [("CO_CURSO", "bigint"), ("NT_GER", "double")], decimal_comma=True)
     assert [tuple(r) for r in df.collect()] == [(1, 45.6), (2, None)]
+
+
+def test_union_csv_marts_different_headers(spark, tmp_dir):
+    from edumart.plans.marts import union_csv_marts
+    root = f"{tmp_dir}/marts"
+    _write_bytes(f"{root}/course_mart_2019/part-0.csv", "edition,CO_CURSO,A\n2019,1,5\n", "utf-8")
+    _write_bytes(f"{root}/course_mart_2021/part-0.csv", "CO_CURSO,B,edition\n2,7,2021\n", "utf-8")
+    _write_bytes(f"{root}/institution_mart_2021/part-0.csv", "edition,CO_IES\n2021,9\n", "utf-8")
+    _write_bytes(f"{root}/course_mart_2021/notes.txt", "stray\n", "utf-8")
+    u = union_csv_marts(spark, root, "course_mart")
+    assert u.columns[0] == "edition" and set(u.columns) == {"edition", "CO_CURSO", "A", "B"}
+    got = sorted((r.edition, r.CO_CURSO, r.A, r.B) for r in u.collect())
+    assert got == [("2019", "1", "5", None), ("2021", "2", None, "7")]

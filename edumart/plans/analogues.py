@@ -120,9 +120,11 @@ def q_scan_mart(spark, sf):
 
 
 def q_sink_roundtrip(spark, sf):
+    """Mart sink: a first run writes part of the rows, the rerun overwrites
+    it (a rerun replaces the mart, never appends); read back the result."""
     path = scratch_path(spark, "sink_roundtrip")
     sel = _orders_sel(spark, sf)
-    write_mart(sel.filter(F.col("o_orderstatus") == "F"), path)  # replaced below
+    write_mart(sel.filter(F.col("o_orderstatus") == "F"), path)
     write_mart(sel, path, mode="overwrite")
     return read_mart(spark, path, ORDERS_SEL_TYPES, fmt="parquet")
 

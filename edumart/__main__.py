@@ -17,7 +17,8 @@ import json
 
 from pyspark.sql import SparkSession
 
-from edumart.plans.marts import ExtractLayout, build_marts, read_extracts
+from edumart.plans.marts import (
+    ExtractLayout, build_marts, land_extracts, read_extracts, read_landed_extracts)
 from edumart.session import CLUSTER_CONF, DRIVER_CONF, checkpoint_root
 
 
@@ -25,13 +26,23 @@ def main(argv=None) -> None:
     ap = argparse.ArgumentParser(prog="edumart")
     sub = ap.add_subparsers(dest="cmd", required=True)
     b = sub.add_parser("build", help="build course and institution marts")
-    b.add_argument("--extracts", required=True, help="folder holding the extract files")
+    b.add_argument("--extracts", default=None, help="folder holding the extract files")
     b.add_argument("--editions", required=True, nargs="+", type=int)
     b.add_argument("--lake", required=True, help="lake root URI (silver/gold layers)")
     b.add_argument("--run-date", required=True)
     b.add_argument("--decimal-comma", action="store_true")
     b.add_argument("--no-csv", action="store_true", help="skip the CSV copy of the marts")
+    b.add_argument("--from-lake", action="store_true",
+                   help="read extracts landed by `land` instead of the text files")
+    ld = sub.add_parser("land", help="parse extract files once into the lake (Parquet)")
+    ld.add_argument("--extracts", required=True)
+    ld.add_argument("--editions", required=True, nargs="+", type=int)
+    ld.add_argument("--lake", required=True)
+    ld.add_argument("--run-date", required=True)
+    ld.add_argument("--decimal-comma", action="store_true")
     args = ap.parse_args(argv)
+    if args.cmd == "build" and not args.from_lake and not args.extracts:
+        ap.error("build needs --extracts or --from-lake")
 
     builder = SparkSession.builder.appName("edumart")
     for k, v in DRIVER_CONF.items():       # static: only applies to a new session
@@ -41,9 +52,13 @@ def main(argv=None) -> None:
         if k.startswith("spark.sql.") and spark.conf.get(k, None) in (None, ""):
             spark.conf.set(k, v)
     checkpoint_root(spark)
-    ex = read_extracts(spark, args.extracts, args.editions,
-                       ExtractLayout(decimal_comma=args.decimal_comma))
-    out = build_marts(spark, ex, args.lake, args.run_date, csv_copy=not args.no_csv)
+    layout = ExtractLayout(decimal_comma=args.decimal_comma)
+    if args.cmd == "land":
+        out = land_extracts(spark, args.extracts, args.editions, args.lake, args.run_date, layout)
+    else:
+        ex = (read_landed_extracts(spark, args.lake, args.run_date, args.editions)
+              if args.from_lake else read_extracts(spark, args.extracts, args.editions, layout))
+        out = build_marts(spark, ex, args.lake, args.run_date, csv_copy=not args.no_csv)
     print(json.dumps(out, indent=2))
 
 

@@ -101,6 +101,43 @@ def read_extracts(spark: SparkSession, root: str, editions: Sequence[int],
     )
 
 
+def _relations(ex: Extracts) -> dict[str, DataFrame]:
+    rels = {"scores": ex.scores, "ages": ex.ages, "course_registry": ex.course_registry,
+            "institution_registry": ex.institution_registry}
+    rels.update({f"answers_{name}": df for name, df in ex.answers.items()})
+    return rels
+
+
+def land_extracts(spark: SparkSession, root: str, editions: Sequence[int], lake_root: str,
+                  run_date: str, layout: ExtractLayout = ExtractLayout(),
+                  questions: Sequence[Question] = QUESTIONS) -> dict[str, str]:
+    """Parse every extract relation once into Parquet under
+    ``<lake>/silver/extracts/<relation>``, partitioned by ``date`` and
+    ``edition`` (dynamic overwrite: landing one edition again replaces only
+    that edition). Registries keep their file-order ordinal. Later builds
+    read columnar, prunable tables instead of re-parsing Latin-1 text."""
+    ex = read_extracts(spark, root, editions, layout, questions)
+    return {name: write_layer(df, lake_root, "silver", f"extracts/{name}", run_date, [EDITION])
+            for name, df in _relations(ex).items()}
+
+
+def read_landed_extracts(spark: SparkSession, lake_root: str, run_date: str,
+                         editions: Sequence[int] | None = None,
+                         questions: Sequence[Question] = QUESTIONS) -> Extracts:
+    """The landed extracts of one run date; ``editions`` prunes partitions."""
+    def rel(name: str) -> DataFrame:
+        df = read_layer(spark, lake_root, "silver", f"extracts/{name}", run_date)
+        if editions is not None:
+            df = df.filter(F.col(EDITION).isin([int(e) for e in editions]))
+        return df.drop("date")
+
+    return Extracts(
+        scores=rel("scores"), ages=rel("ages"),
+        answers={q.name: rel(f"answers_{q.name}") for q in questions},
+        course_registry=rel("course_registry"),
+        institution_registry=rel("institution_registry"))
+
+
 # ---------------------------------------------------------------- building blocks
 
 def institution_registry(ex: Extracts) -> DataFrame:
@@ -272,7 +309,7 @@ def union_csv_marts(spark: SparkSession, directory: str, relation: str,
 
 
 __all__ = [
-    "ExtractLayout", "Extracts", "read_extracts", "course_registry", "institution_registry",
+    "ExtractLayout", "Extracts", "read_extracts", "land_extracts", "read_landed_extracts", "course_registry", "institution_registry",
     "answer_counts", "course_scores", "course_ages", "violations", "course_mart",
     "institution_mart", "course_mart_from", "institution_mart_from", "labelled",
     "build_marts", "all_editions_mart", "union_csv_marts",

@@ -197,3 +197,19 @@ def test_invariant_courses_roll_up_to_institutions(spark, built):
         ["question", "code"]).agg(F.sum("n")).first()[0]
     assert inst_total == in_domain
     assert im.groupBy("edition", "CO_IES").count().filter("count > 1").count() == 0
+
+
+def test_landed_extracts_give_the_same_marts(spark, extracts_dir):
+    import tempfile
+    lake = tempfile.mkdtemp(prefix="edumart-landed-")
+    paths = M.land_extracts(spark, extracts_dir, EDITIONS, lake, "2024-02-16")
+    assert len(paths) == 4 + len(QUESTIONS)
+    direct = M.read_extracts(spark, extracts_dir, EDITIONS)
+    landed = M.read_landed_extracts(spark, lake, "2024-02-16")
+    a, b = M.course_mart(direct), M.course_mart(landed)
+    assert a.count() == b.count() and a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    ia, ib = M.institution_mart(direct), M.institution_mart(landed)
+    assert ia.exceptAll(ib).count() == 0 and ib.exceptAll(ia).count() == 0
+    one = M.read_landed_extracts(spark, lake, "2024-02-16", editions=[2021]).scores
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "2021" in plan

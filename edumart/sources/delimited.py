@@ -58,6 +58,9 @@ def read_delimited(spark: SparkSession, path: str | Sequence[str],
     """Read one relation from delimited text.
 
     ``columns``: (name, Spark SQL type) pairs; names must exist in the header.
+    All files of one call must share one header (Spark takes the column
+    names from the first file); files whose headers differ are read one call
+    each and stacked with ``union_editions``, as ``read_extracts`` does.
     ``na_tokens``: exact strings read as missing (default: the pandas set).
     ``ordinal``: add the file-order ordinal column (for keep-first de-dup).
     ``multiline``: quoted fields with newlines (makes each file one split).

@@ -25,7 +25,8 @@ def long_domain_violations(spark: SparkSession, counts: DataFrame,
     """Long counts whose (question, code) has no mart column. The expected
     pairs come from the fixed catalogue (about a hundred rows), so the
     broadcast is bounded by the catalogue, not by the data."""
-    expected = spark.createDataFrame([(q, c) for q, c, _ in cells], f"{QUESTION} string, {CODE} string")
+    qtype = "tinyint" if cells and isinstance(cells[0][0], int) else "string"
+    expected = spark.createDataFrame([(q, c) for q, c, _ in cells], f"{QUESTION} {qtype}, {CODE} string")
     return (counts.join(F.broadcast(expected), [QUESTION, CODE], "left_anti")
             .groupBy(*keys, QUESTION, CODE).agg(F.sum(N).alias(N)))
 

@@ -30,18 +30,24 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
-def _sql_str(v: str) -> str:
+def _sql_lit(v) -> str:
+    """SQL literal of a question id (int) or a code / question name (str)."""
+    if isinstance(v, int):
+        return str(v)
     return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def answers_long(df: DataFrame, keys: Sequence[str], code, question: str,
+def answers_long(df: DataFrame, keys: Sequence[str], code, question: str | int,
                  counted=None, fill: str | None = MISSING_CODE) -> DataFrame:
     """One question source -> long rows. A missing answer becomes ``fill``;
     rows with a missing key are dropped (the original grouping drops them).
-    ``counted`` is the column whose non-missing values are counted (K5)."""
+    ``counted`` is the column whose non-missing values are counted (K5).
+    ``question`` is a name or a small integer id; an id keeps the shuffled
+    key narrow (8 bytes in the row format instead of the string)."""
     code_col = fill_category(_c(code), fill) if fill is not None else _c(code)
     counted_col = _c(counted) if counted is not None else F.lit(1)
-    out = df.select(*[F.col(k) for k in keys], F.lit(question).alias(QUESTION),
+    qv = F.lit(question).cast("tinyint") if isinstance(question, int) else F.lit(question)
+    out = df.select(*[F.col(k) for k in keys], qv.alias(QUESTION),
                     code_col.alias(CODE), counted_col.alias(COUNTED))
     return drop_null_keys(out, keys)
 
@@ -73,7 +79,7 @@ def widen(counts: DataFrame, keys: Sequence[str],
     # matters for a hundred cells
     aggs = []
     for question, code, name in cells:
-        q, c = _sql_str(question), _sql_str(code)
+        q, c = _sql_lit(question), _sql_lit(code)
         aggs.append(F.expr(
             f"CASE WHEN count(CASE WHEN {QUESTION} = {q} THEN 1 END) > 0 "
             f"THEN coalesce(sum(CASE WHEN {QUESTION} = {q} AND {CODE} = {c} THEN {N} END), 0L) END"

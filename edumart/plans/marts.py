@@ -39,7 +39,7 @@ from edumart.operators import (
 from edumart.schemas import (
     AGE_COL, AGE_STATS, AGES, AGES_FILE_NO, COUNTED, COURSE, COURSE_REGISTRY, EDITION,
     INSTITUTION, INSTITUTION_REGISTRY, QUESTIONS, SCORE_COLS, SCORES, SCORES_FILE_NO,
-    Question, all_cells, display_names)
+    Question, all_cells, display_names, item_cells)
 from edumart.sources import (
     LATIN1, list_files, read_delimited, read_layer, route_expr, write_layer, write_mart)
 
@@ -153,10 +153,11 @@ def course_registry(ex: Extracts) -> DataFrame:
 
 
 def answer_counts(ex: Extracts, questions: Sequence[Question] = QUESTIONS) -> DataFrame:
-    """(edition, CO_CURSO, question, code, n) over all questions at once."""
+    """(edition, CO_CURSO, question, code, n) over all questions at once;
+    ``question`` is the item's catalogue position (a narrow shuffle key)."""
     keys = [EDITION, COURSE]
-    long = union_editions([answers_long(ex.answers[q.name], keys, q.column, q.name, counted=COUNTED)
-                           for q in questions])
+    long = union_editions([answers_long(ex.answers[q.name], keys, q.column, i, counted=COUNTED)
+                           for i, q in enumerate(questions)])
     return count_long(long, keys)
 
 
@@ -171,8 +172,12 @@ def course_ages(ex: Extracts) -> DataFrame:
 
 def violations(spark: SparkSession, counts: DataFrame,
                questions: Sequence[Question] = QUESTIONS) -> DataFrame:
-    """Answer codes outside each item's domain, per edition (V1)."""
-    return long_domain_violations(spark, counts, all_cells(questions), keys=[EDITION])
+    """Answer codes outside each item's domain, per edition (V1), with the
+    item named."""
+    v = long_domain_violations(spark, counts, item_cells(questions), keys=[EDITION])
+    names = F.array(*[F.lit(q.name) for q in questions])
+    return v.select(EDITION, F.element_at(names, F.col("question").cast("int") + 1).alias("question"),
+                    "code", "n")
 
 
 # ---------------------------------------------------------------- marts
@@ -182,7 +187,7 @@ def course_mart_from(scores: DataFrame, registry: DataFrame, counts: DataFrame,
                      registry_broadcast_rows: int | None = None) -> DataFrame:
     """One row per scored course: scores, registry, 99 counts, age stats."""
     keys = [EDITION, COURSE]
-    wide = widen(counts, keys, all_cells(questions))
+    wide = widen(counts, keys, item_cells(questions))
     reg = registry.drop("_ordinal") if "_ordinal" in registry.columns else registry
     if registry_broadcast_rows is not None:
         reg = checked_broadcast(reg, registry_broadcast_rows)
@@ -201,7 +206,7 @@ def institution_mart_from(scores: DataFrame, registry: DataFrame, counts: DataFr
         mapping = checked_broadcast(mapping, registry_broadcast_rows)
     inst_scores = mean_of_means(scores, mapping, COURSE, INSTITUTION, SCORE_COLS, keys=[EDITION])
     inst_counts = widen(rollup(counts, mapping, COURSE, INSTITUTION, keys=[EDITION]), keys,
-                        all_cells(questions))
+                        item_cells(questions))
     inst_ages = avg_of_stats(ages, mapping, COURSE, INSTITUTION, AGE_STATS, keys=[EDITION])
     sex = [c for q in questions if q.name == "sex" for _, _, c in q.cells()]
     rest = [c for _, _, c in all_cells(questions) if c not in sex]

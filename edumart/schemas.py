@@ -171,6 +171,16 @@ def all_cells(questions=QUESTIONS) -> list[tuple[str, str, str]]:
     return [c for q in questions for c in q.cells()]
 
 
+def item_id(q: Question, questions=QUESTIONS) -> int:
+    """Small integer id of an item: its position in the catalogue."""
+    return list(questions).index(q)
+
+
+def item_cells(questions=QUESTIONS) -> list[tuple[int, str, str]]:
+    """(item id, code, cell id) of every mart count column."""
+    return [(i, code, q.cell(code)) for i, q in enumerate(questions) for code in q.codes]
+
+
 def display_names(questions=QUESTIONS) -> dict[str, str]:
     """Internal cell id -> sink column name. A label used by two items (e.g.
     "Nenhum") gets its source column appended, so both survive (the original

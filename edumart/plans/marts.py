@@ -41,7 +41,8 @@ from edumart.schemas import (
     INSTITUTION, INSTITUTION_REGISTRY, QUESTIONS, SCORE_COLS, SCORES, SCORES_FILE_NO,
     Question, all_cells, display_names, item_cells)
 from edumart.sources import (
-    LATIN1, list_files, read_delimited, read_layer, route_expr, write_layer, write_mart)
+    LATIN1, list_files, manifest_report, read_delimited, read_layer, route_expr, write_layer,
+    write_mart)
 
 # Registries are bounded by the number of courses / institutions of an
 # edition (tens of thousands), never by the number of respondents. The
@@ -73,39 +74,69 @@ class Extracts:
     institution_registry: DataFrame
 
 
-def read_extracts(spark: SparkSession, root: str, editions: Sequence[int],
+def read_relation(spark: SparkSession, root: str, name: str, editions: Sequence[int],
                   layout: ExtractLayout = ExtractLayout(),
-                  questions: Sequence[Question] = QUESTIONS) -> Extracts:
-    """One read per file (columns are matched by header name, and headers
+                  questions: Sequence[Question] = QUESTIONS) -> DataFrame:
+    """One extract relation (``scores``, ``ages``, ``answers_<item>``,
+    ``course_registry``, ``institution_registry``) for the given editions:
+    one read per file (columns are matched by header name, and headers
     differ between editions), stacked by name across editions."""
     root = root.rstrip("/")
+    items = {f"answers_{q.name}": q for q in questions}
+    if name == "scores":
+        pattern, cols, ordinal, missing, n = layout.answers, SCORES, False, "error", SCORES_FILE_NO
+    elif name == "ages":
+        pattern, cols, ordinal, missing, n = layout.answers, AGES, False, "error", AGES_FILE_NO
+    elif name in items:
+        q = items[name]
+        pattern, cols, ordinal, missing, n = layout.answers, q.schema(), False, "error", q.file_no
+    elif name == "course_registry":
+        pattern, cols, ordinal, missing, n = (layout.course_registry, COURSE_REGISTRY, True,
+                                              layout.registry_missing, None)
+    elif name == "institution_registry":
+        pattern, cols, ordinal, missing, n = (layout.institution_registry, INSTITUTION_REGISTRY,
+                                              True, layout.registry_missing, None)
+    else:
+        raise ValueError(f"unknown relation {name!r}")
+    parts = []
+    for ed in editions:
+        path = f"{root}/{pattern.format(edition=ed, n=n)}"
+        parts.append(read_delimited(
+            spark, path, cols, sep=layout.sep, encoding=layout.encoding,
+            decimal_comma=layout.decimal_comma, ordinal=ordinal,
+            extra={EDITION: F.lit(int(ed))}, missing=missing))
+    return union_editions(parts)
 
-    def rel(pattern: str, cols, ordinal=False, missing="error", **fmt) -> DataFrame:
-        parts = []
-        for ed in editions:
-            path = f"{root}/{pattern.format(edition=ed, **fmt)}"
-            parts.append(read_delimited(
-                spark, path, cols, sep=layout.sep, encoding=layout.encoding,
-                decimal_comma=layout.decimal_comma, ordinal=ordinal,
-                extra={EDITION: F.lit(int(ed))}, missing=missing))
-        return union_editions(parts)
+
+def read_extracts(spark: SparkSession, root: str, editions: Sequence[int],
+                  layout: ExtractLayout = ExtractLayout(),
+                  questions: Sequence[Question] = QUESTIONS) -> Extracts:
+    """All relations of the given editions, read lazily from the text files."""
+    def rel(name: str) -> DataFrame:
+        return read_relation(spark, root, name, editions, layout, questions)
 
     return Extracts(
-        scores=rel(layout.answers, SCORES, n=SCORES_FILE_NO),
-        ages=rel(layout.answers, AGES, n=AGES_FILE_NO),
-        answers={q.name: rel(layout.answers, q.schema(), n=q.file_no) for q in questions},
-        course_registry=rel(layout.course_registry, COURSE_REGISTRY, ordinal=True,
-                            missing=layout.registry_missing),
-        institution_registry=rel(layout.institution_registry, INSTITUTION_REGISTRY, ordinal=True,
-                                 missing=layout.registry_missing),
+        scores=rel("scores"), ages=rel("ages"),
+        answers={q.name: rel(f"answers_{q.name}") for q in questions},
+        course_registry=rel("course_registry"),
+        institution_registry=rel("institution_registry"),
     )
 
 
-def _relations(ex: Extracts) -> dict[str, DataFrame]:
-    rels = {"scores": ex.scores, "ages": ex.ages, "course_registry": ex.course_registry,
-            "institution_registry": ex.institution_registry}
-    rels.update({f"answers_{name}": df for name, df in ex.answers.items()})
-    return rels
+def expected_files(spark: SparkSession, editions: Sequence[int],
+                   layout: ExtractLayout = ExtractLayout(),
+                   questions: Sequence[Question] = QUESTIONS) -> DataFrame:
+    """Manifest ``(relation, edition, file_name)`` of every extract file the
+    layout expects (about 18 per edition)."""
+    rows = []
+    for ed in editions:
+        rows.append(("scores", ed, layout.answers.format(edition=ed, n=SCORES_FILE_NO)))
+        rows.append(("ages", ed, layout.answers.format(edition=ed, n=AGES_FILE_NO)))
+        rows += [(f"answers_{q.name}", ed, layout.answers.format(edition=ed, n=q.file_no))
+                 for q in questions]
+        rows.append(("course_registry", ed, layout.course_registry.format(edition=ed)))
+        rows.append(("institution_registry", ed, layout.institution_registry.format(edition=ed)))
+    return spark.createDataFrame(rows, "relation string, edition int, file_name string")
 
 
 def land_extracts(spark: SparkSession, root: str, editions: Sequence[int], lake_root: str,
@@ -115,10 +146,28 @@ def land_extracts(spark: SparkSession, root: str, editions: Sequence[int], lake_
     ``<lake>/silver/extracts/<relation>``, partitioned by ``date`` and
     ``edition`` (dynamic overwrite: landing one edition again replaces only
     that edition). Registries keep their file-order ordinal. Later builds
-    read columnar, prunable tables instead of re-parsing Latin-1 text."""
-    ex = read_extracts(spark, root, editions, layout, questions)
-    return {name: write_layer(df, lake_root, "silver", f"extracts/{name}", run_date, [EDITION])
-            for name, df in _relations(ex).items()}
+    read columnar, prunable tables instead of re-parsing Latin-1 text.
+
+    Files the layout expects but the folder lacks are reported (key
+    ``"absent"``) and that relation is landed for the other editions only,
+    like the original's file selection, which skipped absent files."""
+    manifest = expected_files(spark, editions, layout, questions)
+    absent = sorted((r.relation, r.edition, r.file_name)
+                    for r in manifest_report(spark, manifest, root).collect())
+    missing = {(rel, ed) for rel, ed, _ in absent}
+    out: dict = {"absent": [f for _, _, f in absent]}
+    for name in _relations_names(questions):
+        eds = [ed for ed in editions if (name, ed) not in missing]
+        if not eds:
+            continue
+        df = read_relation(spark, root, name, eds, layout, questions)
+        out[name] = write_layer(df, lake_root, "silver", f"extracts/{name}", run_date, [EDITION])
+    return out
+
+
+def _relations_names(questions: Sequence[Question]) -> list[str]:
+    return (["scores", "ages", "course_registry", "institution_registry"]
+            + [f"answers_{q.name}" for q in questions])
 
 
 def read_landed_extracts(spark: SparkSession, lake_root: str, run_date: str,
@@ -314,7 +363,8 @@ def union_csv_marts(spark: SparkSession, directory: str, relation: str,
 
 
 __all__ = [
-    "ExtractLayout", "Extracts", "read_extracts", "land_extracts", "read_landed_extracts", "course_registry", "institution_registry",
+    "ExtractLayout", "Extracts", "read_extracts", "land_extracts", "read_landed_extracts",
+    "expected_files", "read_relation", "course_registry", "institution_registry",
     "answer_counts", "course_scores", "course_ages", "violations", "course_mart",
     "institution_mart", "course_mart_from", "institution_mart_from", "labelled",
     "build_marts", "all_editions_mart", "union_csv_marts",

@@ -204,7 +204,7 @@ def test_landed_extracts_give_the_same_marts(spark, extracts_dir):
     import tempfile
     lake = tempfile.mkdtemp(prefix="edumart-landed-")
     paths = M.land_extracts(spark, extracts_dir, EDITIONS, lake, "2024-02-16")
-    assert len(paths) == 4 + len(QUESTIONS)
+    assert len(paths) == 5 + len(QUESTIONS) and paths["absent"] == []
     direct = M.read_extracts(spark, extracts_dir, EDITIONS)
     landed = M.read_landed_extracts(spark, lake, "2024-02-16")
     a, b = M.course_mart(direct), M.course_mart(landed)
@@ -214,3 +214,18 @@ def test_landed_extracts_give_the_same_marts(spark, extracts_dir):
     one = M.read_landed_extracts(spark, lake, "2024-02-16", editions=[2021]).scores
     plan = one._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan and "2021" in plan
+
+
+def test_land_reports_absent_files(spark, tmp_dir):
+    import os
+    from extract_fixture import make_extracts
+    src = f"{tmp_dir}/x"
+    make_extracts(src, n_students=60)
+    os.remove(f"{src}/microdados2021_arq8.csv")                  # one item, one edition
+    lake = f"{tmp_dir}/lake"
+    out = M.land_extracts(spark, src, EDITIONS, lake, "2024-02-16")
+    assert out["absent"] == ["microdados2021_arq8.csv"]
+    landed = spark.read.parquet(out["answers_colour_race"])
+    assert sorted(r.edition for r in landed.select("edition").distinct().collect()) == [2019]
+    other = spark.read.parquet(out["answers_marital_status"])
+    assert sorted(r.edition for r in other.select("edition").distinct().collect()) == [2019, 2021]

@@ -229,3 +229,12 @@ def test_land_reports_absent_files(spark, tmp_dir):
     assert sorted(r.edition for r in landed.select("edition").distinct().collect()) == [2019]
     other = spark.read.parquet(out["answers_marital_status"])
     assert sorted(r.edition for r in other.select("edition").distinct().collect()) == [2019, 2021]
+
+
+def test_rebuild_same_day_replaces(spark, built):
+    ex, lake, _ = built
+    before = M.all_editions_mart(spark, lake, "course_mart", "2024-02-16").count()
+    M.build_marts(spark, ex, lake, "2024-02-16", csv_copy=False)
+    cm = M.all_editions_mart(spark, lake, "course_mart", "2024-02-16")
+    assert cm.count() == before
+    assert cm.groupBy("edition", "CO_CURSO").count().filter("count > 1").count() == 0

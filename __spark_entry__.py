@@ -18,6 +18,14 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from edumart.plans.analogues import QUERIES  # noqa: E402
 
+try:
+    from edumart.llm.queries import ORACLE_SQL as LLM_SQL  # noqa: E402
+    from edumart.llm.queries import QUERIES as LLM_QUERIES  # noqa: E402
+except ModuleNotFoundError as e:  # the subpackage is optional; its own faults are not hidden
+    if e.name not in {"edumart.llm", "edumart.llm.queries", "corpus_pipeline"}:
+        raise
+    LLM_QUERIES, LLM_SQL = {}, {}
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 
 
@@ -27,7 +35,7 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(QUERIES)
+    return {**QUERIES, **LLM_QUERIES}
 
 
 _ORDERS_SEL = "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders"
@@ -94,4 +102,4 @@ def oracle_sql() -> dict[str, str]:
     """Equivalent DuckDB SQL per query (views: region nation customer
     supplier part orders lineitem events documents embeddings pages
     benchmark labels conversations)."""
-    return dict(_SQL)
+    return {**_SQL, **LLM_SQL}

@@ -50,7 +50,7 @@ _SQL = {
     "layer_publish": _ORDERS_SEL,
     "landing_stream": _ORDERS_SEL,
     "na_tokens": "SELECT o_orderkey, nullif(o_orderstatus, 'P') AS status FROM orders",
-    "manifest_missing": "SELECT 'absent.parquet' AS file_name",
+    "manifest_missing": "SELECT 'orders' AS relation, 'orders.parquet' AS file_name, true AS present, count(*) AS n FROM orders UNION ALL SELECT 'lineitem', 'lineitem.parquet', true, count(*) FROM lineitem UNION ALL SELECT 'absent', 'absent.parquet', false, NULL::BIGINT",
     "route_by_filename": "SELECT 'customer' AS relation, count(*) AS n FROM customer UNION ALL SELECT 'orders', count(*) FROM orders",
     "layer_partition_prune": "SELECT o_orderkey, year(o_orderdate)::INTEGER AS edition FROM orders WHERE year(o_orderdate) = 1997",
     "project_registry": "SELECT c_custkey, c_name, c_nationkey, c_mktsegment FROM customer",
@@ -69,7 +69,7 @@ _SQL = {
     "course_age_stats": "SELECT l_orderkey, round(avg(l_quantity), 4) AS mean_age, round(median(l_quantity), 4) AS median_age, round(stddev_samp(l_quantity), 4) AS std_age FROM lineitem GROUP BY l_orderkey",
     "crosstab_count": "SELECT o_custkey, count(CASE WHEN o_orderstatus = 'F' THEN o_orderkey END) AS st_F, count(CASE WHEN o_orderstatus = 'O' THEN o_orderkey END) AS st_O, count(CASE WHEN o_orderstatus = 'P' THEN o_orderkey END) AS st_N FROM orders GROUP BY o_custkey",
     "crosstab_labelled": "SELECT o_custkey, count(CASE WHEN o_orderstatus = 'F' THEN o_orderkey END) AS status_final, count(CASE WHEN o_orderstatus = 'O' THEN o_orderkey END) AS status_open, count(CASE WHEN o_orderstatus = 'P' THEN o_orderkey END) AS status_not_answered FROM orders GROUP BY o_custkey",
-    "crosstab_missing_code": "SELECT o_custkey, count(CASE WHEN o_orderstatus = 'F' THEN 1 END) AS st_f, count(CASE WHEN o_orderstatus = 'X' THEN 1 END) AS st_x FROM orders GROUP BY o_custkey",
+    "crosstab_missing_code": "SELECT o_custkey, count(CASE WHEN o_orderstatus = 'F' THEN 1 END) AS st_f, count(CASE WHEN o_orderstatus = 'O' THEN 1 END) AS st_o, count(CASE WHEN o_orderstatus = 'P' THEN 1 END) AS st_p, count(CASE WHEN o_orderstatus = 'X' THEN 1 END) AS st_x FROM orders GROUP BY o_custkey",
     "institution_count_rollup": "SELECT c_nationkey, count(CASE WHEN o_orderstatus = 'F' THEN 1 END) AS st_f, count(CASE WHEN o_orderstatus = 'O' THEN 1 END) AS st_o, count(CASE WHEN o_orderstatus = 'P' THEN 1 END) AS st_n FROM orders JOIN customer ON o_custkey = c_custkey WHERE c_custkey % 7 <> 0 GROUP BY c_nationkey",
     "institution_score_mean": "WITH k AS (SELECT o_custkey, round_even(sum(o_totalprice::DECIMAL(18,2))::DOUBLE / count(o_totalprice) * 100, 0) / 100 AS score FROM orders GROUP BY o_custkey) SELECT c_nationkey, round_even(sum(score::DECIMAL(18,2))::DOUBLE / count(score) * 100, 0) / 100 AS score FROM k JOIN customer ON o_custkey = c_custkey WHERE c_custkey % 7 <> 0 GROUP BY c_nationkey",
     "institution_age_stats": "WITH k AS (SELECT o_custkey, avg(l_quantity) AS a, median(l_quantity) AS m, stddev_samp(l_quantity) AS s FROM orders JOIN lineitem ON o_orderkey = l_orderkey GROUP BY o_custkey) SELECT c_nationkey, round(avg(a), 4) AS mean_age, round(avg(m), 4) AS median_age, round(avg(s), 4) AS std_age FROM k JOIN customer ON o_custkey = c_custkey GROUP BY c_nationkey",
@@ -78,23 +78,44 @@ _SQL = {
     "union_editions": "SELECT c_custkey AS id, c_acctbal AS bal, c_mktsegment AS seg, NULL::INTEGER AS nation FROM customer UNION ALL SELECT s_suppkey, s_acctbal, NULL::VARCHAR, s_nationkey FROM supplier",
     "domain_violations": "SELECT o_orderpriority AS code, count(*) AS n FROM orders WHERE o_orderpriority NOT IN ('1-URGENT', '2-HIGH', '3-MEDIUM', '4-NOT SPECIFIED') GROUP BY 1",
     "duplicate_keys": "SELECT user_id, count(*) AS n FROM events GROUP BY user_id HAVING count(*) > 1",
-    "course_mart": (
-        f"WITH sc AS (SELECT o_custkey AS course, {_SCORE_ZERO} AS score FROM orders GROUP BY 1), "
-        "ct AS (SELECT o_custkey AS course, count(CASE WHEN o_orderstatus = 'F' THEN 1 END) AS st_f, count(CASE WHEN o_orderstatus = 'O' THEN 1 END) AS st_o, count(CASE WHEN o_orderstatus = 'P' THEN 1 END) AS st_n, count(CASE WHEN o_orderpriority = '1-URGENT' THEN 1 END) AS pr_1, count(CASE WHEN o_orderpriority = '5-LOW' THEN 1 END) AS pr_5 FROM orders GROUP BY 1), "
-        "ag AS (SELECT o_custkey AS course, round(avg(l_quantity), 4) AS mean_age, round(median(l_quantity), 4) AS median_age, round(stddev_samp(l_quantity), 4) AS std_age FROM orders JOIN lineitem ON o_orderkey = l_orderkey GROUP BY 1), "
-        "rg AS (SELECT c_custkey, c_mktsegment, c_nationkey, n_name FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_custkey % 7 <> 0) "
-        "SELECT sc.course, score, c_nationkey, n_name, c_mktsegment, st_f, st_o, st_n, pr_1, pr_5, mean_age, median_age, std_age "
-        "FROM sc LEFT JOIN rg ON sc.course = rg.c_custkey LEFT JOIN ct ON sc.course = ct.course LEFT JOIN ag ON sc.course = ag.course"),
-    "institution_mart": (
-        f"WITH sc AS (SELECT o_custkey AS course, {_SCORE_ZERO} AS score FROM orders GROUP BY 1), "
-        "rg AS (SELECT c_custkey, c_nationkey FROM customer WHERE c_custkey % 7 <> 0), "
-        "si AS (SELECT c_nationkey, round_even(sum(score::DECIMAL(18,2))::DOUBLE / count(score) * 100, 0) / 100 AS score FROM sc JOIN rg ON course = c_custkey GROUP BY 1), "
-        "ci AS (SELECT c_nationkey, count(CASE WHEN o_orderstatus = 'F' THEN 1 END) AS st_f, count(CASE WHEN o_orderstatus = 'P' THEN 1 END) AS st_n FROM orders JOIN rg ON o_custkey = c_custkey GROUP BY 1) "
-        "SELECT si.c_nationkey, n_name, score, st_f, st_n FROM si LEFT JOIN ci ON si.c_nationkey = ci.c_nationkey LEFT JOIN nation ON si.c_nationkey = n_nationkey"),
-    "all_editions_mart": "SELECT year(o_orderdate)::INTEGER AS edition, o_custkey AS course, round_even(sum(o_totalprice::DECIMAL(18,2))::DOUBLE / count(o_totalprice) * 100, 0) / 100 AS score, count(CASE WHEN o_orderstatus = 'F' THEN 1 END) AS st_f, count(CASE WHEN o_orderstatus = 'P' THEN 1 END) AS st_n FROM orders GROUP BY 1, 2",
 }
 
 
+_CELLS = [("o_orderstatus", "F", "st_f"), ("o_orderstatus", "O", "st_o"), ("o_orderstatus", "P", "st_n"),
+          ("o_orderpriority", "1-URGENT", "pr_1"), ("o_orderpriority", "2-HIGH", "pr_2"),
+          ("o_orderpriority", "3-MEDIUM", "pr_3"), ("o_orderpriority", "4-NOT SPECIFIED", "pr_4"),
+          ("o_orderpriority", "5-LOW", "pr_5")]
+_NAMES = ", ".join(n for _, _, n in _CELLS)
+
+
+def _course_ctes(keys: str) -> str:
+    cells = ", ".join(f"count(CASE WHEN {c} = '{v}' THEN 1 END) AS {n}" for c, v, n in _CELLS)
+    return (f"WITH o AS (SELECT *, o_custkey AS course, year(o_orderdate)::INTEGER AS edition FROM orders), "
+            f"pr AS (SELECT {keys}, {_SCORE_ZERO} AS score, {cells} FROM o GROUP BY {keys}), "
+            f"ag AS (SELECT {keys}, avg(l_quantity) AS a, median(l_quantity) AS m, stddev_samp(l_quantity) AS s "
+            f"FROM o JOIN lineitem ON o_orderkey = l_orderkey GROUP BY {keys}), "
+            f"rg AS (SELECT c_custkey AS course, c_mktsegment, c_nationkey, n_name FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_custkey % 7 <> 0) ")
+
+
+def _course_sql(keys: str) -> str:
+    return (_course_ctes(keys) + f"SELECT {keys}, score, c_nationkey, n_name, c_mktsegment, {_NAMES}, round(a, 4) AS mean_age, "
+            f"round(m, 4) AS median_age, round(s, 4) AS std_age FROM pr LEFT JOIN ag USING ({keys}) LEFT JOIN rg USING (course)")
+
+
+def _institution_sql(keys: str) -> str:
+    k = f"{keys}, " if keys else ""
+    sums = ", ".join(f"sum({n})::BIGINT AS {n}" for _, _, n in _CELLS)
+    return (_course_ctes(f"{k}course") + f", pi AS (SELECT {k}c_nationkey, round_even(sum(score::DECIMAL(18,2))::DOUBLE / count(score) * 100, 0) / 100 AS score, "
+            f"{sums} FROM pr JOIN rg USING (course) GROUP BY {k}c_nationkey), "
+            f"ai AS (SELECT {k}c_nationkey, round(avg(a), 4) AS mean_age, round(avg(m), 4) AS median_age, round(avg(s), 4) AS std_age "
+            f"FROM ag JOIN rg USING (course) GROUP BY {k}c_nationkey) "
+            f"SELECT {k}c_nationkey, n_name, score, {_NAMES}, mean_age, median_age, std_age FROM pi LEFT JOIN ai USING ({k}c_nationkey) LEFT JOIN nation ON c_nationkey = n_nationkey")
+
+
+_SQL["course_mart"] = _course_sql("course")
+_SQL["all_editions_mart"] = _course_sql("edition, course")
+_SQL["institution_mart"] = _institution_sql("")
+_SQL["all_editions_institution_mart"] = _institution_sql("edition")
 _SQL["course_mart_long"] = _SQL["course_mart"]
 
 

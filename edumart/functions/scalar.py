@@ -40,17 +40,18 @@ def round_half_even(c, places: int = 2) -> Column:
     return F.rint(_col(c) * F.lit(scale)) / F.lit(scale)
 
 
-def exact_mean(c, scale: int = 4) -> Column:
+def exact_mean(c) -> Column:
     """Aggregate: arithmetic mean with an exact decimal sum.
 
-    Summing the values as ``decimal(18, scale)`` makes the sum independent of
+    Summing the values as ``decimal(38, 18)`` makes the sum independent of
     row order and partitioning (a double sum is not), so every engine and
-    every retry returns the same bits. Missing values are skipped; a group
-    with no values yields NULL.
+    every retry returns the same bits. Digits past the 18th place are beyond
+    it; a group sum of 1e20 or more raises an error. Missing values are
+    skipped; a group with no values yields NULL.
     """
     x = _col(c)
     n = F.count(x)
-    s = F.sum(x.cast(f"decimal(18,{scale})")).cast("double")
+    s = F.sum(x.cast("decimal(38,18)")).cast("double")
     return F.when(n > 0, s / n)
 
 

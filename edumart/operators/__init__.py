@@ -4,7 +4,7 @@ from edumart.operators.columns import drop_like, drop_null_keys, move_first, pro
 from edumart.operators.crosstab import answers_long, count_long, crosstab, profile, rollup, widen  # noqa: F401
 from edumart.operators.dedupe import dedupe_first  # noqa: F401
 from edumart.operators.joins import (  # noqa: F401
-    chain_left, checked_broadcast, enrich, join_suffixed, null_safe_join)
+    chain_left, enrich, join_suffixed, null_safe_join)
 from edumart.operators.ordering import desc_nulls_last_order, with_position  # noqa: F401
 from edumart.operators.stats import avg_of_stats, mean_of_means, mean_scores, value_stats  # noqa: F401
 from edumart.operators.union import union_editions  # noqa: F401

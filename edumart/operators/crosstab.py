@@ -99,7 +99,7 @@ def crosstab(df: DataFrame, keys: Sequence[str], code,
 
 def profile(df: DataFrame, keys: Sequence[str], means: Sequence[tuple[str, Column]] = (),
             cells: Sequence[tuple[Column, str, str]] = (), counted=None, places: int = 2,
-            zero_fill: bool = False, scale: int = 4) -> DataFrame:
+            zero_fill: bool = False) -> DataFrame:
     """Per-key profile of a *wide* source in one hash aggregate: rounded exact
     means of ``means`` (name, column) and conditional counts for ``cells``
     (code column, code, output name).
@@ -115,7 +115,7 @@ def profile(df: DataFrame, keys: Sequence[str], means: Sequence[tuple[str, Colum
     counted_col = _c(counted) if counted is not None else F.lit(1)
     aggs = []
     for name, col in means:
-        m = round_half_even(exact_mean(col, scale), places)
+        m = round_half_even(exact_mean(col), places)
         aggs.append((F.coalesce(m, F.lit(0.0)) if zero_fill else m).alias(name))
     for code_col, code, name in cells:
         aggs.append(F.count(F.when(_c(code_col) == code, counted_col)).alias(name))

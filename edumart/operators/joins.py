@@ -1,4 +1,4 @@
-"""Join helpers: pandas-style suffixing, null-safe keys, checked broadcast."""
+"""Join helpers: pandas-style suffixing, null-safe keys."""
 
 from __future__ import annotations
 
@@ -34,44 +34,38 @@ def join_suffixed(left: DataFrame, right: DataFrame, on, how: str = "left",
 
 def null_safe_join(left: DataFrame, right: DataFrame, on, how: str = "inner") -> DataFrame:
     """Equi-join where a NULL key matches a NULL key (pandas ``merge``
-    parity, J7). Key columns appear once, taken from whichever side has them."""
+    parity, J7). Key columns appear once, taken from whichever side has them;
+    other shared names get ``_x`` / ``_y``."""
     keys = _keys(on)
-    r = right.select(*[qcol(c).alias(f"_r_{c}") if c in keys else qcol(c)
-                       for c in right.columns])
+    clash = (set(left.columns) & set(right.columns)) - set(keys)
+    taken = {*left.columns, *right.columns}
+    temp = {}
+    for k in keys:
+        name = f"{k}_right"
+        while name in taken:
+            name += "_"
+        taken.add(name)
+        temp[k] = name
+    r = right.select(*[qcol(c).alias(temp.get(c, c)) for c in right.columns])
     cond = None
     for k in keys:
-        c = left[k].eqNullSafe(r[f"_r_{k}"])
+        c = left[k].eqNullSafe(r[temp[k]])
         cond = c if cond is None else cond & c
     joined = left.join(r, cond, how)
-    key_cols = [F.coalesce(left[k], r[f"_r_{k}"]).alias(k) for k in keys]
-    rest_l = [left[c] for c in left.columns if c not in keys]
-    rest_r = [r[c] for c in r.columns if not c.startswith("_r_")]
+    key_cols = [F.coalesce(left[k], r[temp[k]]).alias(k) for k in keys]
+    rest_l = [left[c].alias(c + "_x" if c in clash else c) for c in left.columns if c not in keys]
+    rest_r = [r[c].alias(c + "_y" if c in clash else c) for c in right.columns if c not in keys]
     return joined.select(*key_cols, *rest_l, *rest_r)
 
 
-def checked_broadcast(dim: DataFrame, max_rows: int) -> DataFrame:
-    """Mark ``dim`` for broadcast only if it provably holds <= ``max_rows`` rows.
-
-    The check is a bounded count (``limit(max_rows + 1)``), cheap on a
-    materialised registry. Beyond the bound the side is returned unhinted and
-    the planner picks a shuffle join (AQE may still convert it at run time
-    from the real shuffle size).
-    """
-    n = dim.limit(max_rows + 1).count()
-    return F.broadcast(dim) if n <= max_rows else dim
-
-
 def enrich(fact: DataFrame, dim: DataFrame, on, how: str = "left",
-           suffixes: tuple[str, str] = ("_x", "_y"),
-           max_broadcast_rows: int | None = None) -> DataFrame:
+           suffixes: tuple[str, str] = ("_x", "_y")) -> DataFrame:
     """Attach dimension attributes to a keyed summary.
 
     ``dim`` must be unique on ``on`` (de-duplicated registry), so the join
-    never fans out. Broadcast only behind ``checked_broadcast``; otherwise the
-    engine decides from its own size estimate and AQE's runtime statistics.
+    never fans out. The planner decides on a broadcast from its size estimate
+    in bytes.
     """
-    if max_broadcast_rows is not None:
-        dim = checked_broadcast(dim, max_broadcast_rows)
     return join_suffixed(fact, dim, on, how, suffixes)
 
 

@@ -13,13 +13,13 @@ from edumart.operators.columns import drop_null_keys
 
 
 def mean_scores(df: DataFrame, keys: Sequence[str], cols: Sequence[str],
-                places: int | None = 2, zero_fill: bool = False, scale: int = 4) -> DataFrame:
+                places: int | None = 2, zero_fill: bool = False) -> DataFrame:
     """Per-key mean of each score column, missing values skipped, rounded
     half-even to ``places``; ``zero_fill`` turns a key without any value into
     0 (course scores, K2)."""
     aggs = []
     for c in cols:
-        m = exact_mean(c, scale)
+        m = exact_mean(c)
         m = round_half_even(m, places) if places is not None else m
         aggs.append(F.coalesce(m, F.lit(0.0)).alias(c) if zero_fill else m.alias(c))
     return drop_null_keys(df, keys).groupBy(*keys).agg(*aggs)
@@ -32,14 +32,13 @@ def _map_up(child: DataFrame, mapping: DataFrame, from_key: str, to_key: str,
 
 
 def mean_of_means(child: DataFrame, mapping: DataFrame, from_key: str, to_key: str,
-                  cols: Sequence[str], keys: Sequence[str] = (), places: int | None = 2,
-                  scale: int = 2) -> DataFrame:
+                  cols: Sequence[str], keys: Sequence[str] = (), places: int | None = 2) -> DataFrame:
     """Second-level mean (A6): every child row weighs 1, whatever its own
     population; children missing from ``mapping`` drop out (K3)."""
     j = _map_up(child, mapping, from_key, to_key, keys)
     aggs = []
     for c in cols:
-        m = exact_mean(c, scale)
+        m = exact_mean(c)
         aggs.append((round_half_even(m, places) if places is not None else m).alias(c))
     return j.groupBy(*keys, to_key).agg(*aggs)
 

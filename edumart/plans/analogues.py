@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from edumart.functions.scalar import fill_category, round_half_even
+from edumart.functions.scalar import exact_mean, fill_category, round_half_even
 from edumart.operators import (
     answers_long, avg_of_stats, chain_left, count_long, crosstab, dedupe_first,
     desc_nulls_last_order, domain_violations, drop_like, drop_null_keys,
@@ -34,11 +34,6 @@ from edumart.sources import (
     manifest_report, publish, read_delimited, read_mart, route_by_filename,
     write_delimited, write_layer, write_mart)
 
-# nation has a fixed 25 rows at every scale factor; the bound is still
-# checked at run time before it is broadcast.
-NATION_MAX_ROWS = 1000
-
-
 # Schemas of the driver tables used here. Declaring them skips
 # the footer-inference job Spark runs for every schemaless parquet read.
 TABLE_SCHEMAS = {
@@ -147,10 +142,17 @@ def q_na_tokens(spark, sf):
 
 
 def q_manifest_missing(spark, sf):
+    """Every manifest entry: present or absent, and its rows."""
     manifest = spark.createDataFrame(
         [("orders", "orders.parquet"), ("lineitem", "lineitem.parquet"),
          ("absent", "absent.parquet")], "relation string, file_name string")
-    return manifest_report(spark, manifest, sf, glob="*.parquet").select("file_name")
+    absent = manifest_report(spark, manifest, sf, glob="*.parquet").select("file_name", F.lit(False).alias("here"))
+    scan = spark.read.schema("_probe int").option("pathGlobFilter", "*.parquet").parquet(sf)
+    rows = scan.groupBy(F.col("_metadata.file_name").alias("file_name")).agg(F.count(F.lit(1)).alias("n"))
+    out = manifest.join(absent, "file_name", "left").join(rows, "file_name", "left")
+    present = F.coalesce("here", F.lit(True))
+    return out.select("relation", "file_name", present.alias("present"),
+                      F.when(present, F.coalesce("n", F.lit(0))).alias("n"))
 
 
 def q_route_by_filename(spark, sf):
@@ -236,8 +238,7 @@ def _nation_dim(spark, sf, key="c_nationkey", gaps=False):
 
 def q_registry_inner(spark, sf):
     c = table(spark, sf, "customer").select("c_custkey", "c_nationkey")
-    return enrich(c, _nation_dim(spark, sf), "c_nationkey", how="inner",
-                  max_broadcast_rows=NATION_MAX_ROWS)
+    return enrich(c, _nation_dim(spark, sf), "c_nationkey", how="inner")
 
 
 def q_course_left_enrich(spark, sf):
@@ -249,8 +250,7 @@ def q_course_left_enrich(spark, sf):
 
 def q_institution_left_enrich(spark, sf):
     g = table(spark, sf, "customer").groupBy("c_nationkey").agg(F.count(F.lit(1)).alias("n"))
-    return enrich(g, _nation_dim(spark, sf, gaps=True), "c_nationkey", how="left",
-                  max_broadcast_rows=NATION_MAX_ROWS)
+    return enrich(g, _nation_dim(spark, sf, gaps=True), "c_nationkey", how="left")
 
 
 def q_null_safe_join(spark, sf):
@@ -296,7 +296,7 @@ def q_crosstab_labelled(spark, sf):
 
 def q_crosstab_missing_code(spark, sf):
     o = table(spark, sf, "orders")
-    return crosstab(o, ["o_custkey"], "o_orderstatus", [("F", "st_f"), ("X", "st_x")])
+    return crosstab(o, ["o_custkey"], "o_orderstatus", [("F", "st_f"), ("O", "st_o"), ("P", "st_p"), ("X", "st_x")])
 
 
 def _course_to_nation(spark, sf, gaps=True):
@@ -363,33 +363,57 @@ def q_duplicate_keys(spark, sf):
 
 # ---------------------------------------------------------------- marts
 
-MART_CELLS = [("status", "F", "st_f"), ("status", "O", "st_o"), ("status", "N", "st_n"),
-              ("priority", "1-URGENT", "pr_1"), ("priority", "5-LOW", "pr_5")]
+STATUSES = {"F": "st_f", "O": "st_o", "N": "st_n"}
+PRIORITIES = {"1-URGENT": "pr_1", "2-HIGH": "pr_2", "3-MEDIUM": "pr_3", "4-NOT SPECIFIED": "pr_4", "5-LOW": "pr_5"}
+MART_CELLS = [("status", c, n) for c, n in STATUSES.items()] + [("priority", c, n) for c, n in PRIORITIES.items()]
+CELL_NAMES = [n for _, _, n in MART_CELLS]
 
 
 def _mart_cells():
-    """(code column, code, name) cells of the analogue course mart: the status
-    item (P read as not answered) and two priority codes."""
+    """(code column, code, name) cells of the analogue marts: every code of the
+    status item (P read as not answered) and of the priority item."""
     status = fill_category(status_answer())
-    return [(status, "F", "st_f"), (status, "O", "st_o"), (status, "N", "st_n"),
-            (F.col("o_orderpriority"), "1-URGENT", "pr_1"), (F.col("o_orderpriority"), "5-LOW", "pr_5")]
+    return [(status, c, n) for c, n in STATUSES.items()] + [(F.col("o_orderpriority"), c, n) for c, n in PRIORITIES.items()]
+
+
+def _mart_profile(spark, sf, keys):
+    o = table(spark, sf, "orders").withColumns({"course": F.col("o_custkey"), "edition": edition()})
+    return profile(o, keys, means=[("score", injected_score())], cells=_mart_cells(), zero_fill=True)
+
+
+def _mart_ages(spark, sf, keys):
+    o, li = table(spark, sf, "orders"), table(spark, sf, "lineitem")
+    rows = o.join(li, o["o_orderkey"] == li["l_orderkey"]).select(
+        edition().alias("edition"), o["o_custkey"].alias("course"), li["l_quantity"])
+    return value_stats(rows.select(*keys, "l_quantity"), keys, "l_quantity", AGE_NAMES)
+
+
+def _mart_registry(spark, sf):
+    return join_suffixed(registered(table(spark, sf, "customer")).select(
+        F.col("c_custkey").alias("course"), "c_mktsegment", "c_nationkey"), _nation_dim(spark, sf), "c_nationkey", how="inner")
+
+
+def _courses_mart(spark, sf, keys):
+    mart = chain_left(enrich(_mart_profile(spark, sf, keys), _mart_registry(spark, sf), "course", how="left"),
+                      [round4(_mart_ages(spark, sf, keys), AGE_NAMES)], keys)
+    return mart.select(*keys, "score", "c_nationkey", "n_name", "c_mktsegment", *CELL_NAMES, *AGE_NAMES)
+
+
+def _institutions_mart(spark, sf, keys):
+    """Raw rows are aggregated per course first; scores, counts and ages then
+    roll up through the registry on course rows."""
+    reg = registered(table(spark, sf, "customer")).select(F.col("c_custkey").alias("course"), "c_nationkey")
+    to = [*keys, "c_nationkey"]
+    prof = _mart_profile(spark, sf, [*keys, "course"]).join(reg, "course").groupBy(*to).agg(
+        round_half_even(exact_mean("score")).alias("score"), *[F.sum(n).alias(n) for n in CELL_NAMES])
+    age = _mart_ages(spark, sf, [*keys, "course"]).join(reg, "course").groupBy(*to).agg(
+        *[F.avg(n).alias(n) for n in AGE_NAMES])
+    mart = enrich(chain_left(prof, [round4(age, AGE_NAMES)], to), _nation_dim(spark, sf), "c_nationkey", how="left")
+    return mart.select(*keys, "c_nationkey", "n_name", "score", *CELL_NAMES, *AGE_NAMES)
 
 
 def q_course_mart(spark, sf):
-    # orders is a wide source (score and both items on one row): one
-    # aggregate profiles every course in a single scan and exchange.
-    o = table(spark, sf, "orders")
-    prof = profile(o.withColumn("course", F.col("o_custkey")), ["course"],
-                   means=[("score", injected_score())], cells=_mart_cells(), zero_fill=True)
-    age = value_stats(ages(spark, sf, "course"), ["course"], "l_quantity", AGE_NAMES,
-                      round_places=4)
-    reg = join_suffixed(
-        registered(table(spark, sf, "customer")).select(
-            F.col("c_custkey").alias("course"), "c_mktsegment", "c_nationkey"),
-        _nation_dim(spark, sf), "c_nationkey", how="inner")
-    mart = chain_left(enrich(prof, reg, "course", how="left"), [age], "course")
-    return mart.select("course", "score", "c_nationkey", "n_name", "c_mktsegment",
-                       *[n for _, _, n in MART_CELLS], *AGE_NAMES)
+    return _courses_mart(spark, sf, ["course"])
 
 
 def q_course_mart_long(spark, sf):
@@ -412,34 +436,19 @@ def q_course_mart_long(spark, sf):
         _nation_dim(spark, sf), "c_nationkey", how="inner")
     mart = chain_left(enrich(scores, reg, "course", how="left"), [counts, age], "course")
     return mart.select("course", "score", "c_nationkey", "n_name", "c_mktsegment",
-                       *[n for _, _, n in MART_CELLS], *AGE_NAMES)
+                       *CELL_NAMES, *AGE_NAMES)
 
 
 def q_institution_mart(spark, sf):
-    scores = _course_scores(spark, sf, injected=True, zero_fill=True)
-    reg = _course_to_nation(spark, sf)
-    inst_scores = mean_of_means(scores, reg, "o_custkey", "c_nationkey", ["score"])
-    # counts straight per institution: respondent rows take their course's
-    # institution through the registry (bounded by the number of courses),
-    # then one conditional-count aggregate
-    o = table(spark, sf, "orders").join(reg, "o_custkey", "inner")
-    counts = crosstab(o, ["c_nationkey"], fill_category(status_answer()),
-                      [("F", "st_f"), ("N", "st_n")])
-    # no hint: the planner's file-size estimate (and AQE's runtime size) of
-    # the dimension decides the broadcast, with a shuffle join beyond it
-    mart = enrich(chain_left(inst_scores, [counts], "c_nationkey"), _nation_dim(spark, sf),
-                  "c_nationkey", how="left")
-    return mart.select("c_nationkey", "n_name", "score", "st_f", "st_n")
+    return _institutions_mart(spark, sf, [])
 
 
 def q_all_editions_mart(spark, sf):
-    # every edition in one aggregate: the edition is part of the key
-    keys = ["edition", "course"]
-    o = table(spark, sf, "orders").select(edition().alias("edition"), F.col("o_custkey").alias("course"),
-                                          "o_totalprice", "o_orderstatus")
-    status = fill_category(status_answer())
-    return profile(o, keys, means=[("score", F.col("o_totalprice"))],
-                   cells=[(status, "F", "st_f"), (status, "N", "st_n")])
+    return _courses_mart(spark, sf, ["edition", "course"])
+
+
+def q_all_editions_institution_mart(spark, sf):
+    return _institutions_mart(spark, sf, ["edition"])
 
 
 QUERIES = {
@@ -481,4 +490,5 @@ QUERIES = {
     "course_mart_long": q_course_mart_long,
     "institution_mart": q_institution_mart,
     "all_editions_mart": q_all_editions_mart,
+    "all_editions_institution_mart": q_all_editions_institution_mart,
 }

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from edumart.operators import (
-    answers_long, avg_of_stats, chain_left, checked_broadcast, count_long, dedupe_first,
+    answers_long, avg_of_stats, chain_left, count_long, dedupe_first,
     join_suffixed, long_domain_violations, mean_of_means, mean_scores, move_first, rename,
     rollup, union_editions, value_stats, widen)
 from edumart.schemas import (
@@ -44,10 +44,6 @@ from edumart.sources import (
     LATIN1, list_files, manifest_report, read_delimited, read_layer, route_expr, write_layer,
     write_mart)
 
-# Registries are bounded by the number of courses / institutions of an
-# edition (tens of thousands), never by the number of respondents. The
-# bound is checked on the materialised registry before any broadcast.
-REGISTRY_MAX_BROADCAST_ROWS = 2_000_000
 
 
 @dataclass(frozen=True)
@@ -161,7 +157,8 @@ def land_extracts(spark: SparkSession, root: str, editions: Sequence[int], lake_
         if not eds:
             continue
         df = read_relation(spark, root, name, eds, layout, questions)
-        out[name] = write_layer(df, lake_root, "silver", f"extracts/{name}", run_date, [EDITION])
+        out[name] = write_layer(df, lake_root, "silver", f"extracts/{name}", run_date, [EDITION],
+                                keep_other_partitions=True)
     return out
 
 
@@ -232,27 +229,21 @@ def violations(spark: SparkSession, counts: DataFrame,
 # ---------------------------------------------------------------- marts
 
 def course_mart_from(scores: DataFrame, registry: DataFrame, counts: DataFrame,
-                     ages: DataFrame, questions: Sequence[Question] = QUESTIONS,
-                     registry_broadcast_rows: int | None = None) -> DataFrame:
+                     ages: DataFrame, questions: Sequence[Question] = QUESTIONS) -> DataFrame:
     """One row per scored course: scores, registry, 99 counts, age stats."""
     keys = [EDITION, COURSE]
     wide = widen(counts, keys, item_cells(questions))
     reg = registry.drop("_ordinal") if "_ordinal" in registry.columns else registry
-    if registry_broadcast_rows is not None:
-        reg = checked_broadcast(reg, registry_broadcast_rows)
     base = join_suffixed(scores, reg, keys, how="left")
     return chain_left(base, [wide, ages], keys)
 
 
 def institution_mart_from(scores: DataFrame, registry: DataFrame, counts: DataFrame,
                           ages: DataFrame, inst_registry: DataFrame,
-                          questions: Sequence[Question] = QUESTIONS,
-                          registry_broadcast_rows: int | None = None) -> DataFrame:
+                          questions: Sequence[Question] = QUESTIONS) -> DataFrame:
     """One row per institution with at least one scored, registered course."""
     keys = [EDITION, INSTITUTION]
     mapping = registry.select(EDITION, COURSE, INSTITUTION)
-    if registry_broadcast_rows is not None:
-        mapping = checked_broadcast(mapping, registry_broadcast_rows)
     inst_scores = mean_of_means(scores, mapping, COURSE, INSTITUTION, SCORE_COLS, keys=[EDITION])
     inst_counts = widen(rollup(counts, mapping, COURSE, INSTITUTION, keys=[EDITION]), keys,
                         item_cells(questions))
@@ -262,8 +253,6 @@ def institution_mart_from(scores: DataFrame, registry: DataFrame, counts: DataFr
     mart = chain_left(inst_scores, [inst_counts, inst_ages], keys)
     mart = mart.select(*keys, *SCORE_COLS, *sex, *AGE_STATS, *rest)
     ireg = inst_registry.drop("_ordinal") if "_ordinal" in inst_registry.columns else inst_registry
-    if registry_broadcast_rows is not None:
-        ireg = checked_broadcast(ireg, registry_broadcast_rows)
     return join_suffixed(mart, ireg, keys, how="left")
 
 
@@ -310,9 +299,8 @@ def build_marts(spark: SparkSession, ex: Extracts, lake_root: str, run_date: str
 
     reg, ireg, counts = s("registry"), s("institution_registry"), s("answer_counts")
     scores, ages = s("course_scores"), s("course_ages")
-    cm = course_mart_from(scores, reg, counts, ages, questions, REGISTRY_MAX_BROADCAST_ROWS)
-    im = institution_mart_from(scores, reg, counts, ages, ireg, questions,
-                               REGISTRY_MAX_BROADCAST_ROWS)
+    cm = course_mart_from(scores, reg, counts, ages, questions)
+    im = institution_mart_from(scores, reg, counts, ages, ireg, questions)
     out = {k: v for k, v in silver.items()}
     out["course_mart"] = write_layer(labelled(sorted_for_sink(cm, COURSE), questions), lake_root, "gold",
                                      "course_mart", run_date, [EDITION])

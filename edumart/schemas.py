@@ -19,6 +19,7 @@ AGE_COL = "NU_IDADE"
 AGE_STATS = ("MEDIA_IDADE", "MEDIANA_IDADE", "DESVIO_PADRAO_IDADE")
 MISSING = "N"
 
+# Column names and types of the extracts and registries.
 SCORES = [(COURSE, "bigint"), ("NT_GER", "double"), ("NT_FG", "double"), ("NT_CE", "double")]
 AGES = [(COURSE, "bigint"), (AGE_COL, "int")]
 

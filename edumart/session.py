@@ -10,8 +10,8 @@ from pyspark.sql import SparkSession
 
 # Settings for a large cluster. AQE coalesces small partitions, splits
 # skewed join partitions and reads shuffles locally where it can. Broadcasts
-# come only from the planner's size estimate (small file-based dimensions)
-# or from ``checked_broadcast`` hints; AQE's runtime demotion of sort-merge
+# come only from the planner's size estimate (small file-based dimensions);
+# AQE's runtime demotion of sort-merge
 # joins to broadcasts is off: the joins here are between aggregates already
 # hash-partitioned on the join key, where a sort-merge join needs no extra
 # shuffle and a runtime broadcast would collect a per-course table through
@@ -69,6 +69,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         sc = spark.sparkContext
         root = sc.getCheckpointDir()
         if not root:
+            if not (sc.master == "local" or sc.master.startswith("local[")):
+                raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
             root = tempfile.mkdtemp(prefix="edumart-ckpt-")
             sc.setCheckpointDir(root)
             return root

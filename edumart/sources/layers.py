@@ -1,9 +1,8 @@
 """Lake layers (S6, S8): ``<root>/<layer>/date=<run date>/...`` in Parquet.
 
-A run writes its own ``date`` partition with dynamic partition overwrite, so
-re-running a day replaces that day only, and readers filtering on ``date``
-(or on any other partition column such as ``edition``) list only the
-matching directories (partition pruning).
+A run replaces its own ``date`` folder, so re-running a day replaces that day
+only; readers of a run open that folder, and filters on other partition columns
+such as ``edition`` list only the matching directories.
 """
 
 from __future__ import annotations
@@ -14,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 LAYERS = ("bronze", "silver", "gold")
+SCHEMA_FOLDER = "_schema"          # the leading "_" hides it from scans of the dataset
 
 
 def layer_root(root: str, layer: str) -> str:
@@ -23,18 +23,30 @@ def layer_root(root: str, layer: str) -> str:
 
 
 def write_layer(df: DataFrame, root: str, layer: str, name: str, run_date: str,
-                partition_by: Sequence[str] = ()) -> str:
+                partition_by: Sequence[str] = (), keep_other_partitions: bool = False) -> str:
+    """Write the run's ``date=`` folder, replacing exactly that folder: rows and
+    partitions of an earlier run of the day go, also when the new result is
+    empty. ``keep_other_partitions``: replace only the partitions present in
+    ``df`` (landing one edition again). The schema is kept beside the data, so
+    an empty result still reads as a table."""
     path = f"{layer_root(root, layer)}/{name}"
-    (df.withColumn("date", F.lit(run_date)).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic")
-     .partitionBy("date", *partition_by).parquet(path))
+    run = f"{path}/date={run_date}"
+    w = df.write.mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic" if keep_other_partitions else "static")
+    (w.partitionBy(*partition_by) if partition_by else w).parquet(run)
+    df.limit(0).write.mode("overwrite").parquet(f"{run}/{SCHEMA_FOLDER}")
     return path
 
 
 def read_layer(spark: SparkSession, root: str, layer: str, name: str,
                run_date: str | None = None) -> DataFrame:
-    df = spark.read.parquet(f"{layer_root(root, layer)}/{name}")
-    return df.filter(F.col("date") == run_date) if run_date is not None else df
+    """One run's folder with that run's own schema, or all runs together."""
+    path = f"{layer_root(root, layer)}/{name}"
+    if run_date is None:
+        return spark.read.option("mergeSchema", True).parquet(path)
+    run = f"{path}/date={run_date}"
+    schema = spark.read.parquet(f"{run}/{SCHEMA_FOLDER}").schema
+    return spark.read.schema(schema).parquet(run).withColumn("date", F.lit(run_date))
 
 
 def publish(spark: SparkSession, src: str, target_uri: str,

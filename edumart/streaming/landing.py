@@ -26,20 +26,22 @@ EDITION_FROM_NAME = r"(\d{4})"
 
 
 def extract_stream(spark: SparkSession, landing_dir: str, header: Sequence[str],
-                   columns: Sequence[tuple[str, str]], glob: str = "*.csv", sep: str = ";",
+                   columns: Sequence[tuple[str, str]], glob: str = "*[0-9][0-9][0-9][0-9]*.csv", sep: str = ";",
                    encoding: str = LATIN1, max_files_per_trigger: int | None = None,
                    na_tokens=PANDAS_NA_TOKENS) -> DataFrame:
     """Streaming read of delimited extracts. ``header``: every column of the
-    files in order (a streaming source needs the full schema up front);
-    ``columns``: the (name, type) pairs to keep."""
+    files in order (a streaming source needs the full schema up front; a file
+    whose header differs stops the query instead of landing swapped columns);
+    ``columns``: the (name, type) pairs to keep; ``glob``: files without a year
+    in their name are strays and not read."""
     schema = ", ".join(f"`{h}` string" for h in header)
-    r = (spark.readStream.format("csv").schema(schema).option("header", True)
+    r = (spark.readStream.format("csv").schema(schema).option("header", True).option("enforceSchema", False)
          .option("sep", sep).option("encoding", encoding).option("quote", '"')
          .option("escape", '"').option("pathGlobFilter", glob))
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     raw = r.load(landing_dir)
-    edition = F.regexp_extract(F.col("_metadata.file_name"), EDITION_FROM_NAME, 1).cast("int")
+    edition = F.regexp_extract(F.col("_metadata.file_name"), EDITION_FROM_NAME, 1).try_cast("int")
     return raw.select(*[_convert(qcol(c), t, na_tokens, False).alias(c) for c, t in columns],
                       edition.alias("edition"))
 
@@ -48,7 +50,11 @@ def land(df: DataFrame, lake_root: str, name: str, run_date: str,
          checkpoint: str | None = None, available_now: bool = True) -> StreamingQuery:
     """Append a streaming frame to the bronze layer; returns the running
     query (``awaitTermination()`` on it for an AvailableNow run)."""
-    ckpt = checkpoint or f"{checkpoint_root(df.sparkSession)}/edumart-landing/{name}"
+    ckpt = checkpoint
+    if ckpt is None:
+        if not df.sparkSession.conf.get("spark.checkpoint.dir", None):
+            raise ValueError("exactly-once landing needs a checkpoint folder that outlives this process")
+        ckpt = f"{checkpoint_root(df.sparkSession)}/edumart-landing/{name}"
     w = (df.withColumn("date", F.lit(run_date)).writeStream.format("parquet")
          .outputMode("append").option("checkpointLocation", ckpt)
          .partitionBy("date", "edition"))

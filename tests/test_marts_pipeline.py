@@ -128,16 +128,6 @@ def test_long_form_counts_single_exchange(spark, built):
     assert len(re.findall(r"Exchange hashpartitioning", plan)) == 1
 
 
-def test_registry_broadcast_after_size_check(spark, built):
-    _, lake, paths = built
-    from edumart.sources import read_layer
-    s = lambda n: read_layer(spark, lake, "silver", n, "2024-02-16").drop("date")
-    cm = M.course_mart_from(s("course_scores"), s("registry"), s("answer_counts"), s("course_ages"),
-                            registry_broadcast_rows=M.REGISTRY_MAX_BROADCAST_ROWS)
-    plan = cm._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan
-    assert "ObjectHashAggregate" not in plan
-
 
 def test_cli_build(spark, extracts_dir, capsys):
     import json

@@ -90,6 +90,8 @@ def test_e9_null_safe_join(spark):
     left = spark.createDataFrame([(1, "a"), (None, "b")], "k int, l string")
     right = spark.createDataFrame([(1, "x"), (None, "y")], "k int, r string")
     assert null_safe_join(left, right, "k").count() == 2
+    odd = right.withColumnRenamed("r", "_r_code").withColumn("l", F.lit(1)).withColumn("k_right", F.lit(2))
+    assert null_safe_join(left, odd, "k").columns == ["k", "l_x", "_r_code", "l_y", "k_right"]
     assert left.join(right, "k").count() == 1
 
 
@@ -163,3 +165,10 @@ def test_approx_median_opt_in(spark):
     approx = {r.k: r.median for r in value_stats(df, ["k"], "v", exact_median=False).collect()}
     assert exact == {0: 500.0, 1: 500.0}
     assert all(abs(approx[k] - exact[k]) <= 2 for k in exact)
+
+
+def test_mean_keeps_small_digits_and_large_values(spark):
+    from edumart.operators import mean_scores
+    df = spark.createDataFrame([(1, 0.00004), (1, 0.00004), (2, 1e15), (2, 3e15)], "k int, v double")
+    got = {r.k: r.v for r in mean_scores(df, ["k"], ["v"], places=None).collect()}
+    assert got == {1: 0.00004, 2: 2e15}

@@ -39,13 +39,15 @@ def test_partition_filter_prunes(spark):
     assert "PartitionFilters: [isnotnull(edition" in plan and "(edition#" in plan
 
 
-def test_checked_broadcast_for_bounded_dimension(spark):
-    c = A.table(spark, SF, "customer").select("c_custkey", "c_nationkey")
-    n = A.table(spark, SF, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
-    plan = _plan(enrich(c, n, "c_nationkey", how="inner", max_broadcast_rows=1000))
-    assert "BroadcastHashJoin" in plan
-    plan2 = _plan(enrich(c, n, "c_nationkey", how="inner", max_broadcast_rows=10))
-    assert "BroadcastExchange" not in plan2 or "SortMergeJoin" in plan2 or "AdaptiveSparkPlan" in plan2
+def test_institution_mart_aggregates_before_its_join(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = A.q_institution_mart(spark, SF)
+        plan = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    raw = [x for x in plan.splitlines() if "Exchange hashpartitioning(o_custkey" in x]
+    assert not raw, raw
 
 
 def test_value_stats_stays_in_hash_aggregates(spark):

@@ -124,3 +124,19 @@ def test_union_csv_marts_different_headers(spark, tmp_dir):
     assert u.columns[0] == "edition" and set(u.columns) == {"edition", "CO_CURSO", "A", "B"}
     got = sorted((r.edition, r.CO_CURSO, r.A, r.B) for r in u.collect())
     assert got == [("2019", "1", "5", None), ("2021", "2", None, "7")]
+
+
+def test_rerun_replaces_exactly_its_day(spark, tmp_dir):
+    root = f"{tmp_dir}/rerun"
+    df = spark.createDataFrame([(1, 2019), (2, 2021)], "id int, edition int")
+    write_layer(df, root, "gold", "t", "2024-02-15", ["edition"])
+    write_layer(df, root, "gold", "t", "2024-02-16", ["edition"])
+    write_layer(df.filter("edition = 2021"), root, "gold", "t", "2024-02-16", ["edition"])
+    assert [r.id for r in read_layer(spark, root, "gold", "t", "2024-02-16").collect()] == [2]
+    assert read_layer(spark, root, "gold", "t", "2024-02-15").count() == 2
+    write_layer(df.filter("id < 0"), root, "gold", "t", "2024-02-16", ["edition"])
+    again = read_layer(spark, root, "gold", "t", "2024-02-16")
+    assert again.count() == 0 and again.columns == ["id", "edition", "date"]
+    wider = df.selectExpr("*", "id * 2 as more")
+    write_layer(wider, root, "gold", "t", "2024-02-17")
+    assert read_layer(spark, root, "gold", "t", "2024-02-17").columns == ["id", "edition", "more", "date"]

@@ -35,3 +35,20 @@ def test_landing_is_incremental_and_exactly_once(spark, tmp_dir):
     run()
     out = spark.read.parquet(f"{lake}/bronze/arq7")
     assert out.count() == 4 and out.filter("edition = 2018").count() == 1
+
+
+def test_swapped_headers_stop_and_strays_stay_out(spark, tmp_dir):
+    import pytest
+    landing, lake = f"{tmp_dir}/landing2", f"{tmp_dir}/lake2"
+    _write(f"{landing}/microdados2019_arq7.csv", "NU_ANO;CO_CURSO;QE_I01\n2019;1;A\n")
+    _write(f"{landing}/other.csv", "a;b\n1;2\n")
+    header, cols = ["NU_ANO", "CO_CURSO", "QE_I01"], [("NU_ANO", "int"), ("CO_CURSO", "bigint"), ("QE_I01", "string")]
+
+    def run():
+        land(extract_stream(spark, landing, header, cols), lake, "arq7", "2024-02-16", f"{tmp_dir}/ckpt2").awaitTermination()
+
+    run()
+    assert spark.read.parquet(f"{lake}/bronze/arq7").count() == 1
+    _write(f"{landing}/microdados2021_arq7.csv", "CO_CURSO;NU_ANO;QE_I01\n7;2021;B\n")
+    with pytest.raises(Exception):
+        run()

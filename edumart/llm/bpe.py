@@ -37,7 +37,8 @@ def _byte_signs() -> list[str]:
 
 
 class Encoder:
-    """``ids(text) -> bytes``: the text's token ids as little-endian uint32."""
+    """``ids(text) -> bytes``: the text's token ids, little-endian unsigned,
+    ``width`` bytes each (2 if the vocabulary has at most 65,536 ids, else 4)."""
 
     def __init__(self, spec: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -45,11 +46,12 @@ class Encoder:
         self.tokenizer = Tokenizer.from_str(spec)
         self.model = self.tokenizer.model
         self.signs = _byte_signs()
-        self.codes = [i.to_bytes(4, "little") for i in range(self.tokenizer.get_vocab_size())]
+        self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
+        self.codes = [i.to_bytes(self.width, "little") for i in range(self.tokenizer.get_vocab_size())]
         self.memo: dict[str, bytes] = {}
 
     def _whole(self, piece: str) -> bytes:
-        return np.asarray(self.tokenizer.encode(piece, add_special_tokens=False).ids, "<u4").tobytes()
+        return np.asarray(self.tokenizer.encode(piece, add_special_tokens=False).ids, f"<u{self.width}").tobytes()
 
     def _pretoken(self, s: str) -> bytes:
         mapped = s.replace(" ", self.signs[32]) if s.isascii() else "".join([self.signs[b] for b in s.encode()])

@@ -6,7 +6,8 @@ File format of a shard (all integers little-endian): per document one record
     uint64 length | uint32 masked CRC-32 of the 8 length bytes
     payload       | uint32 masked CRC-32 of the payload
 
-where payload = int64 key, uint8 key-is-null, then the token ids as uint32. A
+where the payload is int64 key, uint8 key-is-null, uint8 bytes per id (2 for a
+vocabulary of at most 65,536 ids, else 4), then the token ids. A
 checksum is masked as ``rotate_right(crc, 15) + 0xA282EAD8`` so that a checksum
 over data that holds checksums stays useful. Shard ``k`` holds the ``k``-th
 range of the ascending key order; the index is a Parquet table with one row per
@@ -43,7 +44,7 @@ from edumart.llm.common import materialize, table
 from edumart.session import scratch_path
 
 END_ID = 0
-_LEN, _CRC, _HEAD = struct.Struct("<Q"), struct.Struct("<I"), struct.Struct("<qB")
+_LEN, _CRC, _HEAD = struct.Struct("<Q"), struct.Struct("<I"), struct.Struct("<qBB")
 INDEX = "shard int, ordinal long, key long, byte_offset long, n_tokens long"
 FLUSH = 4 << 20                # bytes buffered before a write, and read at a time
 
@@ -58,13 +59,14 @@ def frame(payload: bytes) -> bytes:
     return b"".join((head, _CRC.pack(masked(head)), payload, _CRC.pack(masked(payload))))
 
 
-def pack(key: int | None, ids: bytes) -> bytes:
-    return _HEAD.pack(key or 0, key is None) + ids
+def pack(key: int | None, ids: bytes, width: int) -> bytes:
+    return _HEAD.pack(key or 0, key is None, width) + ids
 
 
-def unpack(payload: bytes) -> tuple[int | None, memoryview]:
-    key, null = _HEAD.unpack_from(payload)
-    return (None if null else key), memoryview(payload)[_HEAD.size:]
+def unpack(payload: bytes) -> tuple[int | None, np.ndarray]:
+    """Key and token ids (uint32) of a payload."""
+    key, null, width = _HEAD.unpack_from(payload)
+    return (None if null else key), np.frombuffer(payload, f"<u{width}", offset=_HEAD.size).astype("<u4", copy=False)
 
 
 def read_record(f) -> bytes | None:
@@ -92,7 +94,6 @@ def _uri(path: str) -> str:
 def write_records(docs: DataFrame, key: str, text: str, folder: str, spec: str, end_id: int = END_ID) -> DataFrame:
     """Encode and write all rows; returns the materialised index (``INDEX``)."""
     folder = _uri(folder)
-    tail = end_id.to_bytes(4, "little")
 
     def shard(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         k = TaskContext.get().partitionId()
@@ -105,9 +106,9 @@ def write_records(docs: DataFrame, key: str, text: str, folder: str, spec: str,
                 if out is None:
                     fs.create_dir(root, recursive=True)
                     out = fs.open_output_stream(temp)
-                ids = enc.ids(text_.as_py() or "") + tail
-                record = frame(pack(key_, ids))
-                rows.append((k, ordinal, key_, at, len(ids) // 4))
+                ids = enc.ids(text_.as_py() or "") + end_id.to_bytes(enc.width, "little")
+                record = frame(pack(key_, ids, enc.width))
+                rows.append((k, ordinal, key_, at, len(ids) // enc.width))
                 buffer.append(record)
                 at, size, ordinal = at + len(record), size + len(record), ordinal + 1
                 if size >= FLUSH:
@@ -158,8 +159,8 @@ def read_records(spark: SparkSession, folder: str, index: DataFrame) -> DataFram
                 with fs.open_input_stream(f"{root}/shard-{k:06d}.bin", buffer_size=FLUSH) as f:
                     while (payload := read_record(f)) is not None:
                         key, ids = unpack(payload)
-                        rows.append((key, base, len(ids) // 4, zlib.crc32(ids), k, at))
-                        base, at = base + len(ids) // 4, at + len(payload) + 16
+                        rows.append((key, base, len(ids), zlib.crc32(ids), k, at))
+                        base, at = base + len(ids), at + len(payload) + 16
                         if len(rows) >= 10_000:
                             yield _batch(rows, schema)
                             rows = []
@@ -177,8 +178,7 @@ def read_at(folder: str, shard: int, byte_offset: int) -> tuple[int | None, np.n
     with fs.open_input_file(f"{root}/shard-{shard:06d}.bin") as f:
         f.seek(byte_offset)
         payload = read_record(f)
-    key, ids = unpack(payload)
-    return key, np.frombuffer(ids, "<u4")
+    return unpack(payload)
 
 
 def op4_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:

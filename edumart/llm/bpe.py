@@ -49,6 +49,7 @@ class Encoder:
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
         self.codes = [i.to_bytes(self.width, "little") for i in range(self.tokenizer.get_vocab_size())]
         self.memo: dict[str, bytes] = {}
+        self.after: dict[str, bytes] = {}          # signs that follow a word
 
     def _whole(self, piece: str) -> bytes:
         return np.asarray(self.tokenizer.encode(piece, add_special_tokens=False).ids, f"<u{self.width}").tobytes()
@@ -57,15 +58,24 @@ class Encoder:
         mapped = s.replace(" ", self.signs[32]) if s.isascii() else "".join([self.signs[b] for b in s.encode()])
         return b"".join([self.codes[t.id] for t in self.model.tokenize(mapped)])
 
+    def _signs(self, s: str) -> bytes:
+        got = self.after.get(s)
+        if got is None:
+            if len(self.after) >= 10_000:
+                self.after.clear()
+            got = self.after[s] = self._pretoken(s)
+        return got
+
     def piece(self, piece: str) -> bytes:
         got = self.memo.get(piece)
         if got is None:
             bare = piece[1:] if piece[:1] == " " else piece
             if bare and (m := WORD.fullmatch(bare)):
                 word, signs = m.groups()
-                lead = piece[:len(piece) - len(bare)]
-                got = (self._pretoken(lead + word) + (self._pretoken(signs) if signs else b"") if word
-                       else self._pretoken(lead + signs))
+                if word and signs:                 # a word is encoded once for all signs after it
+                    got = self.piece(piece[:len(piece) - len(signs)]) + self._signs(signs)
+                else:
+                    got = self._pretoken(piece)
             else:
                 got = self._whole(piece)
             if len(piece) <= MEMO_CHARS:

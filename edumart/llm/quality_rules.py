@@ -157,7 +157,8 @@ def filter_quality(docs: DataFrame, fence: int = FENCE, min_docs: int = MIN_DOCS
     texts twice (sketch, then verdict) rather than shuffling them."""
     m = fresh(docs, "q_measures")[0]
     slim = measures(docs.select("text", "lang", "source"), "text", m)
-    th = thresholds(sketch(slim, "lang", "source", m), fence, min_docs)
+    # written first: its size is then known when the texts' join is planned
+    th = materialize(thresholds(sketch(slim, "lang", "source", m), fence, min_docs), "quality-thresholds")
     out, v = judge(measures(docs, "text", m), m, th)
     return out.filter(F.col(v)["kept"]).select(*docs.columns)
 

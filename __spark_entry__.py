@@ -47,7 +47,10 @@ _SQL = {
     "scan_delimited": _ORDERS_SEL,
     "scan_mart": _ORDERS_SEL,
     "sink_roundtrip": _ORDERS_SEL,
-    "layer_publish": _ORDERS_SEL,
+    "layer_publish": "SELECT 'orders' AS relation, year(o_orderdate)::INTEGER AS edition, o_orderkey AS id, o_totalprice AS amount FROM orders UNION ALL SELECT 'customer', NULL::INTEGER, c_custkey, c_acctbal FROM customer",
+    "layer_rerun": "SELECT o_orderkey, year(o_orderdate)::INTEGER AS edition FROM orders WHERE year(o_orderdate) = 1997",
+    "scan_rejects": "SELECT column_name, count(*) AS n FROM (SELECT 'o_custkey' AS column_name FROM orders WHERE o_orderkey % 17 = 0 UNION ALL SELECT 'o_totalprice' FROM orders WHERE o_orderkey % 13 = 0) GROUP BY 1",
+    "union_marts": "SELECT year(o_orderdate)::INTEGER AS edition, o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders",
     "landing_stream": _ORDERS_SEL,
     "na_tokens": "SELECT o_orderkey, nullif(o_orderstatus, 'P') AS status FROM orders",
     "manifest_missing": "SELECT 'orders' AS relation, 'orders.parquet' AS file_name, true AS present, count(*) AS n FROM orders UNION ALL SELECT 'lineitem', 'lineitem.parquet', true, count(*) FROM lineitem UNION ALL SELECT 'absent', 'absent.parquet', false, NULL::BIGINT",

@@ -1,5 +1,5 @@
 from edumart.operators.checks import (  # noqa: F401
-    domain_violations, duplicate_keys, long_domain_violations, require_columns)
+    count_rejects, domain_violations, duplicate_keys, long_domain_violations, require_columns)
 from edumart.operators.columns import drop_like, drop_null_keys, move_first, project, rename  # noqa: F401
 from edumart.operators.crosstab import answers_long, count_long, crosstab, profile, rollup, widen  # noqa: F401
 from edumart.operators.dedupe import dedupe_first  # noqa: F401

@@ -11,6 +11,13 @@ from pyspark.sql import functions as F
 from edumart.operators.crosstab import CODE, N, QUESTION
 
 
+def count_rejects(df: DataFrame, rejected: str, keys: Sequence[str] = (), out_n: str = "n") -> DataFrame:
+    """Values per column that are present in the text but did not convert:
+    (keys, column, n) from the arrays that ``read_delimited(rejects=True)`` adds."""
+    return (df.select(*keys, F.explode(rejected).alias("column"))
+            .groupBy(*keys, "column").agg(F.count(F.lit(1)).alias(out_n)))
+
+
 def domain_violations(df: DataFrame, code: str, expected: Sequence[str],
                       out_code: str = "code", out_n: str = "n") -> DataFrame:
     """Codes outside the expected domain, with their row counts."""

@@ -25,13 +25,13 @@ from pyspark.sql import functions as F
 
 from edumart.functions.scalar import exact_mean, fill_category, round_half_even
 from edumart.operators import (
-    answers_long, avg_of_stats, chain_left, count_long, crosstab, dedupe_first,
+    answers_long, avg_of_stats, chain_left, count_long, count_rejects, crosstab, dedupe_first,
     desc_nulls_last_order, domain_violations, drop_like, drop_null_keys,
     duplicate_keys, enrich, join_suffixed, mean_of_means, mean_scores, move_first,
     null_safe_join, profile, project, rollup, union_editions, value_stats, widen, with_position)
 from edumart.session import scratch_path
 from edumart.sources import (
-    manifest_report, publish, read_delimited, read_mart, route_by_filename,
+    REJECTED, manifest_report, publish_layer, read_delimited, read_layer, read_mart, route_by_filename,
     write_delimited, write_layer, write_mart)
 
 # Schemas of the driver tables used here. Declaring them skips
@@ -125,11 +125,54 @@ def q_sink_roundtrip(spark, sf):
 
 
 def q_layer_publish(spark, sf):
-    root = scratch_path(spark, "lake")
-    src = write_layer(_orders_sel(spark, sf), root, "gold", "orders_sel", "2024-02-16")
-    target = publish(spark, src, scratch_path(spark, "published"), partition_by=("date",))
-    return spark.read.parquet(target).filter(F.col("date") == "2024-02-16") \
-        .select(*[c for c, _ in ORDERS_SEL_TYPES])
+    """A layer of two datasets (one of them partitioned) copied whole; the copy
+    reads as a layer under the same keys."""
+    root, day = scratch_path(spark, "lake"), "2024-02-16"
+    write_layer(table(spark, sf, "orders").withColumn("edition", edition()), root, "gold", "orders", day, ["edition"])
+    write_layer(table(spark, sf, "customer"), root, "gold", "customer", day)
+    target = scratch_path(spark, "published")
+    publish_layer(spark, root, "gold", f"{target}/gold", day)
+    orders, customer = (read_layer(spark, target, "gold", n, day) for n in ("orders", "customer"))
+    return orders.select(F.lit("orders").alias("relation"), "edition", F.col("o_orderkey").alias("id"),
+                         F.col("o_totalprice").alias("amount")).unionByName(
+        customer.select(F.lit("customer").alias("relation"), F.lit(None).cast("int").alias("edition"),
+                        F.col("c_custkey").alias("id"), F.col("c_acctbal").alias("amount")))
+
+
+def q_layer_rerun(spark, sf):
+    """A day's run with all editions, then again with one: the rerun replaces the day."""
+    root, day = scratch_path(spark, "rerun"), "2024-02-16"
+    o = table(spark, sf, "orders").select("o_orderkey", edition().alias("edition"))
+    write_layer(o, root, "silver", "orders", day, ["edition"])
+    write_layer(o.filter(F.col("edition") == 1997), root, "silver", "orders", day, ["edition"])
+    return read_layer(spark, root, "silver", "orders", day).select("o_orderkey", "edition")
+
+
+def q_scan_rejects(spark, sf):
+    """Orders as text with prices in decimal-comma form (keys divisible by 13)
+    and course keys with a letter in them (keys divisible by 17): the values per
+    column that do not read."""
+    path = scratch_path(spark, "rejects")
+    price = F.col("o_totalprice").cast("decimal(18,2)").cast("string")
+    key = F.col("o_custkey").cast("string")
+    write_delimited(table(spark, sf, "orders").select(
+        "o_orderkey", F.when(F.col("o_orderkey") % 17 == 0, F.concat(key, F.lit("O"))).otherwise(key).alias("o_custkey"),
+        "o_orderstatus", F.when(F.col("o_orderkey") % 13 == 0, F.translate(price, ".", ",")).otherwise(price).alias("o_totalprice")), path)
+    bad = count_rejects(read_delimited(spark, path, ORDERS_SEL_TYPES, rejects=True), REJECTED)
+    return bad.withColumnRenamed("column", "column_name")
+
+
+def q_union_marts(spark, sf):
+    """CSV marts of two run dates and two relations; the union of one relation on
+    the later date, typed."""
+    from edumart.plans.marts import union_csv_marts
+    root = scratch_path(spark, "csv_marts")
+    o = table(spark, sf, "orders").select(*[c for c, _ in ORDERS_SEL_TYPES], edition().alias("edition"))
+    for day, rows in (("2024-02-15", o.filter(F.col("o_orderstatus") == "F")), ("2024-02-16", o)):
+        write_mart(rows, f"{root}/date={day}/orders_mart", fmt="csv", partition_by=["edition"])
+    write_mart(table(spark, sf, "customer"), f"{root}/date=2024-02-16/customer_mart", fmt="csv")
+    return union_csv_marts(spark, root, "orders", "2024-02-16", routes=(("orders_mart", "orders"), ("customer_mart", "customer")),
+                           types={**dict(ORDERS_SEL_TYPES), "edition": "int"})
 
 
 def q_na_tokens(spark, sf):
@@ -456,6 +499,9 @@ QUERIES = {
     "scan_mart": q_scan_mart,
     "sink_roundtrip": q_sink_roundtrip,
     "layer_publish": q_layer_publish,
+    "layer_rerun": q_layer_rerun,
+    "scan_rejects": q_scan_rejects,
+    "union_marts": q_union_marts,
     "na_tokens": q_na_tokens,
     "manifest_missing": q_manifest_missing,
     "route_by_filename": q_route_by_filename,

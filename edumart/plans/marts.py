@@ -32,18 +32,21 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from edumart.functions.scalar import qcol
 from edumart.operators import (
-    answers_long, avg_of_stats, chain_left, count_long, dedupe_first,
-    join_suffixed, long_domain_violations, mean_of_means, mean_scores, move_first, rename,
+    answers_long, avg_of_stats, chain_left, count_long, count_rejects, dedupe_first,
+    duplicate_keys, join_suffixed, long_domain_violations, mean_of_means, mean_scores, move_first, rename,
     rollup, union_editions, value_stats, widen)
 from edumart.schemas import (
-    AGE_COL, AGE_STATS, AGES, AGES_FILE_NO, COUNTED, COURSE, COURSE_REGISTRY, EDITION,
+    AGE_COL, AGE_STATS, AGES, AGES_FILE_NO, COUNTED, MISSING, COURSE, COURSE_REGISTRY, EDITION,
     INSTITUTION, INSTITUTION_REGISTRY, QUESTIONS, SCORE_COLS, SCORES, SCORES_FILE_NO,
     Question, all_cells, display_names, item_cells)
 from edumart.sources import (
-    LATIN1, list_files, manifest_report, read_delimited, read_layer, route_expr, write_layer,
+    LATIN1, REJECTED, list_files, manifest_report, read_delimited, read_layer, route_expr, write_layer,
     write_mart)
 
+#: a literal not-answered code in the text, kept apart from the filled one until the marts (K7)
+RAW_MISSING = f"{MISSING} (raw)"
 
 
 @dataclass(frozen=True)
@@ -68,6 +71,7 @@ class Extracts:
     answers: Mapping[str, DataFrame]          # question name -> raw answer rows
     course_registry: DataFrame                # with the file-order ordinal
     institution_registry: DataFrame
+    rejects: DataFrame | None = None          # (relation, edition, column, n), see ``count_rejects``
 
 
 def read_relation(spark: SparkSession, root: str, name: str, editions: Sequence[int],
@@ -76,7 +80,8 @@ def read_relation(spark: SparkSession, root: str, name: str, editions: Sequence[
     """One extract relation (``scores``, ``ages``, ``answers_<item>``,
     ``course_registry``, ``institution_registry``) for the given editions:
     one read per file (columns are matched by header name, and headers
-    differ between editions), stacked by name across editions."""
+    differ between editions), stacked by name across editions. Rows carry the
+    ``REJECTED`` array of their unreadable columns."""
     root = root.rstrip("/")
     items = {f"answers_{q.name}": q for q in questions}
     if name == "scores":
@@ -100,7 +105,7 @@ def read_relation(spark: SparkSession, root: str, name: str, editions: Sequence[
         parts.append(read_delimited(
             spark, path, cols, sep=layout.sep, encoding=layout.encoding,
             decimal_comma=layout.decimal_comma, ordinal=ordinal,
-            extra={EDITION: F.lit(int(ed))}, missing=missing))
+            extra={EDITION: F.lit(int(ed))}, missing=missing, rejects=True))
     return union_editions(parts)
 
 
@@ -108,20 +113,28 @@ def read_extracts(spark: SparkSession, root: str, editions: Sequence[int],
                   layout: ExtractLayout = ExtractLayout(),
                   questions: Sequence[Question] = QUESTIONS) -> Extracts:
     """All relations of the given editions, read lazily from the text files."""
-    def rel(name: str) -> DataFrame:
-        return read_relation(spark, root, name, editions, layout, questions)
+    return _extracts({n: read_relation(spark, root, n, editions, layout, questions)
+                      for n in _relations_names(questions)}, questions)
+
 
+def _extracts(frames: Mapping[str, DataFrame], questions: Sequence[Question]) -> Extracts:
+    """Frames by relation name -> ``Extracts``. Rejects are counted from the
+    ``REJECTED`` arrays: of landed tables a tiny column, of text files a second
+    parse, so land large extracts first."""
+    bad = [count_rejects(df.select(F.lit(n).alias("relation"), EDITION, REJECTED), REJECTED, ["relation", EDITION])
+           for n, df in frames.items() if REJECTED in df.columns]
+    clean = {n: df.drop(REJECTED) for n, df in frames.items()}
     return Extracts(
-        scores=rel("scores"), ages=rel("ages"),
-        answers={q.name: rel(f"answers_{q.name}") for q in questions},
-        course_registry=rel("course_registry"),
-        institution_registry=rel("institution_registry"),
-    )
+        scores=clean["scores"], ages=clean["ages"],
+        answers={q.name: clean[f"answers_{q.name}"] for q in questions},
+        course_registry=clean["course_registry"],
+        institution_registry=clean["institution_registry"],
+        rejects=union_editions(bad) if bad else None)
 
 
 def expected_files(spark: SparkSession, editions: Sequence[int],
                    layout: ExtractLayout = ExtractLayout(),
-                   questions: Sequence[Question] = QUESTIONS) -> DataFrame:
+                   questions: Sequence[Question] = QUESTIONS, edition_type: str = "int") -> DataFrame:
     """Manifest ``(relation, edition, file_name)`` of every extract file the
     layout expects (about 18 per edition)."""
     rows = []
@@ -132,7 +145,7 @@ def expected_files(spark: SparkSession, editions: Sequence[int],
                  for q in questions]
         rows.append(("course_registry", ed, layout.course_registry.format(edition=ed)))
         rows.append(("institution_registry", ed, layout.institution_registry.format(edition=ed)))
-    return spark.createDataFrame(rows, "relation string, edition int, file_name string")
+    return spark.createDataFrame(rows, f"relation string, edition {edition_type}, file_name string")
 
 
 def land_extracts(spark: SparkSession, root: str, editions: Sequence[int], lake_root: str,
@@ -177,11 +190,7 @@ def read_landed_extracts(spark: SparkSession, lake_root: str, run_date: str,
             df = df.filter(F.col(EDITION).isin([int(e) for e in editions]))
         return df.drop("date")
 
-    return Extracts(
-        scores=rel("scores"), ages=rel("ages"),
-        answers={q.name: rel(f"answers_{q.name}") for q in questions},
-        course_registry=rel("course_registry"),
-        institution_registry=rel("institution_registry"))
+    return _extracts({n: rel(n) for n in _relations_names(questions)}, questions)
 
 
 # ---------------------------------------------------------------- building blocks
@@ -200,13 +209,32 @@ def course_registry(ex: Extracts) -> DataFrame:
 
 def answer_counts(ex: Extracts, questions: Sequence[Question] = QUESTIONS) -> DataFrame:
     """(edition, CO_CURSO, question, code, n) over all questions at once;
-    ``question`` is the item's catalogue position (a narrow shuffle key)."""
+    ``question`` is the item's catalogue position (a narrow shuffle key). A
+    not-answered code that stands in the text itself is counted as ``RAW_MISSING``,
+    unless the raw codes of the item include it."""
     keys = [EDITION, COURSE]
-    long = union_editions([answers_long(ex.answers[q.name], keys, q.column, i, counted=COUNTED)
+
+    def code(q: Question):
+        raw = F.col(q.column)
+        return F.when(raw == MISSING, F.lit(RAW_MISSING)).otherwise(raw)
+
+    long = union_editions([answers_long(ex.answers[q.name], keys, code(q), i, counted=COUNTED)
                            for i, q in enumerate(questions)])
     return count_long(long, keys)
 
 
+def folded(counts: DataFrame) -> DataFrame:
+    """Counts as the marts take them: a raw not-answered code is not answered."""
+    return counts.withColumn("code", F.when(F.col("code") == RAW_MISSING, F.lit(MISSING)).otherwise(F.col("code")))
+
+
+def repeated_registry_keys(ex: Extracts) -> DataFrame:
+    """(edition, registry, key, n): registry keys of which only the first row is kept (V4)."""
+    parts = [duplicate_keys(df, [EDITION, key]).select(EDITION, F.lit(name).alias("registry"), F.col(key).alias("key"), "n")
+             for name, df, key in (("course", ex.course_registry, COURSE), ("institution", ex.institution_registry, INSTITUTION))]
+    return union_editions(parts)
+
+
 def course_scores(ex: Extracts) -> DataFrame:
     """Rounded course means; a course with no score at all reads 0 (K2)."""
     return mean_scores(ex.scores, [EDITION, COURSE], SCORE_COLS, zero_fill=True)
@@ -232,7 +260,7 @@ def course_mart_from(scores: DataFrame, registry: DataFrame, counts: DataFrame,
                      ages: DataFrame, questions: Sequence[Question] = QUESTIONS) -> DataFrame:
     """One row per scored course: scores, registry, 99 counts, age stats."""
     keys = [EDITION, COURSE]
-    wide = widen(counts, keys, item_cells(questions))
+    wide = widen(folded(counts), keys, item_cells(questions))
     reg = registry.drop("_ordinal") if "_ordinal" in registry.columns else registry
     base = join_suffixed(scores, reg, keys, how="left")
     return chain_left(base, [wide, ages], keys)
@@ -245,7 +273,7 @@ def institution_mart_from(scores: DataFrame, registry: DataFrame, counts: DataFr
     keys = [EDITION, INSTITUTION]
     mapping = registry.select(EDITION, COURSE, INSTITUTION)
     inst_scores = mean_of_means(scores, mapping, COURSE, INSTITUTION, SCORE_COLS, keys=[EDITION])
-    inst_counts = widen(rollup(counts, mapping, COURSE, INSTITUTION, keys=[EDITION]), keys,
+    inst_counts = widen(rollup(folded(counts), mapping, COURSE, INSTITUTION, keys=[EDITION]), keys,
                         item_cells(questions))
     inst_ages = avg_of_stats(ages, mapping, COURSE, INSTITUTION, AGE_STATS, keys=[EDITION])
     sex = [c for q in questions if q.name == "sex" for _, _, c in q.cells()]
@@ -280,8 +308,20 @@ def sorted_for_sink(df: DataFrame, key: str) -> DataFrame:
 
 
 def build_marts(spark: SparkSession, ex: Extracts, lake_root: str, run_date: str,
-                questions: Sequence[Question] = QUESTIONS, csv_copy: bool = True) -> dict[str, str]:
-    """Materialise intermediates (silver) and both marts (gold)."""
+                questions: Sequence[Question] = QUESTIONS, csv_copy: bool = True,
+                max_rejects: int | None = 0) -> dict[str, str]:
+    """Materialise intermediates (silver), both marts and the check tables
+    ``rejects``, ``violations`` and ``repeated_keys`` (gold). More than
+    ``max_rejects`` unreadable values stop the build once they are written down
+    (None: report only); read as missing they would turn into zero scores and
+    lost rows."""
+    checks = {}
+    if ex.rejects is not None:
+        checks["rejects"] = write_layer(ex.rejects, lake_root, "gold", "rejects", run_date)
+        n = read_layer(spark, lake_root, "gold", "rejects", run_date).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+        if max_rejects is not None and n > max_rejects:
+            raise ValueError(f"{n} values do not have their column's type (tolerance {max_rejects}): see {checks['rejects']}")
+    checks["repeated_keys"] = write_layer(repeated_registry_keys(ex), lake_root, "gold", "repeated_keys", run_date, [EDITION])
     silver = {
         "registry": write_layer(course_registry(ex), lake_root, "silver", "registry", run_date, [EDITION]),
         "institution_registry": write_layer(institution_registry(ex), lake_root, "silver",
@@ -301,7 +341,7 @@ def build_marts(spark: SparkSession, ex: Extracts, lake_root: str, run_date: str
     scores, ages = s("course_scores"), s("course_ages")
     cm = course_mart_from(scores, reg, counts, ages, questions)
     im = institution_mart_from(scores, reg, counts, ages, ireg, questions)
-    out = {k: v for k, v in silver.items()}
+    out = {**checks, **silver}
     out["course_mart"] = write_layer(labelled(sorted_for_sink(cm, COURSE), questions), lake_root, "gold",
                                      "course_mart", run_date, [EDITION])
     out["institution_mart"] = write_layer(labelled(sorted_for_sink(im, INSTITUTION), questions), lake_root,
@@ -322,37 +362,55 @@ def all_editions_mart(spark: SparkSession, lake_root: str, name: str, run_date:
     return move_first(read_layer(spark, lake_root, "gold", name, run_date).drop("date"), EDITION)
 
 
-# Path fragments that route published CSV marts to their
-# relation (S5); the first matching fragment wins.
+# Prefixes of mart folder names and the relation of each.
 MART_ROUTES = (("institution_mart", "institution_mart"), ("course_mart", "course_mart"))
 
 
-def union_csv_marts(spark: SparkSession, directory: str, relation: str,
-                    routes=MART_ROUTES, first: str = EDITION) -> DataFrame:
-    """Union the CSV marts of one relation found under ``directory`` (U1 + S5).
+def mart_types(questions: Sequence[Question] = QUESTIONS) -> dict[str, str]:
+    """Declared type of every mart column by its published name."""
+    out = {EDITION: "int", COURSE: "bigint", INSTITUTION: "bigint"}
+    for c, t in [*COURSE_REGISTRY, *INSTITUTION_REGISTRY]:
+        out.update({c: t, f"{c}_x": t, f"{c}_y": t})
+    out.update({c: "double" for c in (*SCORE_COLS, *AGE_STATS)})
+    out.update({c: "bigint" for c in display_names(questions).values()})
+    return out
+
+
+def union_csv_marts(spark: SparkSession, directory: str, relation: str, run_date: str | None = None,
+                    routes=MART_ROUTES, first: str = EDITION, types: Mapping[str, str] | None = None) -> DataFrame:
+    """Union the CSV marts of one relation (U1 + S5) and run date:
+    ``<directory>/date=<run date>/<mart folder>/...``, or ``<directory>/<mart
+    folder>/...`` for marts kept without run dates (then ``run_date`` is None).
 
-    Files are listed through Spark (metadata only) and routed by path, with
-    ``.csv`` files only (strays are ignored). Each mart folder is read on its
-    own, since headers may differ between editions, and the folders are
-    stacked by column name with gaps as NULL; ``first`` moves to the front.
-    Only the folder list (one entry per published mart) reaches the driver.
+    Files are listed through Spark (metadata only) and routed by the prefix of
+    their mart folder's name, with ``.csv`` files only (strays are ignored). Each folder
+    is read on its own, since headers may differ between editions, and the
+    folders are stacked by column name with gaps as NULL, typed by ``types``
+    (default ``mart_types()``; other columns stay text); ``first`` moves to the
+    front. Only the folder list (one entry per published mart) reaches the driver.
     """
-    files = list_files(spark, directory, glob="*.csv", recursive=True)
-    routed = files.withColumn("relation", route_expr(F.col("path"), routes, suffix=".csv"))
+    run = directory.rstrip("/") + (f"/date={run_date}" if run_date else "")
+    root = spark._jvm.org.apache.hadoop.fs.Path(run)
+    root = root.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(root).toString()
+    files = list_files(spark, run, glob="*.csv", recursive=True)
+    mart = F.substring_index(F.substring("path", F.lit(len(root) + 2), F.length("path")), "/", 1)
+    routed = files.withColumn("relation", route_expr(mart, routes, match="prefix"))
     folders = (routed.filter(F.col("relation") == relation)
                .select(F.regexp_extract("path", r"^(.*)/[^/]+$", 1).alias("folder")).distinct())
     paths = sorted(r.folder for r in folders.collect())
     if not paths:
-        raise ValueError(f"no {relation} marts under {directory}")
-    reader = (spark.read.option("header", True).option("encoding", "UTF-8")
-              .option("quote", '"').option("escape", '"').option("basePath", directory))
+        raise ValueError(f"no {relation} marts under {run}")
+    reader = (spark.read.option("header", True).option("encoding", "UTF-8").option("enforceSchema", False).option("pathGlobFilter", "*.csv")
+              .option("quote", '"').option("escape", '"').option("basePath", run))
     df = union_editions([reader.csv(p) for p in paths])
+    types = mart_types() if types is None else types
+    df = df.select(*[qcol(c).cast(types[c]).alias(c) if c in types else qcol(c) for c in df.columns])
     return move_first(df, first) if first in df.columns else df
 
 
 __all__ = [
     "ExtractLayout", "Extracts", "read_extracts", "land_extracts", "read_landed_extracts",
-    "expected_files", "read_relation", "course_registry", "institution_registry",
+    "expected_files", "read_relation", "repeated_registry_keys", "folded", "mart_types", "course_registry", "institution_registry",
     "answer_counts", "course_scores", "course_ages", "violations", "course_mart",
     "institution_mart", "course_mart_from", "institution_mart_from", "labelled",
     "build_marts", "all_editions_mart", "union_csv_marts",

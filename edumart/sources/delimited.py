@@ -5,7 +5,9 @@ Extract files carry a header, ``;`` separators and Latin-1 text. They are
 read with every column as text, then the wanted columns are picked **by
 name** (files of different editions order their columns differently, and
 Spark maps CSV columns by position when a schema is forced) and converted
-with ``try_cast``, so a stray value becomes NULL instead of failing the job.
+with ``try_cast``; a value that is present but does not convert becomes NULL and,
+with ``rejects=True``, its column is named in the row's ``REJECTED`` array, so the
+same scan that types the rows also accounts for what it could not read.
 The CSV parser only materialises the selected columns (CSV column pruning).
 """
 
@@ -20,6 +22,7 @@ from edumart.functions.scalar import PANDAS_NA_TOKENS, null_if_token
 from edumart.operators.dedupe import ORDINAL
 
 LATIN1 = "ISO-8859-1"
+REJECTED = "_rejected"
 _INTEGRAL = {"int", "integer", "bigint", "long", "smallint", "tinyint"}
 
 
@@ -54,24 +57,26 @@ def read_delimited(spark: SparkSession, path: str | Sequence[str],
                    na_tokens: Sequence[str] | None = PANDAS_NA_TOKENS,
                    decimal_comma: bool = False, ordinal: bool = False,
                    multiline: bool = False, extra: Mapping[str, Column] | None = None,
-                   missing: str = "error") -> DataFrame:
+                   missing: str = "error", rejects: bool = False) -> DataFrame:
     """Read one relation from delimited text.
 
     ``columns``: (name, Spark SQL type) pairs; names must exist in the header.
-    All files of one call must share one header (Spark takes the column
-    names from the first file); files whose headers differ are read one call
-    each and stacked with ``union_editions``, as ``read_extracts`` does.
+    All files of one call must share one header: a file whose header differs
+    from the first one's fails the read. Such files are read one call each and
+    stacked with ``union_editions``, as ``read_extracts`` does.
     ``na_tokens``: exact strings read as missing (default: the pandas set).
     ``ordinal``: add the file-order ordinal column (for keep-first de-dup).
     ``multiline``: quoted fields with newlines (makes each file one split).
     ``missing``: ``"error"`` (default) fails on a column absent from the
     header; ``"null"`` reads it as a typed NULL (older editions of a
     registry may lack newer columns).
+    ``rejects``: add the array ``REJECTED`` of the columns whose value is present
+    in the text but has not the declared type.
     """
     cols = list(columns.items()) if isinstance(columns, Mapping) else list(columns)
     raw = (spark.read.option("header", header).option("sep", sep)
            .option("encoding", encoding).option("quote", '"').option("escape", '"')
-           .option("inferSchema", False).option("mode", "PERMISSIVE")
+           .option("inferSchema", False).option("mode", "PERMISSIVE").option("enforceSchema", False)
            .option("multiLine", multiline).csv(path if isinstance(path, str) else list(path)))
     absent = [c for c, _ in cols if c not in raw.columns]
     if absent and missing != "null":
@@ -80,6 +85,12 @@ def read_delimited(spark: SparkSession, path: str | Sequence[str],
         raw = with_file_ordinal(raw)
     out = [(F.lit(None).cast(t) if c in absent
             else _convert(F.col(f"`{c}`"), t, na_tokens, decimal_comma)).alias(c) for c, t in cols]
+    if rejects:
+        typed = [(c, F.col(f"`{c}`"), e) for (c, t), e in zip(cols, out)
+                 if c not in absent and t.lower() not in ("string", "varchar")]
+        out.append(F.array_compact(F.array(*[
+            F.when((null_if_token(raw_c, na_tokens) if na_tokens else raw_c).isNotNull() & e.isNull(), F.lit(c))
+            for c, raw_c, e in typed])).cast("array<string>").alias(REJECTED))
     if ordinal:
         out.append(F.col(ORDINAL))
     for name, expr in (extra or {}).items():

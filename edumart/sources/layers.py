@@ -49,12 +49,58 @@ def read_layer(spark: SparkSession, root: str, layer: str, name: str,
     return spark.read.schema(schema).parquet(run).withColumn("date", F.lit(run_date))
 
 
-def publish(spark: SparkSession, src: str, target_uri: str,
-            partition_by: Sequence[str] = ()) -> str:
-    """Copy a layer dataset to another file system URI (object store, shared
-    volume) through Spark, keeping its partition layout so relative keys are
-    preserved. The source is left in place (no upload-then-delete race)."""
-    df = spark.read.parquet(src)
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*partition_by).parquet(target_uri))
+def _folders(spark: SparkSession, pattern: str) -> list[str]:
+    """Folders that match a path pattern, in name order (names only: a layer has
+    one per dataset and run date)."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
+    return sorted(f.getPath().toString() for f in found or [] if f.isDirectory())
+
+
+def partition_columns(spark: SparkSession, path: str) -> list[str]:
+    """Names of the partition columns of the dataset in a folder, from its
+    sub-folders ``name=value``."""
+    names = []
+    while inner := _folders(spark, f"{path}/*=*"):
+        names.append(inner[0].rsplit("/", 1)[1].split("=")[0])
+        path = inner[0]
+    return names
+
+
+def publish(spark: SparkSession, src: str, target_uri: str, fmt: str = "parquet") -> str:
+    """Copy a dataset to another file system URI (object store, shared volume)
+    through Spark. The partition layout is that of the source, so relative keys
+    stay. The target folder is replaced, the source is left in place (no
+    upload-then-delete race). CSV copies keep header, text and encoding."""
+    by = partition_columns(spark, src)
+    read, how = spark.read, {}
+    if fmt == "csv":
+        how = {"header": True, "encoding": "UTF-8", "quote": '"', "escape": '"'}
+    else:
+        for hidden in _folders(spark, f"{src}/{SCHEMA_FOLDER}"):
+            read = read.schema(spark.read.parquet(hidden).schema)
+    w = read.format(fmt).options(**how).load(src).write.format(fmt).options(**how).mode("overwrite")
+    (w.partitionBy(*by) if by else w).save(target_uri)
+    for hidden in _folders(spark, f"{src}/{SCHEMA_FOLDER}"):
+        spark.read.parquet(hidden).write.mode("overwrite").parquet(f"{target_uri}/{SCHEMA_FOLDER}")
     return target_uri
+
+
+def publish_layer(spark: SparkSession, root: str, layer: str, target_uri: str,
+                  run_date: str | None = None) -> list[str]:
+    """Publish every dataset of a layer (of one run date, or of all): Parquet
+    tables and CSV copies, each under its own relative key. Returns the keys."""
+    base = layer_root(root, layer)
+    day = f"date={run_date or '*'}"
+    here = _folders(spark, base)
+    if not here:
+        raise ValueError(f"no layer at {base}")
+    keys = []
+    for pattern, fmt in ((f"*/{day}", "parquet"), (f"*/*/{day}", "parquet"), (f"csv/{day}/*", "csv")):
+        for path in _folders(spark, f"{base}/{pattern}"):
+            key = path[len(here[0].rstrip("/")) + 1:]
+            if fmt == "parquet" and key.startswith("csv/"):
+                continue
+            publish(spark, path, f"{target_uri.rstrip('/')}/{key}", fmt)
+            keys.append(key)
+    return keys

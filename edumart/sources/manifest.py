@@ -34,12 +34,15 @@ def manifest_report(spark: SparkSession, manifest: DataFrame, root: str,
 
 
 def route_expr(file_name: Column, rules: Sequence[tuple[str, str]],
-               suffix: str | None = None) -> Column:
-    """First rule whose substring occurs in the file name wins; no match (or
-    a wrong suffix) gives NULL."""
+               suffix: str | None = None, match: str = "contains") -> Column:
+    """First rule that matches the file name wins; no match (or a wrong suffix)
+    gives NULL. ``match``: ``"contains"`` (substring), ``"prefix"`` or ``"exact"``."""
+    tests = {"contains": file_name.contains, "prefix": file_name.startswith, "exact": file_name.__eq__}
+    if match not in tests:
+        raise ValueError(f"unknown match {match!r}")
     expr = None
     for needle, relation in rules:
-        cond = file_name.contains(needle)
+        cond = tests[match](needle)
         expr = F.when(cond, F.lit(relation)) if expr is None else expr.when(cond, F.lit(relation))
     if expr is None:
         raise ValueError("no routing rules")
@@ -49,8 +52,8 @@ def route_expr(file_name: Column, rules: Sequence[tuple[str, str]],
 
 
 def route_by_filename(df: DataFrame, rules: Sequence[tuple[str, str]],
-                      suffix: str | None = None, name: str = "relation") -> DataFrame:
+                      suffix: str | None = None, name: str = "relation", match: str = "contains") -> DataFrame:
     """Tag every row of a multi-file scan with the relation its file feeds,
     dropping rows of stray files. ``df`` must come straight from a file scan."""
-    rel = route_expr(F.col("_metadata.file_name"), rules, suffix)
+    rel = route_expr(F.col("_metadata.file_name"), rules, suffix, match)
     return df.withColumn(name, rel).filter(F.col(name).isNotNull())

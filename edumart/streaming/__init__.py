@@ -1 +1 @@
-from edumart.streaming.landing import extract_stream, land, parquet_stream  # noqa: F401
+from edumart.streaming.landing import extract_stream, land, land_arrivals, parquet_stream  # noqa: F401

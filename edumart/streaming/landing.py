@@ -12,6 +12,7 @@ and rerun after a failure without landing a file twice.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,7 +21,10 @@ from pyspark.sql.streaming import StreamingQuery
 
 from edumart.sources.delimited import LATIN1, _convert
 from edumart.functions.scalar import PANDAS_NA_TOKENS, qcol
+from edumart.plans.marts import ExtractLayout, expected_files, read_relation
+from edumart.schemas import EDITION, QUESTIONS, Question
 from edumart.session import checkpoint_root
+from edumart.sources.layers import write_layer
 
 EDITION_FROM_NAME = r"(\d{4})"
 
@@ -62,6 +66,44 @@ def land(df: DataFrame, lake_root: str, name: str, run_date: str,
     return w.start(f"{lake_root.rstrip('/')}/bronze/{name}")
 
 
+def file_patterns(spark: SparkSession, layout: ExtractLayout = ExtractLayout(),
+                  questions: Sequence[Question] = QUESTIONS) -> list[tuple[str, str]]:
+    """(relation, regular expression of its file names; group 1 is the edition)."""
+    names = expected_files(spark, ["@@"], layout, questions, edition_type="string").collect()
+    return [(r.relation, re.escape(r.file_name).replace("@@", r"(\d{4})", 1).replace("@@", r"\d{4}")) for r in names]
+
+
+def land_arrivals(spark: SparkSession, landing_dir: str, lake_root: str, run_date: str, checkpoint: str,
+                  layout: ExtractLayout = ExtractLayout(), questions: Sequence[Question] = QUESTIONS,
+                  max_files_per_trigger: int = 100) -> StreamingQuery:
+    """Land newly arrived extract files as ``land_extracts`` would, so
+    ``read_landed_extracts`` reads them.
+
+    The stream carries file names only; each file named as the layout says is
+    read with its own header, by column name and with its file order, and
+    replaces its (relation, edition) partition. A repeated trigger therefore
+    lands nothing twice. Other files are strays and left alone."""
+    patterns = file_patterns(spark, layout, questions)
+
+    def arrived(files: DataFrame, _: int) -> None:
+        # at most max_files_per_trigger names
+        names = [r.n for r in files.select(F.element_at(F.split("path", "/"), -1).alias("n")).collect()]
+        found: dict[str, set[int]] = {}
+        for relation, pattern in patterns:
+            for n in names:
+                if m := re.fullmatch(pattern, n):
+                    found.setdefault(relation, set()).add(int(m.group(1)))
+        for relation, editions in found.items():
+            df = read_relation(spark, landing_dir, relation, sorted(editions), layout, questions)
+            write_layer(df, lake_root, "silver", f"extracts/{relation}", run_date, [EDITION], keep_other_partitions=True)
+
+    files = (spark.readStream.format("binaryFile")
+             .schema("path string, modificationTime timestamp, length bigint, content binary")
+             .option("maxFilesPerTrigger", max_files_per_trigger).load(landing_dir).select("path"))
+    return (files.writeStream.foreachBatch(arrived).option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True).start())
+
+
 def parquet_stream(spark: SparkSession, path: str, schema: str, glob: str | None = None) -> DataFrame:
     r = spark.readStream.format("parquet").schema(schema)
     if glob:

@@ -109,9 +109,56 @@ def test_violations_report_unknown_and_blank_codes(spark, built):
     assert ("colour_race", "Z") in found and ("housing", " ") in found
 
 
+def test_unreadable_values_stop_the_build(spark, tmp_dir):
+    src = f"{tmp_dir}/bad"
+    make_extracts(src, n_students=60)
+    path = f"{src}/microdados2021_arq3.csv"
+    with open(path, encoding="latin-1") as f:
+        lines = f.read().splitlines()
+    lines[1] = ";".join([*lines[1].split(";")[:2], "1,5", "2.0", "3.0"])
+    with open(path, "w", encoding="latin-1") as f:
+        f.write("\n".join(lines) + "\n")
+    ex = M.read_extracts(spark, src, EDITIONS)
+    with pytest.raises(ValueError, match="1 values"):
+        M.build_marts(spark, ex, f"{tmp_dir}/bad-lake", "2024-02-16", csv_copy=False)
+    from edumart.sources import read_layer
+    bad = read_layer(spark, f"{tmp_dir}/bad-lake", "gold", "rejects", "2024-02-16").collect()
+    assert [(r.relation, r.edition, r["column"], r.n) for r in bad] == [("scores", 2021, "NT_GER", 1)]
+
+
+def test_raw_not_answered_codes_are_reported_and_counted(spark, extracts_dir):
+    from pyspark.sql import functions as F
+    ex = M.read_extracts(spark, extracts_dir, EDITIONS)
+    item = ex.answers["marital_status"]
+    raw = item.withColumn("QE_I01", F.when(F.col("QE_I01") == "A", "N").otherwise(F.col("QE_I01")))
+    n = item.filter("QE_I01 = 'A' and CO_CURSO is not null and NU_ANO is not null").count()
+    ex.answers = {**ex.answers, "marital_status": raw}
+    counts = M.answer_counts(ex)
+    v = M.violations(spark, counts).filter(F.col("code") == M.RAW_MISSING).agg(F.sum("n")).first()[0]
+    assert v == n > 0
+    filled = counts.filter("question = 1 and code = 'N'").agg(F.sum("n")).first()[0]
+    folded = M.folded(counts).filter("question = 1 and code = 'N'").agg(F.sum("n")).first()[0]
+    assert folded == filled + n
+
+
+def test_repeated_registry_keys_are_reported(spark, built):
+    _, lake, paths = built
+    rows = spark.read.parquet(paths["repeated_keys"]).collect()
+    assert rows and all(r.n > 1 for r in rows) and {r.registry for r in rows} <= {"course", "institution"}
+
+
+def test_mart_files_keep_the_score_order(spark, built):
+    _, lake, paths = built
+    rows = spark.read.parquet(paths["course_mart"] + "/date=2024-02-16").select(
+        "edition", "NT_GER", "CO_CURSO", "_metadata.file_name", "_metadata.row_index").collect()
+    for ed in EDITIONS:
+        mine = sorted((r.file_name, r.row_index, -r.NT_GER, r.CO_CURSO) for r in rows if r.edition == ed)
+        assert len(mine) > 10 and [x[2:] for x in mine] == sorted(x[2:] for x in mine)
+
+
 def test_csv_copy_and_union(spark, built):
     _, lake, paths = built
-    u = M.union_csv_marts(spark, f"{lake}/gold/csv", "course_mart")
+    u = M.union_csv_marts(spark, f"{lake}/gold/csv", "course_mart", "2024-02-16")
     gold = M.all_editions_mart(spark, lake, "course_mart", "2024-02-16")
     assert u.columns[0] == "edition"
     assert u.count() == gold.count()

@@ -1,16 +1,27 @@
 """Checkpoint folder comes from the session; scratch folders live under it."""
 
+from types import SimpleNamespace
+
+import pytest
+
 from edumart.session import checkpoint_root, scratch_path
 
 
 def test_checkpoint_root_is_the_sessions(spark):
-    root = checkpoint_root(spark)
-    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    assert configured and (configured.rstrip("/") == root or configured.startswith(root)
-                           or root.startswith(configured.rstrip("/").replace("file:", "")))
+    own = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    assert checkpoint_root(spark) == own.rstrip("/")
 
 
 def test_scratch_paths_are_fresh_and_under_the_root(spark):
     root = checkpoint_root(spark)
     a, b = scratch_path(spark, "x"), scratch_path(spark, "x")
-    assert a != b and a.startswith(root) and b.startswith(root)
+    assert a != b and a.startswith(f"{root}/") and b.startswith(f"{root}/")
+
+
+def test_a_cluster_without_a_shared_folder_is_refused():
+    class Unset:
+        def get(self, key, default=None):
+            return default
+    far = SimpleNamespace(conf=Unset(), sparkContext=SimpleNamespace(master="yarn", getCheckpointDir=lambda: None))
+    with pytest.raises(RuntimeError):
+        checkpoint_root(far)

@@ -90,7 +90,7 @@ def test_layers_partition_overwrite_and_publish(spark, tmp_dir):
     pruned = read_layer(spark, root, "silver", "t", "2024-01-01").filter("edition = 2021")
     plan = pruned._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan or "partitionfilters" in plan.lower()
-    target = publish(spark, f"{root}/silver/t", f"{tmp_dir}/published", ["date", "edition"])
+    target = publish(spark, f"{root}/silver/t", f"{tmp_dir}/published")
     assert spark.read.parquet(target).count() == 12
 
 
@@ -123,7 +123,67 @@ def test_union_csv_marts_different_headers(spark, tmp_dir):
     u = union_csv_marts(spark, root, "course_mart")
     assert u.columns[0] == "edition" and set(u.columns) == {"edition", "CO_CURSO", "A", "B"}
     got = sorted((r.edition, r.CO_CURSO, r.A, r.B) for r in u.collect())
-    assert got == [("2019", "1", "5", None), ("2021", "2", None, "7")]
+    assert got == [(2019, 1, "5", None), (2021, 2, None, "7")]
+
+
+def test_union_csv_marts_takes_one_run_and_routes_on_the_folder(spark, tmp_dir):
+    import pytest
+    from edumart.plans.marts import union_csv_marts
+    root = f"{tmp_dir}/institution_mart_lake"
+    _write_bytes(f"{root}/date=2024-02-15/course_mart/part-0.csv", "edition,CO_CURSO\n2019,1\n", "utf-8")
+    _write_bytes(f"{root}/date=2024-02-16/course_mart/part-0.csv", "edition,CO_CURSO,NT_GER\n2019,1,2.5\n", "utf-8")
+    u = union_csv_marts(spark, root, "course_mart", "2024-02-16")
+    assert u.dtypes == [("edition", "int"), ("CO_CURSO", "bigint"), ("NT_GER", "double")]
+    assert [tuple(r) for r in u.collect()] == [(2019, 1, 2.5)]
+    with pytest.raises(ValueError):
+        union_csv_marts(spark, root, "institution_mart", "2024-02-16")
+    with pytest.raises(ValueError):
+        union_csv_marts(spark, root, "course_mart")
+
+
+def test_rejects_name_the_columns_that_do_not_read(spark, tmp_dir):
+    from edumart.functions.scalar import exact_mean
+    from edumart.operators import count_rejects
+    from edumart.sources import REJECTED
+    p = f"{tmp_dir}/rej.csv"
+    _write_bytes(p, "CO_CURSO;NT_GER\n1;1,5\n1O0;2.5\nNA;NA\n7.0;0.00004\n;1e15\n")
+    df = read_delimited(spark, p, [("CO_CURSO", "bigint"), ("NT_GER", "double")], rejects=True)
+    assert {r["column"]: r.n for r in count_rejects(df, REJECTED).collect()} == {"CO_CURSO": 1, "NT_GER": 1}
+    small = spark.createDataFrame([(0.00004,), (0.00004,)], "x double").agg(exact_mean("x").alias("m")).first().m
+    assert small == 0.00004
+    assert df.agg(exact_mean("NT_GER").alias("m")).first().m == (2.5 + 0.00004 + 1e15) / 3
+
+
+def test_folder_of_files_with_other_headers_fails(spark, tmp_dir):
+    import pytest
+    _write_bytes(f"{tmp_dir}/f/a.csv", "CO_CURSO;QE_I01\n1;A\n")
+    _write_bytes(f"{tmp_dir}/f/b.csv", "QE_I01;CO_CURSO\nB;2\n")
+    with pytest.raises(Exception):
+        read_delimited(spark, f"{tmp_dir}/f", [("CO_CURSO", "bigint"), ("QE_I01", "string")]).collect()
+
+
+def test_routing_rules(spark):
+    from edumart.sources import route_expr
+    df = spark.createDataFrame([("course_mart_2019",), ("old_course_mart",), ("course_mart",)], "n string")
+    rules = [("course_mart", "c")]
+    got = {m: [r.x for r in df.select(route_expr(F.col("n"), rules, match=m).alias("x")).collect()] for m in ("contains", "prefix", "exact")}
+    assert got == {"contains": ["c", "c", "c"], "prefix": ["c", None, "c"], "exact": [None, None, "c"]}
+
+
+def test_publish_layer_keeps_keys_schemas_and_csv(spark, tmp_dir):
+    from edumart.sources import publish_layer, write_mart
+    root, target = f"{tmp_dir}/pl", f"{tmp_dir}/pl-target"
+    df = spark.createDataFrame([(1, 2019), (2, 2021)], "id int, edition int")
+    for day in ("2024-02-15", "2024-02-16"):
+        write_layer(df, root, "gold", "m", day, ["edition"])
+    write_layer(df.filter("id < 0"), root, "gold", "v", "2024-02-16", ["edition"])
+    write_mart(df, f"{root}/gold/csv/date=2024-02-16/m", fmt="csv", partition_by=["edition"])
+    keys = publish_layer(spark, root, "gold", f"{target}/gold", "2024-02-16")
+    assert sorted(keys) == ["csv/date=2024-02-16/m", "m/date=2024-02-16", "v/date=2024-02-16"]
+    assert sorted(r.id for r in read_layer(spark, target, "gold", "m", "2024-02-16").collect()) == [1, 2]
+    assert read_layer(spark, target, "gold", "v", "2024-02-16").columns == ["id", "edition", "date"]
+    copy = spark.read.option("header", True).csv(f"{target}/gold/csv/date=2024-02-16/m")
+    assert copy.columns == ["id", "edition"] and copy.count() == 2
 
 
 def test_rerun_replaces_exactly_its_day(spark, tmp_dir):

@@ -3,7 +3,7 @@ new files."""
 
 import os
 
-from edumart.streaming import extract_stream, land
+from edumart.streaming import extract_stream, land, land_arrivals
 
 
 def _write(path, text):
@@ -52,3 +52,21 @@ def test_swapped_headers_stop_and_strays_stay_out(spark, tmp_dir):
     _write(f"{landing}/microdados2021_arq7.csv", "CO_CURSO;NU_ANO;QE_I01\n7;2021;B\n")
     with pytest.raises(Exception):
         run()
+
+
+def test_arrivals_land_by_their_own_headers_and_feed_the_marts(spark, tmp_dir):
+    from extract_fixture import EDITIONS, make_extracts
+    from edumart.plans import marts as M
+    src, lake, ckpt = f"{tmp_dir}/arrive", f"{tmp_dir}/arrive-lake", f"{tmp_dir}/arrive-ckpt"
+    make_extracts(src, n_students=80)
+    _write(f"{src}/other.csv", "a;b\n1;2\n")
+    path = f"{src}/microdados2021_arq8.csv"                     # one file with its columns in another order
+    with open(path, encoding="latin-1") as f:
+        rows = [line.rstrip("\n").split(";") for line in f]
+    _write(path, "".join(";".join(r[::-1]) + "\n" for r in rows))
+    for _ in range(2):                                          # the second run finds nothing new
+        land_arrivals(spark, src, lake, "2024-02-16", ckpt).awaitTermination()
+    landed = M.read_landed_extracts(spark, lake, "2024-02-16")
+    direct = M.read_extracts(spark, src, EDITIONS)
+    a, b = M.course_mart(direct), M.course_mart(landed)
+    assert b.count() > 0 and a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0

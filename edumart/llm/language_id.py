@@ -94,11 +94,14 @@ def trigrams(text: str | None) -> Iterator[np.ndarray]:
 
 def text_model(rows: DataFrame, text: str, lang: str) -> tuple[list[str], np.ndarray]:
     """(languages, log-likelihoods BUCKETS x (languages + und)) from all rows."""
+    langs = sorted(r[0] for r in rows.groupBy(lang).count().filter(f"`{lang}` is not null and count >= {MIN_ROWS}").collect())
+    known = set(langs)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: dict[str, np.ndarray] = {}
+        counts: dict[str, np.ndarray] = {}        # of the inventory only: BUCKETS cells each
         for b in batches:
             for t, g in zip(b.column(0), b.column(1).to_pylist()):
-                if g is not None:
+                if g in known:
                     c = counts.setdefault(g, np.zeros(BUCKETS, np.int64))
                     for ids in trigrams(t.as_py()):
                         c += np.bincount(ids, minlength=BUCKETS)
@@ -107,9 +110,8 @@ def text_model(rows: DataFrame, text: str, lang: str) -> tuple[list[str], np.nda
             yield pa.RecordBatch.from_arrays([pa.array([g] * len(at), pa.string()), pa.array(at.astype(np.int32)),
                                               pa.array(c[at])], names=["lang", "bucket", "n"])
 
-    langs = sorted(r[0] for r in rows.groupBy(lang).count().filter(f"`{lang}` is not null and count >= {MIN_ROWS}").collect())
     cells = rows.select(text, lang).mapInArrow(run, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
-    got = cells.filter(F.col("lang").isin(langs)).toArrow()         # at most BUCKETS rows per language
+    got = cells.toArrow()                                           # at most BUCKETS rows per language
     place = {g: k for k, g in enumerate(langs)}
     total = np.zeros((BUCKETS, len(langs)))
     if langs:

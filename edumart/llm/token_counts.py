@@ -73,18 +73,22 @@ def count_text(encoding, text: str | None) -> int:
 
 
 def counts(docs: DataFrame, ranks: bytes, version: str = VERSION, doc_id: str = "doc_id",
-           text: str = "text", source: str = "source", lang: str = "lang") -> DataFrame:
-    """(doc_id, source, lang, tokenizer_version, n_tokens), one row per row."""
+           text: str = "text", source: str = "source", lang: str = "lang",
+           flag: Column | None = None) -> DataFrame:
+    """(doc_id, source, lang, tokenizer_version, n_tokens, flag), one row per row;
+    ``flag`` is a boolean of the row that its count shall keep (default false)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoding = _encoding(ranks)
         for b in batches:
             n = [count_text(encoding, t.as_py()) for t in b.column(3)]
-            yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(n, pa.int64())], names=["doc_id", "source", "lang", "n_tokens"])
+            yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(n, pa.int64()), b.column(4)],
+                                             names=["doc_id", "source", "lang", "n_tokens", "flag"])
 
     out = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(source).cast("string").alias("source"),
-                      F.col(lang).cast("string").alias("lang"), F.col(text).alias("text")) \
-        .mapInArrow(run, "doc_id long, source string, lang string, n_tokens long")
-    return out.select("doc_id", "source", "lang", F.lit(version).alias("tokenizer_version"), "n_tokens")
+                      F.col(lang).cast("string").alias("lang"), F.col(text).alias("text"),
+                      F.coalesce(F.lit(False) if flag is None else flag, F.lit(False)).alias("flag")) \
+        .mapInArrow(run, "doc_id long, source string, lang string, n_tokens long, flag boolean")
+    return out.select("doc_id", "source", "lang", F.lit(version).alias("tokenizer_version"), "n_tokens", "flag")
 
 
 def changes(inserted: DataFrame | None = None, deleted: DataFrame | None = None) -> DataFrame:
@@ -152,18 +156,19 @@ def without_repeated_lines(text: Column) -> Column:
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents are inserted; toxic ones are deleted; documents with
     repeated lines are revised to their text without them; the first two batches
-    arrive again."""
+    arrive again. The flag of a loaded count says whether its row is revised, so
+    rows that share an id, or have none, are revised each on its own."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
     toxic = table(spark, sf_dir, "labels").filter("toxic = 1").select("doc_id").distinct()
     ranks = read_ranks()
-    first = materialize(counts(docs, ranks), "token-counts")
+    line = without_repeated_lines(F.col("text"))
+    first = materialize(counts(docs, ranks, flag=line != F.col("text")), "token-counts")
     store = Rollup(spark, scratch_path(spark, "token-rollup"))
     load, removal = changes(first), changes(deleted=first.join(toxic, "doc_id", "left_semi"))
     store.commit("0-load", load)
     store.commit("1-toxic", removal)
-    line = without_repeated_lines(F.col("text"))
     revised = docs.filter(line != F.col("text")).join(toxic, "doc_id", "left_anti")
-    old = first.join(revised.select("doc_id").distinct(), "doc_id", "left_semi")
+    old = first.filter("flag").join(toxic, "doc_id", "left_anti")
     store.commit("2-lines", changes(counts(revised.withColumn("text", line), ranks), old))
     store.commit("0-load", load)
     store.commit("1-toxic", removal)

@@ -41,7 +41,7 @@ def make_docs():
     rows[12][1] = "### $$$ *** " * 40
     rows[13][1] = "word " * 30_000
     rows += [[None, None, None, None], [200, None, "en", "src1"], [201, "", "fr", None], [None, "the an er", None, "src2"],
-             rows[20][:], rows[20][:], [202, " \t\n ", "en", "src1"], [203, "x y 中文 <|endoftext|> z  w", "en-GB", "src1"]]
+             rows[20][:], rows[20][:], [None, "one line\none line\nlast", "en", "src1"], [205, "p q\np q", "en", "src3"], [205, "p q", "en", "src3"], [202, " \t\n ", "en", "src1"], [203, "x y 中文 <|endoftext|> z  w", "en-GB", "src1"]]
     return rows
 
 

@@ -17,8 +17,8 @@ Links (Hamming distance at most ``max_bits``) are found exactly:
    shares a leaf (shard).
 4. Inside a shard the same tree is continued to small leaves, whose pairs are
    compared. Only a spanning forest of the links found leaves the task, never
-   all pairs of a group. Shards above ``shard_rows`` (dense groups that no
-   radius can split) are cut into blocks, and every pair of blocks is a task.
+   all pairs of a group. Shards above ``DENSE * shard_rows`` (dense groups that
+   no radius can split) are cut into blocks, and every pair of blocks is a task.
 5. Components by randomised contraction (``common.components``).
 
 Defined results: a null text is empty; a text without words has fingerprint
@@ -42,7 +42,8 @@ from edumart.llm.common import components, forest, fresh, materialize, table
 
 SHINGLE_WORDS = 3
 MAX_BITS = 3
-SHARD_ROWS = 8192
+SHARD_ROWS = 32_768            # fingerprints per leaf before boundary copies; 8 bytes each
+DENSE = 4                      # shards above DENSE * SHARD_ROWS are cut into blocks
 SAMPLE_PER_SHARD = 64
 MAX_SAMPLE = 65_536            # bound of the rows fetched to fit the routing tree
 LEAF = 256
@@ -156,7 +157,7 @@ def links(classes: DataFrame, fp: str = "fp", bits: int = MAX_BITS, shard_rows:
 
     placed = materialize(classes.select(F.col(fp).alias("fp")).mapInArrow(walk, "shard long, fp long"), "simhash-shards")
     # blocks of each shard: one row per shard (at most 2**depth), joined by Spark
-    sizes = placed.groupBy("shard").agg(F.ceil(F.count(F.lit(1)) / F.lit(2 * shard_rows)).cast("int").alias("k"))
+    sizes = placed.groupBy("shard").agg(F.ceil(F.count(F.lit(1)) / F.lit(DENSE * shard_rows)).cast("int").alias("k"))
     block = F.pmod(F.xxhash64("fp"), F.col("k")).cast("int")
     tasks = placed.join(sizes, "shard").withColumn("own", block).withColumn(
         "other", F.explode(F.sequence(F.lit(0), F.col("k") - 1))).select(
@@ -167,6 +168,10 @@ def links(classes: DataFrame, fp: str = "fp", bits: int = MAX_BITS, shard_rows:
         i, j = local_links(prints.view(np.uint64), bits)
         return pa.table({"a": prints[i], "b": prints[j]})
 
+    # comparing costs far more than reading: a stated number of partitions, or small
+    # shuffles would be merged by bytes into few long tasks
+    parts = max(int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1 << depth)
+    tasks = tasks.repartition(parts, "shard", "x", "y")
     return materialize(tasks.groupBy("shard", "x", "y").applyInArrow(compare, "a long, b long"), "simhash-links")
 
 

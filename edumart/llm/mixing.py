@@ -2,10 +2,17 @@
 
 Token counts are aggregated to cells (source, lang, topic). Cell weights start
 at the cells' tokens and are raked in turn to the target shares of the three
-marginals; after ``sweeps`` sweeps the ratio weight / tokens of a cell, divided
-by the largest ratio, is the probability of each of its documents. Expected
-tokens of the sample then have exactly the raked mix; one draw per document
-from a hash of its id makes the sample repeatable on any cluster.
+marginals; one draw per document from a hash of its id makes the sample
+repeatable on any cluster. Two scales of the probabilities:
+
+* ``sample_mix`` (the pipeline's stage) keeps ``share`` of the tokens. A cell's
+  expected tokens are at most its tokens: targets above what their values hold
+  are lowered to that and the others raised, raking keeps full cells full and
+  moves the rest, and the common factor gives the budget exactly. A thin cell is
+  then kept whole and takes its few tokens from the others.
+* ``probabilities`` (``op8_source_mixing``, whose SQL states it) divides the
+  ratio weight / tokens by the largest ratio: expected tokens have exactly the
+  raked mix, but the thinnest cell alone sets how much is kept.
 
 Targets: a share per value may be given; otherwise a value's share is its
 tokens to the power ``temperature`` over the sum (1 keeps the natural mix, 0
@@ -35,6 +42,8 @@ from edumart.llm.common import fresh, materialize, space_words, table
 SWEEPS = 8
 SWEEPS_PER_PLAN = 4
 SEED = 11
+#: share of the tokens that ``sample_mix`` keeps
+SHARE = 0.5
 #: marginal -> temperature of its target shares
 TEMPERATURE = {"source": 0.7, "lang": 0.6, "topic": 0.8}
 
@@ -62,16 +71,47 @@ def targets(cell: DataFrame, dim: str, temperature: float) -> DataFrame:
     return per.select("value", (F.col("x") / F.sum("x").over(Window.partitionBy(F.lit(1)))).alias("share"))
 
 
+def factor(parts: DataFrame, part: str, cap: str, whole: float) -> float:
+    """The ``k`` at which ``least(cap, k * part)`` adds up to ``whole`` (or to all
+    that the caps allow). The sum is concave in ``k``, so Newton's steps from
+    below only add full parts and end when none is added."""
+    k = 0.0
+    while True:
+        full = F.col(part) * k >= F.col(cap)
+        r = parts.agg(F.sum(F.when(full, F.col(cap)).otherwise(0.0)).alias("full"),
+                      F.sum(F.when(full, 0.0).otherwise(F.col(part))).alias("free")).first()
+        up = (whole - r["full"]) / r["free"] if r["free"] else k
+        if up <= k * (1 + 1e-12):
+            return k
+        k = up
+
+
+def reachable(cell: DataFrame, dim: str, share: DataFrame) -> DataFrame:
+    """(value, share) with no share above the caps of its value's cells; the
+    others share what that leaves in their own proportions."""
+    per = cell.groupBy(F.col(dim).alias("v_")).agg(F.sum("cap").alias("cap"))
+    both = materialize(per.join(share, F.col("v_").eqNullSafe(F.col("value")), "left")
+                       .select(F.col("v_").alias("value"), "cap", F.coalesce("share", F.lit(0.0)).alias("x")), "mix-targets")
+    return both.select("value", F.least("cap", F.col("x") * factor(both, "x", "cap", 1.0)).alias("share"))
+
+
 def rake(cell: DataFrame, dims: list[str], shares: dict[str, DataFrame], sweeps: int = SWEEPS) -> DataFrame:
     """``cell`` plus ``weight``: shares over all cells whose marginals approach
-    the target shares."""
-    out = cell.withColumn("weight", F.col("tokens").cast("double"))
+    the target shares. With a column ``cap``, ``least(weight, cap)`` does: the
+    weights remain products of a factor per value, and a value's factor is set
+    so that its full cells stay full and the others make up the rest."""
+    capped = "cap" in cell.columns
+    whole = F.lit(cell.agg(F.sum("tokens").cast("double")).first()[0]) if capped else F.lit(1.0)
+    out = cell.withColumn("weight", F.col("tokens").cast("double") / whole)
     for d in dims:
         s = shares[d].select(F.col("value").alias("v_"), F.col("share").alias(f"share_{d}"))
         out = out.join(s, F.col(d).eqNullSafe(F.col("v_")), "left").drop("v_").fillna(0.0, [f"share_{d}"])
     out = materialize(out, "mix-cells")
     for k in range(sweeps):
         for d in dims:
+            if capped:
+                out = bounded(out, d)
+                continue
             total = F.sum("weight").over(Window.partitionBy(d))
             out = out.withColumn("weight", F.coalesce(F.col("weight") * F.col(f"share_{d}") / F.nullif(total, F.lit(0.0)), F.lit(0.0)))
         if (k + 1) % SWEEPS_PER_PLAN == 0 or k + 1 == sweeps:
@@ -79,12 +119,40 @@ def rake(cell: DataFrame, dims: list[str], shares: dict[str, DataFrame], sweeps:
     return out
 
 
+def bounded(out: DataFrame, d: str) -> DataFrame:
+    """One step of bounded raking for the marginal ``d``."""
+    w, share, full = Window.partitionBy(d), F.col(f"share_{d}"), F.col("weight") >= F.col("cap")
+    out = out.withColumns({"full_": F.sum(F.when(full, F.col("cap")).otherwise(0.0)).over(w),
+                           "free_": F.sum(F.when(full, 0.0).otherwise(F.col("weight"))).over(w)})
+    k = F.when(share <= 0, 0.0).when((share > F.col("full_")) & (F.col("free_") > 0), (share - F.col("full_")) / F.col("free_")) \
+        .when(share < F.col("full_"), share / (F.col("full_") + F.col("free_"))).otherwise(1.0)
+    return out.withColumn("weight", F.col("weight") * k).drop("full_", "free_")
+
+
+def shares_of(cell: DataFrame, dims: list[str], temperature: dict[str, float], given: dict[str, DataFrame] | None) -> dict[str, DataFrame]:
+    return {d: (given or {}).get(d, targets(cell, d, temperature[d])) for d in dims}
+
+
+def budgeted(cell: DataFrame, dims: list[str], share: float = SHARE, temperature: dict[str, float] = TEMPERATURE,
+             given: dict[str, DataFrame] | None = None, sweeps: int = SWEEPS) -> DataFrame:
+    """(dims, tokens, weight, probability) per cell: expected tokens are
+    ``share`` of all tokens."""
+    cell = materialize(cell, "mix-counts")
+    total = cell.agg(F.sum("tokens")).first()[0]
+    if not total:
+        return cell.select(*dims, "tokens", F.lit(0.0).alias("weight"), F.lit(0.0).alias("probability"))
+    cell = cell.withColumn("cap", F.col("tokens") / F.lit(share * total))
+    shares = {d: reachable(cell, d, s) for d, s in shares_of(cell, dims, temperature, given).items()}
+    raked = rake(cell, dims, shares, sweeps)
+    weight = F.least("cap", F.col("weight") * factor(raked, "weight", "cap", 1.0))
+    return raked.select(*dims, "tokens", weight.alias("weight"), F.round(weight / F.col("cap"), 9).alias("probability"))
+
+
 def probabilities(cell: DataFrame, dims: list[str], temperature: dict[str, float] = TEMPERATURE,
                   given: dict[str, DataFrame] | None = None, sweeps: int = SWEEPS) -> DataFrame:
     """(dims, tokens, weight, probability) per cell."""
     cell = materialize(cell, "mix-counts")
-    shares = {d: (given or {}).get(d, targets(cell, d, temperature[d])) for d in dims}
-    raked = rake(cell, dims, shares, sweeps).withColumn("ratio", F.col("weight") / F.col("tokens"))
+    raked = rake(cell, dims, shares_of(cell, dims, temperature, given), sweeps).withColumn("ratio", F.col("weight") / F.col("tokens"))
     top = raked.agg(F.max("ratio").alias("m")).scalar()
     return raked.select(*dims, "tokens", "weight", F.round(F.col("ratio") / top, 9).alias("probability"))
 
@@ -98,16 +166,16 @@ def draw(doc_id: Column, text: Column, seed: int = SEED) -> Column:
 def sample_mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source",
                lang: str = "lang", seed: int = SEED, **how) -> DataFrame:
     """The sampled documents, with their own columns."""
-    p, on = _with_probability(docs, doc_id, text, source, lang, **how)
+    p, on = _with_probability(docs, doc_id, text, source, lang, budgeted, **how)
     return p.filter(draw(F.col(doc_id), F.col(text), seed) < F.col(on)).select(*docs.columns)
 
 
-def _with_probability(docs, doc_id, text, source, lang, **how) -> tuple[DataFrame, str]:
+def _with_probability(docs, doc_id, text, source, lang, rates=probabilities, **how) -> tuple[DataFrame, str]:
     top, tok, prob, *keys = fresh(docs, "mix_topic", "mix_tokens", "mix_probability", "mix_source", "mix_lang", "mix_kind")
     valued = docs.withColumns({top: topic(F.col(text)), tok: n_tokens(F.col(text))})
     slim = valued.select(F.col(source).alias("source"), F.col(lang).alias("lang"), F.col(top).alias("topic"), F.col(tok).alias("n"))
     dims = ["source", "lang", "topic"]
-    per = materialize(probabilities(cells(slim, dims, "n"), dims, **how), "mix-probabilities") \
+    per = materialize(rates(cells(slim, dims, "n"), dims, **how), "mix-probabilities") \
         .select(*[F.col(d).alias(k) for d, k in zip(dims, keys)], F.col("probability").alias(prob))
     match = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(k)) for c, k in zip((source, lang, top), keys)])
     return valued.join(per, match).drop(*keys), prob

@@ -341,6 +341,34 @@ def test_mixing_reaches_its_targets(spark):
     assert max(r.probability for r in rows) == 1.0
 
 
+def test_one_stray_document_moves_the_sample_little(spark):
+    docs = spark.read.parquet(f"{SF[:-5]}0.01/documents.parquet").select("doc_id", "text", "lang", "source")
+    stray = spark.createDataFrame([(-1, "one two three " * 10, "xx", "nowhere")], docs.schema)
+    plain, more = [{r.doc_id for r in corpus_pipeline.mixing(spark, d, SF).select("doc_id").collect()} for d in (docs, docs.union(stray))]
+    assert -1 in more and len(plain ^ (more - {-1})) < 0.03 * len(plain)
+
+
+def test_budgeted_mix_reaches_budget_and_targets(spark):
+    rng = random.Random(4)
+    rows = [(s, g, t, rng.randint(2_000, 90_000)) for s in "abcd" for g in "de" for t in "xy"] + [("thin", "zz", "x", 30), (None, "d", "y", 400)]
+    cell = spark.createDataFrame(rows, "source string, lang string, topic string, tokens long")
+    dims, total = ["source", "lang", "topic"], sum(r[3] for r in rows)
+    got = mixing.budgeted(cell, dims).collect()
+    assert all(0 < r.probability <= 1 for r in got)
+    assert abs(sum(r.tokens * r.probability for r in got) / total - mixing.SHARE) < 1e-6
+    for k, d in enumerate(dims):
+        x = {v: sum(r[3] for r in rows if r[k] == v) ** mixing.TEMPERATURE[d] for v in {r[k] for r in rows}}
+        cap = {v: sum(r[3] for r in rows if r[k] == v) / total / mixing.SHARE for v in x}
+        lo, hi = 0.0, 1.0
+        for _ in range(80):
+            m = (lo + hi) / 2
+            lo, hi = (m, hi) if sum(min(cap[v], m * x[v]) for v in x) < 1 else (lo, m)
+        for v in x:
+            assert abs(sum(r.weight for r in got if r[d] == v) - min(cap[v], lo * x[v])) < 0.005
+    everything = mixing.budgeted(cell, dims, share=1.0).collect()
+    assert all(r.probability > 0.999999 for r in everything)
+
+
 def test_quality_filter_keeps_rows_as_they_are(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     kept = Counter(map(tuple, corpus_pipeline.quality(spark, docs, sf).collect()))

@@ -5,8 +5,11 @@ For every language ``l`` of the inventory
     log P(l | row) ~ TEMPER * log P(text | l) + log P(declared | l) + log P(l | host)
 
 * text: byte trigrams of the lower-cased text, hashed to ``BUCKETS`` cells;
-  counts per declared language over all rows give the smoothed likelihoods;
-  TEMPER allows for neighbouring trigrams not being independent. A uniform
+  counts per declared language over all rows, mixed with the pooled counts of
+  all languages in the proportion POOL, give the likelihoods. Where another
+  language explains a row better than the pool does, the row's own counts do not
+  count for its declared language: a slip of the pen cannot prove itself, a
+  language with a single row can. TEMPER allows for neighbouring trigrams not being independent. A uniform
   background language "und" competes, so text like no language loses.
 * declared: P(declared language | l), from counts of (declared, best language by
   text alone) over all rows;
@@ -21,8 +24,8 @@ Scale: three reads of the texts (train, evidence counts, verdict), no text is
 shuffled. Every count table is a grouped aggregate with map-side combining, so
 a host with a third of all rows is one row of it; rows join the host table by
 key with skew splitting, or by broadcast when its measured size allows. The
-likelihood table has BUCKETS rows per language of the inventory: two- or
-three-letter codes with at least ``MIN_ROWS`` rows.
+likelihood table holds the cells that occur, per language of the inventory:
+every two- or three-letter code that is declared, however few rows have it.
 
 Defined results: a null or empty text has no evidence and is rejected; a null
 or malformed declared language and a null address are values of their own;
@@ -33,6 +36,7 @@ result; extra columns pass through whatever their names.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 
 import numpy as np
@@ -45,10 +49,11 @@ from edumart.llm.common import fresh, materialize, table
 BUCKETS = 1 << 14
 TEMPER = 0.2
 SMOOTH = 0.5
+POOL = 0.1                      # share of the pooled counts in a language's likelihood
 HOST_K, SUFFIX_K = 20.0, 50.0
-MIN_ROWS = 20
 MIN_POSTERIOR = 0.5
 UND_PRIOR = 0.01
+HELD_LANGS = 256               # languages whose counts a task holds at a time
 CHUNK = 1 << 20                # bytes of a text looked at a time
 
 
@@ -92,48 +97,91 @@ def trigrams(text: str | None) -> Iterator[np.ndarray]:
         yield (h ^ (h >> np.uint32(15)))[(b[:-2] != 32) | (b[1:-1] != 32)] % np.uint32(BUCKETS)
 
 
-def text_model(rows: DataFrame, text: str, lang: str) -> tuple[list[str], np.ndarray]:
-    """(languages, log-likelihoods BUCKETS x (languages + und)) from all rows."""
-    langs = sorted(r[0] for r in rows.groupBy(lang).count().filter(f"`{lang}` is not null and count >= {MIN_ROWS}").collect())
-    known = set(langs)
-
+class TextModel:
+    """Trigram counts of the languages, as sorted cells of those that occur."""
+
+    def __init__(self, langs: list[str], bucket: np.ndarray, lang: np.ndarray, n: np.ndarray):
+        order = np.lexsort((lang, bucket))
+        self.langs, self.place = langs, {g: k for k, g in enumerate(langs)}
+        self.lang, self.n = lang[order].astype(np.int32), n[order].astype(float)
+        self.first = np.searchsorted(bucket[order], np.arange(BUCKETS + 1))
+        pooled = np.bincount(bucket, n, BUCKETS) + SMOOTH
+        self.pool = pooled / pooled.sum()
+        self.total = np.bincount(lang, n, len(langs))
+        at = np.repeat(np.arange(BUCKETS), np.diff(self.first))
+        self.more = self.above(self.n, self.total[self.lang], self.pool[at])
+
+    @staticmethod
+    def above(n, total, pool) -> np.ndarray:
+        """Log of (1 - POOL) n / total + POOL pool, above that of POOL pool."""
+        return np.log1p((1 - POOL) * n / np.maximum(total, 1) / (POOL * pool))
+
+    def score(self, counts: np.ndarray, declared: str | None) -> np.ndarray:
+        """Log-likelihood per language and und of a row with ``counts`` per bucket."""
+        ids = np.flatnonzero(counts)
+        c, size = counts[ids].astype(float), float(counts.sum())
+        width = self.first[ids + 1] - self.first[ids]
+        ends = np.cumsum(width)
+        at = np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.first[ids] - ends + width, width)
+        of, lang = np.repeat(c, width), self.lang[at]
+        # relative to the pool
+        ll = np.bincount(lang, of * self.more[at], len(self.langs)) + size * np.log(POOL)
+        own = self.place.get(declared)
+        if own is not None and np.delete(ll, own).max(initial=0.0) > 0:
+            mine, rest = lang == own, self.total[own] - size
+            left = self.above(self.n[at[mine]] - of[mine], rest, np.repeat(self.pool[ids], width)[mine])
+            ll[own] = of[mine] @ left + size * np.log(POOL) if rest > 0 else 0.0
+        return np.append(ll + c @ np.log(self.pool[ids]), -size * np.log(BUCKETS))
+
+
+def counted(text: str | None) -> np.ndarray:
+    c = np.zeros(BUCKETS, np.int64)
+    for ids in trigrams(text):
+        c += np.bincount(ids, minlength=BUCKETS)
+    return c
+
+
+def text_model(rows: DataFrame, text: str, lang: str) -> TextModel:
+    """Counts of every declared language, from all rows."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: dict[str, np.ndarray] = {}        # of the inventory only: BUCKETS cells each
+        counts: dict[str, np.ndarray] = {}
+
+        def emit():
+            for g, c in counts.items():
+                at = np.flatnonzero(c)
+                yield pa.RecordBatch.from_arrays([pa.array([g] * len(at), pa.string()), pa.array(at.astype(np.int32)),
+                                                  pa.array(c[at])], names=["lang", "bucket", "n"])
+            counts.clear()
         for b in batches:
             for t, g in zip(b.column(0), b.column(1).to_pylist()):
-                if g in known:
+                if g is not None:
+                    if g not in counts and len(counts) >= HELD_LANGS:
+                        yield from emit()
                     c = counts.setdefault(g, np.zeros(BUCKETS, np.int64))
                     for ids in trigrams(t.as_py()):
                         c += np.bincount(ids, minlength=BUCKETS)
-        for g, c in counts.items():
-            at = np.flatnonzero(c)
-            yield pa.RecordBatch.from_arrays([pa.array([g] * len(at), pa.string()), pa.array(at.astype(np.int32)),
-                                              pa.array(c[at])], names=["lang", "bucket", "n"])
+        yield from emit()
 
     cells = rows.select(text, lang).mapInArrow(run, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
     got = cells.toArrow()                                           # at most BUCKETS rows per language
-    place = {g: k for k, g in enumerate(langs)}
-    total = np.zeros((BUCKETS, len(langs)))
-    if langs:
-        total[got.column("bucket").to_numpy(), [place[g] for g in got.column("lang").to_pylist()]] = got.column("n").to_numpy()
-    like = np.log((total + SMOOTH) / (total.sum(0) + SMOOTH * BUCKETS))
-    return langs, np.hstack([like, np.full((BUCKETS, 1), -np.log(BUCKETS))])
+    names = got.column("lang").combine_chunks().dictionary_encode() if got.num_rows else pa.array([], pa.string()).dictionary_encode()
+    langs = sorted(names.dictionary.to_pylist())
+    place = np.array([langs.index(g) for g in names.dictionary.to_pylist()], np.int64)
+    return TextModel(langs, got.column("bucket").to_numpy().astype(np.int64), place[names.indices.to_numpy()] if langs else place,
+                     got.column("n").to_numpy())
 
 
-def likelihoods(df: DataFrame, text: str, into: str, model: np.ndarray) -> DataFrame:
+def likelihoods(df: DataFrame, text: str, declared: str, into: str, model: TextModel) -> DataFrame:
     """``df`` with an array column: log-likelihood per language and und, then the number of trigrams."""
     @F.pandas_udf("array<double>")
-    def udf(texts):
+    def udf(texts, said):
         import pandas as pd
         out = []
-        for t in texts:
-            ll, n = np.zeros(model.shape[1]), 0
-            for ids in trigrams(t):
-                ll += model[ids].sum(0) if len(ids) < BUCKETS else np.bincount(ids, minlength=BUCKETS) @ model
-                n += len(ids)
-            out.append([*ll.tolist(), float(n)])
+        for t, d in zip(texts, said):
+            c = counted(t)
+            out.append([*model.score(c, d).tolist(), float(c.sum())])
         return pd.Series(out)
-    return df.withColumn(into, udf(F.col(text)))
+    return df.withColumn(into, udf(F.col(text), F.col(declared)))
 
 
 def argmax(scores: Column, names: list[str]) -> Column:
@@ -152,10 +200,10 @@ def evidence(slim: DataFrame, langs: list[str]) -> tuple[Column, DataFrame]:
         .groupBy("declared", "best").count().collect()
     by = {l: sum(r["count"] for r in seen if r["best"] == l) for l in langs}
     n = {(r["declared"], r["best"]): r["count"] for r in seen}
-    p = lambda d: F.array(*[F.lit(float(np.log((n.get((d, l), 0) + SMOOTH) / (by[l] + SMOOTH * (len(langs) + 1))))) for l in langs])
-    said = p(None)
-    for d in langs:
-        said = F.when(F.col("declared") == d, p(d)).otherwise(said)
+    p = lambda d: [float(np.log((n.get((d, l), 0) + SMOOTH) / (by[l] + SMOOTH * (len(langs) + 1)))) for l in langs]
+    # one constant, folded by Spark, instead of an expression per pair of languages
+    table_of = F.from_json(F.lit(json.dumps({d: p(d) for d in langs})), "map<string,array<double>>")
+    said = F.coalesce(F.try_element_at(table_of, F.col("declared")), F.array(*[F.lit(x) for x in p(None)]))
     whole = [(by[l] + SMOOTH) / (sum(by.values()) + SMOOTH * len(langs)) for l in langs]
     counts = [F.count_if(F.col("best") == l).cast("double").alias(f"n{k}") for k, l in enumerate(langs)]
     hosts = rows.groupBy("host", "suffix").agg(*counts)
@@ -194,10 +242,11 @@ def identify(df: DataFrame, text: Column, declared: Column, address: Column, int
     t, d, h, ll = fresh(df, "lid_text", "lid_declared", "lid_host", "lid_ll")
     own = df.columns
     rows = df.withColumns({t: text, d: primary_subtag(declared), h: host_of(address)})
-    langs, model = text_model(rows.select(F.col(t).alias("text"), F.col(d).alias("lang")), "text", "lang")
+    model = text_model(rows.select(F.col(t).alias("text"), F.col(d).alias("lang")), "text", "lang")
+    langs = model.langs
     if not langs:
         return df.withColumn(into, F.struct(F.lit("und").alias("language"), F.lit(0.0).alias("posterior"), F.lit(False).alias("kept")))
-    rows = likelihoods(rows, t, ll, model)
+    rows = likelihoods(rows, t, d, ll, model)
     said, hosts = evidence(rows.select(F.col(d).alias("declared"), F.col(h).alias("host"), F.col(ll).alias("ll")), langs)
     # user columns travel in a struct, out of the way of the names used here
     boxed = rows.select(F.struct(*[F.col(f"`{c}`") for c in own]).alias("row_"), F.col(d).alias("declared"),

@@ -405,6 +405,32 @@ def test_language_evidence_outweighs_a_wrong_declaration(spark):
     assert out[99].language == "fr" and out[99].kept
 
 
+def test_rare_declared_languages_are_kept(spark):
+    rng = random.Random(3)
+    syl = {**SYL, "eu": "tx ak ez ko ra gu ze tz bil ari".split(), "mt": "xx ħa qo ij ġu wa".split()}
+    say = lambda g, n=60: " ".join("".join(rng.choice(syl[g]) for _ in range(3)) for _ in range(n))
+    rows = [(i, say(g), g, f"{g}.example.{g}") for i in range(60) for g in SYL]
+    rows += [(100, say("mt"), "mt", "news.mt"), *[(101 + k, say("eu"), "eu", "berri.eus") for k in range(5)]]
+    rows += [(120, say("en"), "xq", "en.example.en")]               # a slip of the pen: English by text and host
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    got = {r.doc_id: r.lang for r in corpus_pipeline.language(spark, docs, SF).filter("doc_id >= 100").collect()}
+    assert got == {100: "mt", 120: "en", **{101 + k: "eu" for k in range(5)}}
+
+
+def test_text_scores_against_plain_sums():
+    rng = np.random.default_rng(1)
+    n = rng.integers(0, 4, (3, language_id.BUCKETS)) * (rng.random((3, language_id.BUCKETS)) < 0.2)
+    lang, bucket = np.nonzero(n)
+    model = language_id.TextModel(["a", "b", "c"], bucket, lang, n[lang, bucket])
+    pool = (n.sum(0) + language_id.SMOOTH) / (n.sum() + language_id.SMOOTH * language_id.BUCKETS)
+    mix = lambda k: np.log(0.9 * k / k.sum() + 0.1 * pool)
+    for c, said in ((np.minimum(n[1], 1), "b"), (np.minimum(n[2], n[1]), "b"), (n[0], None)):
+        plain = [c @ mix(n[0]), c @ mix(n[1]), c @ mix(n[2])]
+        if said and max(plain[0], plain[2]) > c @ np.log(pool):
+            plain[1] = c @ mix(n[1] - c)
+        assert np.allclose(model.score(c, said), [*plain, -c.sum() * np.log(language_id.BUCKETS)])
+
+
 def test_pipeline_is_its_stages_and_brute_force_holds(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     for _, stage in corpus_pipeline.STAGES[:-1]:

@@ -149,6 +149,23 @@ def test_bins_against_brute_force(cap, sources, clusters):
     assert packing.pack_shard(n, s, c, cap) == plain_best_fit(n, s, c, cap)
 
 
+def test_near_copies_share_no_bin(spark, tmp_path):
+    rng, rows = random.Random(8), []
+    for i in range(40):
+        w = ["".join(rng.choice(SYL["en"]) for _ in range(3)) for _ in range(90)]
+        rows.append((2 * i, " ".join(w), f"a{i}"))
+        w[rng.randrange(90)] = "other"
+        rows.append((2 * i + 1, " ".join(w).upper(), f"b{i}"))
+    pq.write_table(pa.table(dict(zip(("doc_id", "text", "source"), map(list, zip(*rows))))), f"{tmp_path}/documents.parquet")
+    bins = {r["doc_id"]: r["bin_id"] for r in result(spark, "op1_best_fit_packing", str(tmp_path))}
+    assert all(bins[2 * i] != bins[2 * i + 1] for i in range(40)) and len(set(bins.values())) < 20
+    plain = lambda w: {tuple(w[k:k + 5]) for k in range(len(w) - 4)}
+    words = [r[1].lower().encode().split() for r in rows]
+    joint = [tuple(w[k:k + 5]) for w in words for k in range(len(w) - 4)]
+    assert len(set(joint)) == len(set(np.concatenate([packing.shingle_hashes(w) for w in words]).tolist()))
+    assert len(plain(words[0])) == len(packing.shingle_hashes(words[0]))
+
+
 def test_license_scan(spark, sf):
     got = Counter((r["doc_id"], r["n_words"], r["n_base"], r["first_word"], r["last_word"], r["base_labels"])
                   for r in result(spark, "op3_license_scan", sf))

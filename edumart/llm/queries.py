@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import corpus_pipeline
 from edumart.llm import embedding_dedup, mixing, packing, pitman_yor, quality_rules, simhash, token_counts, token_records
-from edumart.llm import fim, hard_negatives, language_id, license_scan
+from edumart.llm import fim, hard_negatives, html_extract, language_id, license_scan
 from edumart.llm.quality_sql import QUALITY_SQL
 
 QUERIES = {
@@ -18,6 +18,7 @@ QUERIES = {
     "op8_source_mixing": mixing.op8_source_mixing,
     "op9_quality_rules": quality_rules.op9_quality_rules,
     "op10_language_id": language_id.op10_language_id,
+    "op11_html_extraction": html_extract.op11_html_extraction,
     "op12_hard_negatives": hard_negatives.op12_hard_negatives,
     "op13_fill_in_middle": fim.op13_fill_in_middle,
     "pipeline": corpus_pipeline.run,

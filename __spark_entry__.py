@@ -120,6 +120,9 @@ _SQL["all_editions_mart"] = _course_sql("edition, course")
 _SQL["institution_mart"] = _institution_sql("")
 _SQL["all_editions_institution_mart"] = _institution_sql("edition")
 _SQL["course_mart_long"] = _SQL["course_mart"]
+_SQL["mart_incremental"] = _SQL["all_editions_mart"]
+_SQL["snapshot_read"] = ("SELECT o_orderkey, o_totalprice, 'after' AS reader FROM orders UNION ALL "
+                         "SELECT o_orderkey, o_totalprice, unnest(['before', 'during']) FROM orders WHERE o_orderkey % 2 = 0")
 
 
 def oracle_sql() -> dict[str, str]:

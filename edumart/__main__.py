@@ -14,9 +14,11 @@ from __future__ import annotations
 
 import argparse
 import json
+from dataclasses import asdict
 
 from pyspark.sql import SparkSession
 
+from edumart.plans.incremental import refresh_marts
 from edumart.plans.marts import (
     ExtractLayout, all_editions_mart, build_marts, land_extracts, read_extracts, read_landed_extracts)
 from edumart.session import CLUSTER_CONF, DRIVER_CONF, checkpoint_root
@@ -42,7 +44,11 @@ def main(argv=None) -> None:
     ld.add_argument("--run-date", required=True)
     ld.add_argument("--new-only", metavar="CHECKPOINT", default=None,
                     help="land only files that arrived since the last run (source log in this folder)")
-    for p in (b, ld):
+    rf = sub.add_parser("refresh", help="bring the marts up to changed extract files, editions untouched stay")
+    rf.add_argument("--extracts", required=True)
+    rf.add_argument("--editions", required=True, nargs="+", type=int)
+    rf.add_argument("--lake", required=True)
+    for p in (b, ld, rf):
         p.add_argument("--decimal-comma", action="store_true")
         p.add_argument("--sep", default=";")
         p.add_argument("--encoding", default=LATIN1)
@@ -83,6 +89,8 @@ def main(argv=None) -> None:
     if args.cmd == "land" and args.new_only:
         land_arrivals(spark, args.extracts, args.lake, args.run_date, args.new_only, layout).awaitTermination()
         out = {"landed": f"{args.lake}/silver/extracts"}
+    elif args.cmd == "refresh":
+        out = asdict(refresh_marts(spark, args.extracts, args.editions, args.lake, layout))
     elif args.cmd == "land":
         out = land_extracts(spark, args.extracts, args.editions, args.lake, args.run_date, layout)
     else:

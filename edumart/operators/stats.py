@@ -81,8 +81,22 @@ def value_stats(df: DataFrame, keys: Sequence[str], value: str,
             out(F.avg(v), mean_n),
             out(F.percentile_approx(v, 0.5, accuracy).cast("double"), median_n),
             out(F.stddev_samp(v), std_n))
-    v, f = F.col(value), F.col("_f")
     hist = drop_null_keys(df, keys).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_f"))
+    return histogram_stats(hist, keys, value, "_f", names, round_places)
+
+
+def histogram_stats(hist: DataFrame, keys: Sequence[str], value: str, frequency: str,
+                    names: tuple[str, str, str] = ("mean", "median", "std"),
+                    round_places: int | None = None) -> DataFrame:
+    """Steps 2 and 3 of ``value_stats`` from rows ``(keys, value, frequency)``,
+    one row per key and value."""
+    mean_n, median_n, std_n = names
+
+    def out(c, name):
+        return (F.round(c, round_places) if round_places is not None else c).alias(name)
+
+    hist = hist.withColumnRenamed(frequency, "_f")
+    v, f = F.col(value), F.col("_f")
     nn = F.when(v.isNotNull(), f)
     ordered = Window.partitionBy(*keys).orderBy(v.asc_nulls_first())
     running = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)

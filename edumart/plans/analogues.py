@@ -29,9 +29,11 @@ from edumart.operators import (
     desc_nulls_last_order, domain_violations, drop_like, drop_null_keys,
     duplicate_keys, enrich, join_suffixed, mean_of_means, mean_scores, move_first,
     null_safe_join, profile, project, rollup, union_editions, value_stats, widen, with_position)
+from edumart.plans.incremental import (
+    FILE, Delivery, answer_state, land, level_state, merged_counts, merged_levels, merged_scores, score_state)
 from edumart.session import scratch_path
 from edumart.sources import (
-    REJECTED, manifest_report, publish_layer, read_delimited, read_layer, read_mart, route_by_filename,
+    REJECTED, Snapshot, commit, read_snapshot, resolve, run_atomic, write_run, write_runs, manifest_report, publish_layer, read_delimited, read_layer, read_mart, route_by_filename,
     write_delimited, write_layer, write_mart)
 
 # Schemas of the driver tables used here. Declaring them skips
@@ -494,7 +496,80 @@ def q_all_editions_institution_mart(spark, sf):
     return _institutions_mart(spark, sf, ["edition"])
 
 
+def _delivered(spark, sf, where: Column):
+    """Respondent rows of the analogue marts as two relations, by edition."""
+    o = table(spark, sf, "orders").withColumns({"course": F.col("o_custkey"), "edition": edition()}).filter(where)
+    li = table(spark, sf, "lineitem").select("l_orderkey", "l_quantity")
+    facts = o.select("edition", "course", injected_score().alias("score"), status_answer().alias("status"),
+                     F.col("o_orderpriority").alias("priority"))
+    return facts, o.join(li, o["o_orderkey"] == li["l_orderkey"]).select("edition", "course", "l_quantity")
+
+
+def _analogue_states(facts: DataFrame, ages_: DataFrame) -> DataFrame:
+    keys = ["edition", "course", FILE]
+    facts, ages_ = (d.withColumn(FILE, F.concat(F.lit(n), F.col("edition").cast("string")))
+                    for n, d in (("facts-", facts), ("ages-", ages_)))
+    answers = union_editions([answers_long(facts, keys, F.col(c), c) for c in ("status", "priority")])
+    return union_editions([score_state(facts, keys, ["score"]), answer_state(count_long(answers, keys), keys),
+                           level_state(ages_, keys, "l_quantity")])
+
+
+def _analogue_mart(states: DataFrame) -> DataFrame:
+    keys = ["edition", "course"]
+    return chain_left(merged_scores(states, keys, ["score"]), [
+        widen(merged_counts(states, keys, "string"), keys, MART_CELLS),
+        merged_levels(states, keys, AGE_NAMES, round_places=4)], keys)
+
+
+def q_mart_incremental(spark, sf):
+    """A first delivery holds an outdated file pair for edition 1997 (one third of
+    its rows, other scores); the second one brings only the right pair. The
+    states of 1997 are computed from the new files alone and replace the old
+    ones; only the mart part of 1997 is built again."""
+    lake = scratch_path(spark, "incremental")
+    states, marts = f"{lake}/states", f"{lake}/mart"
+    late = edition() == 1997
+    for rows, name in zip(_delivered(spark, sf, ~late | (F.col("o_orderkey") % 3 == 0)), ("facts", "ages")):
+        rows = rows.withColumn("score", F.when(F.col("edition") == 1997, F.col("score") + 100).otherwise(F.col("score"))) if name == "facts" else rows
+        write_mart(rows, f"{lake}/first/{name}", partition_by=["edition"])
+    for rows, name in zip(_delivered(spark, sf, late), ("facts", "ages")):
+        write_mart(rows, f"{lake}/second/{name}", partition_by=["edition"])
+
+    def deliver(folder: str) -> Snapshot:
+        facts, ages_ = (spark.read.parquet(f"{lake}/{folder}/{n}") for n in ("facts", "ages"))
+        editions = sorted(r.edition for r in facts.select("edition").distinct().collect())
+        files = {f"{n}-{e}": {"delivery": folder} for n in ("facts", "ages") for e in editions}
+        landed = land(spark, _analogue_states(facts, ages_), states, resolve(spark, states), Delivery(changed=files))
+        base = resolve(spark, marts)
+        mart = _analogue_mart(read_snapshot(spark, states, landed, list(files)))
+        return commit(spark, marts, base, write_runs(mart, marts, F.col("edition").cast("string"), [str(e) for e in editions]))
+
+    deliver("first")
+    mart = read_snapshot(spark, marts, deliver("second"))
+    mart = enrich(mart, _mart_registry(spark, sf), "course", how="left")
+    return mart.select("edition", "course", "score", "c_nationkey", "n_name", "c_mktsegment", *CELL_NAMES, *AGE_NAMES)
+
+
+def q_snapshot_read(spark, sf):
+    """What three readers see of one day's table: one that resolved it before a
+    rerun, one that came while the rerun was written and not yet committed, and
+    one after the commit. A run that was never committed is seen by none."""
+    lake = f"{scratch_path(spark, 'snapshots')}/orders"
+    o = table(spark, sf, "orders").select("o_orderkey", "o_totalprice")
+    first = run_atomic(o.filter(F.col("o_orderkey") % 2 == 0), lake, "2024-02-16")
+    before = read_snapshot(spark, lake, first)
+    write_run(o.limit(0), lake, "2024-02-16")                          # killed before its commit
+    base = resolve(spark, lake)
+    rerun = write_run(o, lake, "2024-02-16")
+    during = read_snapshot(spark, lake)
+    commit(spark, lake, base, rerun)
+    after = read_snapshot(spark, lake)
+    return union_editions([d.withColumn("reader", F.lit(n)) for n, d in (("before", before), ("during", during), ("after", after))])
+
+
 QUERIES = {
+    "mart_incremental": q_mart_incremental,
+    "snapshot_read": q_snapshot_read,
     "scan_delimited": q_scan_delimited,
     "scan_mart": q_scan_mart,
     "sink_roundtrip": q_sink_roundtrip,

@@ -213,16 +213,17 @@ def answer_counts(ex: Extracts, questions: Sequence[Question] = QUESTIONS) -> Da
     not-answered code that stands in the text itself is counted as ``RAW_MISSING``,
     unless the raw codes of the item include it."""
     keys = [EDITION, COURSE]
-
-    def code(q: Question):
-        raw = F.col(q.column)
-        return F.when(raw == MISSING, F.lit(RAW_MISSING)).otherwise(raw)
-
-    long = union_editions([answers_long(ex.answers[q.name], keys, code(q), i, counted=COUNTED)
+    long = union_editions([answers_long(ex.answers[q.name], keys, raw_code(q), i, counted=COUNTED)
                            for i, q in enumerate(questions)])
     return count_long(long, keys)
 
 
+def raw_code(q: Question):
+    """The item's code as it stands in the text, a literal not-answered one marked."""
+    raw = F.col(q.column)
+    return F.when(raw == MISSING, F.lit(RAW_MISSING)).otherwise(raw)
+
+
 def folded(counts: DataFrame) -> DataFrame:
     """Counts as the marts take them: a raw not-answered code is not answered."""
     return counts.withColumn("code", F.when(F.col("code") == RAW_MISSING, F.lit(MISSING)).otherwise(F.col("code")))

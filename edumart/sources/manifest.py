@@ -6,8 +6,11 @@ column pruned, so only file metadata is read, on any Hadoop file system.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Sequence
 
+import pyarrow as pa
+import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -57,3 +60,54 @@ def route_by_filename(df: DataFrame, rules: Sequence[tuple[str, str]],
     dropping rows of stray files. ``df`` must come straight from a file scan."""
     rel = route_expr(F.col("_metadata.file_name"), rules, suffix, match)
     return df.withColumn(name, rel).filter(F.col(name).isNotNull())
+
+
+CHUNK = 4 << 20                # bytes of a file held at a time
+
+
+def file_stamps(spark: SparkSession, root: str, glob: str | None = None) -> DataFrame:
+    """(path, file_name, length, modified): what a listing says, no content read."""
+    r = spark.read.format("binaryFile")
+    if glob:
+        r = r.option("pathGlobFilter", glob)
+    return r.load(root).select("path", F.element_at(F.split("path", "/"), -1).alias("file_name"), "length",
+                               F.unix_micros("modificationTime").alias("modified"))
+
+
+def _store(path: str):
+    """(file system, name in it) of a path that tasks can open themselves, else None."""
+    uri = f"file://{path[5:]}" if path.startswith("file:/") and not path.startswith("file://") else path
+    try:
+        return pafs.FileSystem.from_uri(uri)
+    except (pa.ArrowInvalid, pa.ArrowNotImplementedError, OSError):
+        return None
+
+
+def _digest(path: str) -> str:
+    fs, name = _store(path)
+    sha = hashlib.sha256()
+    with fs.open_input_stream(name) as f:
+        while chunk := f.read(CHUNK):
+            sha.update(chunk)
+    return sha.hexdigest()
+
+
+def file_digests(spark: SparkSession, paths: Sequence[str]) -> dict[str, str]:
+    """SHA-256 of each delivered file's bytes (a delivery has some tens of files).
+
+    A task reads its file in chunks of ``CHUNK``. In a store that only Spark
+    reads, the content comes through ``binaryFile`` (there a file must be below 2 GB)."""
+    paths = list(paths)
+    if not paths:
+        return {}
+    if _store(paths[0]) is None:
+        got = spark.read.format("binaryFile").load(paths).select("path", F.sha2("content", 256).alias("sha256"))
+    else:
+        def digests(batches):
+            for b in batches:
+                names = b.column(0).to_pylist()
+                yield pa.RecordBatch.from_pydict({"path": names, "sha256": [_digest(p) for p in names]})
+
+        listed = spark.createDataFrame([(p,) for p in paths], "path string").repartition(len(paths))
+        got = listed.mapInArrow(digests, "path string, sha256 string")
+    return {r.path: r.sha256 for r in got.collect()}

@@ -33,7 +33,7 @@ from edumart.plans.incremental import (
     FILE, Delivery, answer_state, land, level_state, merged_counts, merged_levels, merged_scores, score_state)
 from edumart.session import scratch_path
 from edumart.sources import (
-    REJECTED, Snapshot, commit, read_snapshot, resolve, run_atomic, write_run, write_runs, manifest_report, publish_layer, read_delimited, read_layer, read_mart, route_by_filename,
+    COUNTS, LATIN1, REJECTED, land_counted, Snapshot, commit, read_snapshot, resolve, run_atomic, write_run, write_runs, manifest_report, publish_layer, read_delimited, read_layer, read_mart, route_by_filename,
     write_delimited, write_layer, write_mart)
 
 # Schemas of the driver tables used here. Declaring them skips
@@ -164,6 +164,26 @@ def q_scan_rejects(spark, sf):
     return bad.withColumnRenamed("column", "column_name")
 
 
+def q_scan_accounting(spark, sf):
+    """Orders delivered as one text per edition in which some records lack their
+    last fields (keys divisible by 19), some have fields too many (23) and some
+    course keys hold a letter (17); what the landing write counted per file."""
+    path, names = scratch_path(spark, "ragged"), [c for c, _ in ORDERS_SEL_TYPES]
+    key, o = F.col("o_orderkey"), table(spark, sf, "orders")
+    course = F.concat(F.col("o_custkey").cast("string"), F.when(key % 17 == 0, F.lit("O")).otherwise(F.lit("")))
+    start, rest = F.concat_ws(";", "o_orderkey", course), F.concat_ws(";", "o_orderstatus", F.col("o_totalprice").cast("string"))
+    line = (F.when(key % 23 == 0, F.concat_ws(";", start, rest, F.lit('"a;b"'), F.lit("c")))
+            .when(key % 19 == 0, start).otherwise(F.concat_ws(";", start, rest)))
+    # lines as they are: one column named like the header, written with a separator that occurs nowhere
+    (o.select(line.alias(";".join(names)), edition().alias("edition")).write.partitionBy("edition").option("header", True)
+     .option("sep", "\u0001").option("quote", "\u0002").option("escape", "\u0002").option("encoding", LATIN1).csv(path))
+    editions = sorted(r[0] for r in o.select(edition()).distinct().collect())
+    files = {f"edition={e}": read_delimited(spark, f"{path}/edition={e}", ORDERS_SEL_TYPES, rejects=True) for e in editions}
+    counts = land_counted(files, lambda df: write_mart(df, scratch_path(spark, "ragged_landed")))
+    return spark.createDataFrame([(f, *(n[c] for c in COUNTS)) for f, n in counts.items()],
+                                 "file_name string, " + ", ".join(f"{c} long" for c in COUNTS))
+
+
 def q_union_marts(spark, sf):
     """CSV marts of two run dates and two relations; the union of one relation on
     the later date, typed."""
@@ -570,6 +590,7 @@ def q_snapshot_read(spark, sf):
 QUERIES = {
     "mart_incremental": q_mart_incremental,
     "snapshot_read": q_snapshot_read,
+    "scan_accounting": q_scan_accounting,
     "scan_delimited": q_scan_delimited,
     "scan_mart": q_scan_mart,
     "sink_roundtrip": q_sink_roundtrip,

@@ -42,7 +42,7 @@ from edumart.schemas import (
     INSTITUTION, INSTITUTION_REGISTRY, QUESTIONS, SCORE_COLS, SCORES, SCORES_FILE_NO,
     Question, all_cells, display_names, item_cells)
 from edumart.sources import (
-    LATIN1, REJECTED, list_files, manifest_report, read_delimited, read_layer, route_expr, write_layer,
+    COUNTS, LATIN1, REJECTED, land_counted, list_files, manifest_report, read_delimited, read_layer, route_expr, write_layer,
     write_mart)
 
 #: a literal not-answered code in the text, kept apart from the filled one until the marts (K7)
@@ -78,10 +78,17 @@ def read_relation(spark: SparkSession, root: str, name: str, editions: Sequence[
                   layout: ExtractLayout = ExtractLayout(),
                   questions: Sequence[Question] = QUESTIONS) -> DataFrame:
     """One extract relation (``scores``, ``ages``, ``answers_<item>``,
-    ``course_registry``, ``institution_registry``) for the given editions:
-    one read per file (columns are matched by header name, and headers
-    differ between editions), stacked by name across editions. Rows carry the
-    ``REJECTED`` array of their unreadable columns."""
+    ``course_registry``, ``institution_registry``) for the given editions,
+    stacked by name. Rows carry the ``REJECTED`` array of their unreadable
+    columns and of records of the wrong width."""
+    return union_editions(list(relation_files(spark, root, name, editions, layout, questions).values()))
+
+
+def relation_files(spark: SparkSession, root: str, name: str, editions: Sequence[int],
+                   layout: ExtractLayout = ExtractLayout(),
+                   questions: Sequence[Question] = QUESTIONS) -> dict[tuple[int, str], DataFrame]:
+    """The frames of a relation by (edition, file name): one read per file, since
+    columns are matched by header name and headers differ between editions."""
     root = root.rstrip("/")
     items = {f"answers_{q.name}": q for q in questions}
     if name == "scores":
@@ -99,14 +106,14 @@ def read_relation(spark: SparkSession, root: str, name: str, editions: Sequence[
                                               True, layout.registry_missing, None)
     else:
         raise ValueError(f"unknown relation {name!r}")
-    parts = []
+    parts = {}
     for ed in editions:
-        path = f"{root}/{pattern.format(edition=ed, n=n)}"
-        parts.append(read_delimited(
-            spark, path, cols, sep=layout.sep, encoding=layout.encoding,
+        file = pattern.format(edition=ed, n=n)
+        parts[ed, file] = read_delimited(
+            spark, f"{root}/{file}", cols, sep=layout.sep, encoding=layout.encoding,
             decimal_comma=layout.decimal_comma, ordinal=ordinal,
-            extra={EDITION: F.lit(int(ed))}, missing=missing, rejects=True))
-    return union_editions(parts)
+            extra={EDITION: F.lit(int(ed))}, missing=missing, rejects=True)
+    return parts
 
 
 def read_extracts(spark: SparkSession, root: str, editions: Sequence[int],
@@ -157,6 +164,9 @@ def land_extracts(spark: SparkSession, root: str, editions: Sequence[int], lake_
     that edition). Registries keep their file-order ordinal. Later builds
     read columnar, prunable tables instead of re-parsing Latin-1 text.
 
+    What each file held (rows, records of the wrong width, unreadable ones) is
+    counted by the same write into the table ``accounting``.
+
     Files the layout expects but the folder lacks are reported (key
     ``"absent"``) and that relation is landed for the other editions only,
     like the original's file selection, which skipped absent files."""
@@ -165,13 +175,23 @@ def land_extracts(spark: SparkSession, root: str, editions: Sequence[int], lake_
                     for r in manifest_report(spark, manifest, root).collect())
     missing = {(rel, ed) for rel, ed, _ in absent}
     out: dict = {"absent": [f for _, _, f in absent]}
+    accounts = []
     for name in _relations_names(questions):
         eds = [ed for ed in editions if (name, ed) not in missing]
         if not eds:
             continue
-        df = read_relation(spark, root, name, eds, layout, questions)
-        out[name] = write_layer(df, lake_root, "silver", f"extracts/{name}", run_date, [EDITION],
-                                keep_other_partitions=True)
+        files = relation_files(spark, root, name, eds, layout, questions)
+
+        def write(df: DataFrame) -> None:
+            out[name] = write_layer(df, lake_root, "silver", f"extracts/{name}", run_date, [EDITION],
+                                    keep_other_partitions=True)
+
+        for (ed, file), n in land_counted(files, write).items():
+            accounts.append((name, ed, file, *(n[c] for c in COUNTS)))
+    if accounts:
+        schema = "relation string, edition int, file_name string, " + ", ".join(f"{c} long" for c in COUNTS)
+        out["accounting"] = write_layer(spark.createDataFrame(accounts, schema), lake_root, "silver", "accounting", run_date,
+                                        [EDITION], keep_other_partitions=True)
     return out
 
 

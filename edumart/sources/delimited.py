@@ -17,12 +17,16 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from edumart.functions.scalar import PANDAS_NA_TOKENS, null_if_token
 from edumart.operators.dedupe import ORDINAL
 
 LATIN1 = "ISO-8859-1"
 REJECTED = "_rejected"
+# what ``REJECTED`` holds for a record that is not as wide as the header, or broken otherwise
+SHORT, LONG, BROKEN = "(too few fields)", "(too many fields)", "(broken record)"
+_RECORD = "_corrupt_record_text"
 _INTEGRAL = {"int", "integer", "bigint", "long", "smallint", "tinyint"}
 
 
@@ -40,6 +44,13 @@ def _convert(raw: Column, dtype: str, na_tokens, decimal_comma: bool) -> Column:
     return s.try_cast(t)
 
 
+def _width_fault(record: Column, width: int, sep: str) -> Column:
+    """What is wrong with a record the parser could not fit to the header (NULL: nothing)."""
+    bare = F.regexp_replace(record, '"(?:[^"]|"")*"', "")
+    fields = (F.length(bare) - F.length(F.replace(bare, F.lit(sep), F.lit("")))) / len(sep) + 1
+    return F.when(record.isNotNull(), F.when(fields < width, F.lit(SHORT)).when(fields > width, F.lit(LONG)).otherwise(F.lit(BROKEN)))
+
+
 def with_file_ordinal(df: DataFrame, name: str = ORDINAL) -> DataFrame:
     """Attach a total order equal to file order: (file path, split start,
     position inside the split). Must be applied directly on a file scan.
@@ -71,13 +82,22 @@ def read_delimited(spark: SparkSession, path: str | Sequence[str],
     header; ``"null"`` reads it as a typed NULL (older editions of a
     registry may lack newer columns).
     ``rejects``: add the array ``REJECTED`` of the columns whose value is present
-    in the text but has not the declared type.
+    in the text but has not the declared type, and of ``SHORT``, ``LONG`` or
+    ``BROKEN`` for a record without as many fields as the header (its first fields
+    are read, missing ones are NULL). All fields are tokenised then, since a
+    record's width shows in no single column.
     """
     cols = list(columns.items()) if isinstance(columns, Mapping) else list(columns)
-    raw = (spark.read.option("header", header).option("sep", sep)
-           .option("encoding", encoding).option("quote", '"').option("escape", '"')
-           .option("inferSchema", False).option("mode", "PERMISSIVE").option("enforceSchema", False)
-           .option("multiLine", multiline).csv(path if isinstance(path, str) else list(path)))
+    paths = path if isinstance(path, str) else list(path)
+    reader = (spark.read.option("header", header).option("sep", sep)
+              .option("encoding", encoding).option("quote", '"').option("escape", '"')
+              .option("inferSchema", False).option("mode", "PERMISSIVE").option("enforceSchema", False)
+              .option("multiLine", multiline))
+    raw = reader.csv(paths)
+    names = raw.columns
+    if rejects:
+        raw = (reader.option("columnPruning", False).option("columnNameOfCorruptRecord", _RECORD)
+               .schema(StructType([*raw.schema.fields, StructField(_RECORD, StringType())])).csv(paths))
     absent = [c for c, _ in cols if c not in raw.columns]
     if absent and missing != "null":
         raise ValueError(f"{path}: columns missing from header: {absent}")
@@ -88,7 +108,7 @@ def read_delimited(spark: SparkSession, path: str | Sequence[str],
     if rejects:
         typed = [(c, F.col(f"`{c}`"), e) for (c, t), e in zip(cols, out)
                  if c not in absent and t.lower() not in ("string", "varchar")]
-        out.append(F.array_compact(F.array(*[
+        out.append(F.array_compact(F.array(_width_fault(F.col(_RECORD), len(names), sep), *[
             F.when((null_if_token(raw_c, na_tokens) if na_tokens else raw_c).isNotNull() & e.isNull(), F.lit(c))
             for c, raw_c, e in typed])).cast("array<string>").alias(REJECTED))
     if ordinal:

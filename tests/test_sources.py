@@ -200,3 +200,26 @@ def test_rerun_replaces_exactly_its_day(spark, tmp_dir):
     wider = df.selectExpr("*", "id * 2 as more")
     write_layer(wider, root, "gold", "t", "2024-02-17")
     assert read_layer(spark, root, "gold", "t", "2024-02-17").columns == ["id", "edition", "more", "date"]
+
+
+def test_records_of_the_wrong_width_are_counted_by_the_landing_write(spark, tmp_dir):
+    from edumart.operators import count_rejects
+    from edumart.sources import BROKEN, LONG, REJECTED, SHORT, land_counted
+    p = f"{tmp_dir}/ragged.csv"
+    with open(p, "w", encoding="latin-1") as f:
+        f.write('CO_CURSO;TX;NT_GER\n1;x;2\n3;y\n4;z;5;99;98\n"5";"q;1";7\n6;"q;1""w";7;"k;k"\n7;"a;b"\nbad;t;1\n;;\n9;u;bad;x\n')
+    cols = [("CO_CURSO", "bigint"), ("NT_GER", "double")]
+    df = read_delimited(spark, p, cols, rejects=True)
+    assert {r["column"]: r.n for r in count_rejects(df, REJECTED).collect()} == {SHORT: 2, LONG: 3, "CO_CURSO": 1, "NT_GER": 1}
+    assert [(r.CO_CURSO, r.NT_GER) for r in df.collect()] == [
+        (1, 2.0), (3, None), (4, 5.0), (5, 7.0), (6, 7.0), (7, None), (None, 1.0), (None, None), (9, None)]
+    assert BROKEN not in {r["column"] for r in count_rejects(df, REJECTED).collect()}
+    q = f"{tmp_dir}/empty.csv"
+    with open(q, "w", encoding="latin-1") as f:
+        f.write("NT_GER;CO_CURSO\n")
+    jobs = []
+    got = land_counted({"a": df, "b": read_delimited(spark, q, cols, rejects=True)},
+                       lambda d: jobs.append(d.write.parquet(f"{tmp_dir}/landed")))
+    assert len(jobs) == 1 and spark.read.parquet(f"{tmp_dir}/landed").count() == 9
+    assert got == {"a": {"n_rows": 9, "n_short": 2, "n_long": 3, "n_broken": 0, "n_unreadable": 2},
+                   "b": {"n_rows": 0, "n_short": 0, "n_long": 0, "n_broken": 0, "n_unreadable": 0}}

@@ -124,6 +124,9 @@ _SQL["mart_incremental"] = _SQL["all_editions_mart"]
 _SQL["scan_accounting"] = ("SELECT 'edition=' || year(o_orderdate)::VARCHAR AS file_name, count(*) AS n_rows, "
                            "count_if(o_orderkey % 19 = 0 AND o_orderkey % 23 <> 0)::BIGINT AS n_short, count_if(o_orderkey % 23 = 0)::BIGINT AS n_long, "
                            "0::BIGINT AS n_broken, count_if(o_orderkey % 17 = 0)::BIGINT AS n_unreadable FROM orders GROUP BY 1")
+_SQL["value_stats_continuous"] = ("SELECT supplier, round(sum(l_extendedprice::DECIMAL(18,2))::DOUBLE / count(*), 3) AS mean_price, "
+                                  "round(median(l_extendedprice), 3) AS median_price, round(stddev_samp(l_extendedprice), 3) AS std_price "
+                                  "FROM (SELECT CASE WHEN l_orderkey % 3 = 0 THEN 0 ELSE l_suppkey END::BIGINT AS supplier, l_extendedprice FROM lineitem) GROUP BY 1")
 _SQL["snapshot_read"] = ("SELECT o_orderkey, o_totalprice, 'after' AS reader FROM orders UNION ALL "
                          "SELECT o_orderkey, o_totalprice, unnest(['before', 'during']) FROM orders WHERE o_orderkey % 2 = 0")
 

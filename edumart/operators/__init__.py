@@ -6,5 +6,6 @@ from edumart.operators.dedupe import dedupe_first  # noqa: F401
 from edumart.operators.joins import (  # noqa: F401
     chain_left, enrich, join_suffixed, null_safe_join)
 from edumart.operators.ordering import desc_nulls_last_order, with_position  # noqa: F401
+from edumart.operators.selection import value_stats_continuous  # noqa: F401
 from edumart.operators.stats import avg_of_stats, histogram_stats, mean_of_means, mean_scores, value_stats  # noqa: F401
 from edumart.operators.union import union_editions  # noqa: F401

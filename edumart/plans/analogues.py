@@ -28,7 +28,8 @@ from edumart.operators import (
     answers_long, avg_of_stats, chain_left, count_long, count_rejects, crosstab, dedupe_first,
     desc_nulls_last_order, domain_violations, drop_like, drop_null_keys,
     duplicate_keys, enrich, join_suffixed, mean_of_means, mean_scores, move_first,
-    null_safe_join, profile, project, rollup, union_editions, value_stats, widen, with_position)
+    null_safe_join, profile, project, rollup, union_editions, value_stats, value_stats_continuous,
+    widen, with_position)
 from edumart.plans.incremental import (
     FILE, Delivery, answer_state, land, level_state, merged_counts, merged_levels, merged_scores, score_state)
 from edumart.session import scratch_path
@@ -342,6 +343,13 @@ def q_course_age_stats(spark, sf):
     return value_stats(li, ["l_orderkey"], "l_quantity", AGE_NAMES, round_places=4)
 
 
+def q_value_stats_continuous(spark, sf):
+    """Prices per supplier, where a third of all rows belong to supplier 0."""
+    li = table(spark, sf, "lineitem").select(
+        F.when(F.col("l_orderkey") % 3 == 0, F.lit(0)).otherwise(F.col("l_suppkey")).alias("supplier"), "l_extendedprice")
+    return value_stats_continuous(li, ["supplier"], "l_extendedprice", ("mean_price", "median_price", "std_price"), round_places=3)
+
+
 STATUS_CELLS = [("F", "st_F"), ("O", "st_O"), ("N", "st_N")]
 # Display labels of the analogue status question, code order.
 STATUS_LABELS = {"F": "status_final", "O": "status_open", "N": "status_not_answered"}
@@ -617,6 +625,7 @@ QUERIES = {
     "null_safe_join": q_null_safe_join,
     "course_score_mean": q_course_score_mean,
     "course_age_stats": q_course_age_stats,
+    "value_stats_continuous": q_value_stats_continuous,
     "crosstab_count": q_crosstab_count,
     "crosstab_labelled": q_crosstab_labelled,
     "crosstab_missing_code": q_crosstab_missing_code,

@@ -172,3 +172,30 @@ def test_mean_keeps_small_digits_and_large_values(spark):
     df = spark.createDataFrame([(1, 0.00004), (1, 0.00004), (2, 1e15), (2, 3e15)], "k int, v double")
     got = {r.k: r.v for r in mean_scores(df, ["k"], ["v"], places=None).collect()}
     assert got == {1: 0.00004, 2: 2e15}
+
+
+def test_continuous_stats_equal_plain_ones_without_gathering_the_hot_key(spark):
+    import random
+    import statistics
+
+    from edumart.operators.selection import ranges, value_stats_continuous
+    rng = random.Random(3)
+    rows = [(0, rng.random() * 1000) for _ in range(3000)] + [(1, 5.0)] * 400 + [(2, 7.25), (3, None), (None, 1.0), (4, 1.0), (4, None), (4, 2.0)]
+    rows += [(k, rng.choice([1.5, 2.5, rng.random()])) for k in range(10, 200) for _ in range(rng.randint(1, 40))]
+    df = spark.createDataFrame(rows, "k long, v double").repartition(5)
+    dealt = ranges(df, ["k"], "v", 12)
+    sizes = [r["n"] for r in dealt.groupBy("_range").agg(F.count(F.lit(1)).alias("n")).collect()]
+    assert len(sizes) >= 10 and max(sizes) < 3 * sum(sizes) / len(sizes)                # no range holds the hot key
+    assert dealt.filter("k = 0").select("_range").distinct().count() >= 5
+    assert dealt.filter("k = 1").collect()[0]["_f"] == 400                              # a hot value is one counted row
+    got = {r.k: r for r in value_stats_continuous(df, ["k"], "v", partitions=12).collect()}
+    want = {}
+    for k, v in rows:
+        if k is not None:
+            want.setdefault(k, []).extend([] if v is None else [v])
+    assert got.keys() == want.keys()
+    for k, v in want.items():
+        assert got[k].median == (statistics.median(v) if v else None)
+        assert got[k].mean == (pytest.approx(statistics.fmean(v)) if v else None)
+        assert got[k].std == (pytest.approx(statistics.stdev(v)) if len(v) > 1 else None)
+    assert value_stats_continuous(df.limit(0), ["k"], "v").count() == 0

@@ -18,14 +18,13 @@ import numpy as np
 # are tokens of their own. Other Unicode spaces never end a piece.
 _TAIL = r"(?:[^\S \t\n\r\f\v]\s*\S*)*"
 PIECE = re.compile(rf" ?\S+{_TAIL}|\n(?=\S)|\s+\S*{_TAIL}")
-#: Where this finds nothing, plain splits at line breaks and blanks give the same pieces.
-ODD = re.compile(r"[^\S \n]|\s\s|\A\s|\s\Z")
 #: Letters, then ASCII punctuation without the apostrophe: two pre-tokens whose cut is certain.
 WORD = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]*)([!-&(-/:-@\[-`{-~]*)")
 
 MEMO_PIECES = 1_000_000    # bound of the memo of one Python worker, about 250 MB when full
 MEMO_CHARS = 64            # longer pieces are not kept
 RUN_PIECES = 100_000       # pieces of a text held at a time
+LONG_TEXT = 1 << 24        # longer texts are taken piece by piece, never split whole
 
 
 def _byte_signs() -> list[str]:
@@ -49,6 +48,7 @@ class Encoder:
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
         self.codes = [i.to_bytes(self.width, "little") for i in range(self.tokenizer.get_vocab_size())]
         self.memo: dict[str, bytes] = {}
+        self.mid: dict[str, bytes] = {}            # words after a blank, kept without it
         self.after: dict[str, bytes] = {}          # signs that follow a word
 
     def _whole(self, piece: str) -> bytes:
@@ -69,26 +69,40 @@ class Encoder:
     def piece(self, piece: str) -> bytes:
         got = self.memo.get(piece)
         if got is None:
-            bare = piece[1:] if piece[:1] == " " else piece
-            if bare and (m := WORD.fullmatch(bare)):
-                word, signs = m.groups()
-                if word and signs:                 # a word is encoded once for all signs after it
-                    got = self.piece(piece[:len(piece) - len(signs)]) + self._signs(signs)
-                else:
-                    got = self._pretoken(piece)
-            else:
-                got = self._whole(piece)
-            if len(piece) <= MEMO_CHARS:
-                if len(self.memo) >= MEMO_PIECES:
-                    self.memo.clear()
-                self.memo[piece] = got
+            got = self._encode(piece, "", self.piece)
+            self._keep(self.memo, piece, got)
         return got
 
+    def inner(self, word: str) -> bytes:
+        """Ids of a blank and the word after it."""
+        got = self.mid.get(word)
+        if got is None:
+            got = self._encode(word, " ", self.inner)
+            self._keep(self.mid, word, got)
+        return got
+
+    def _encode(self, piece: str, blank: str, again) -> bytes:
+        bare = piece[1:] if not blank and piece[:1] == " " else piece
+        if bare and (m := WORD.fullmatch(bare)):
+            word, signs = m.groups()
+            if word and signs:                     # a word is encoded once for all signs after it
+                return again(piece[:len(piece) - len(signs)]) + self._signs(signs)
+            return self._pretoken(blank + piece)
+        return self._whole(blank + piece)
+
+    def _keep(self, memo: dict[str, bytes], key: str, ids: bytes) -> None:
+        if len(key) <= MEMO_CHARS:
+            if len(self.memo) + len(self.mid) >= MEMO_PIECES:
+                self.memo.clear()
+                self.mid.clear()
+            memo[key] = ids
+
     def ids(self, text: str) -> bytes:
         if not text:
             return b""
-        get, piece, out = self.memo.get, self.piece, []
-        if ODD.search(text):
+        piece, out = self.piece, []
+        # unless words are parted by one blank or line break each and by nothing else
+        if len(text) > LONG_TEXT or text.split() != text.replace("\n", " ").split(" "):
             run = []
             for m in PIECE.finditer(text):
                 run.append(piece(m.group()))
@@ -97,13 +111,13 @@ class Encoder:
                     run = []
             out += run
             return b"".join(out)
-        line_end = piece("\n")
+        line_end, get, inner = piece("\n"), self.mid.get, self.inner
         for k, line in enumerate(text.split("\n")):
             if k:
                 out.append(line_end)
             first, *rest = line.split(" ")
-            out.append(get(first) or piece(first))
-            out += [get(p) or piece(p) for p in map(" ".__add__, rest)]
+            out.append(piece(first))
+            out += [get(p) or inner(p) for p in rest]
         return b"".join(out)
 
 

@@ -20,8 +20,8 @@ executor only repeats its shard. Global token positions need the total of each
 earlier shard only: one row per shard, summed by Spark.
 
 Defined results: a null text is an empty one (only the end id); null keys come
-first in the order; rows with equal keys are ordered by text and each keep
-their own record; an empty table gives no shard rows and an empty result; extra
+first in the order; rows with equal keys are ordered by the hash of their text,
+then by text, and each keep their own record; an empty table gives no shard rows and an empty result; extra
 columns are ignored.
 """
 
@@ -124,8 +124,9 @@ def write_records(docs: DataFrame, key: str, text: str, folder: str, spec: str,
         if rows:
             yield _batch(rows, INDEX_ARROW)
 
-    ordered = docs.select(F.col(key).cast("long").alias("k"), F.col(text).alias("t")) \
-        .repartitionByRange("k", "t").sortWithinPartitions("k", "t")
+    # ranges of key and text hash: the sampled bounds that reach the driver hold no texts
+    ordered = docs.select(F.col(key).cast("long").alias("k"), F.xxhash64(text).alias("h"), F.col(text).alias("t")) \
+        .repartitionByRange("k", "h").sortWithinPartitions("k", "h", "t").select("k", "t")
     return materialize(ordered.mapInArrow(shard, INDEX), "records-index")
 
 
@@ -167,8 +168,9 @@ def read_records(spark: SparkSession, folder: str, index: DataFrame) -> DataFram
                 if rows:
                     yield _batch(rows, schema)
 
-    shards = shard_starts(index)
-    return shards.repartition("shard").mapInArrow(
+    shards = shard_starts(materialize(index.groupBy("shard").agg(F.sum("n_tokens").alias("n_tokens")), "records-shards"))
+    # a stated number of tasks: a row per shard is too little for Spark to deal out by size
+    return shards.repartition(max(1, shards.count()), F.col("shard")).mapInArrow(
         read, "key long, start long, n_tokens long, ids_crc32 long, shard int, byte_offset long")
 
 

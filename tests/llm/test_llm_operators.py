@@ -205,7 +205,9 @@ def test_pieces_give_the_librarys_ids():
 def test_token_records(spark, sf):
     enc = bpe.encoder(bpe.read_spec())
     want, at = [], 0
-    for i, text, *_ in sorted(ROWS, key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, (r[1] or "").encode())):
+    # Spark's XXH64 of a text: seed 42, signed; of null: 42
+    hash_ = lambda t: 42 if t is None else (xxhash.xxh64_intdigest(t.encode(), 42) + 2 ** 63) % 2 ** 64 - 2 ** 63
+    for i, text, *_ in sorted(ROWS, key=lambda r: (r[0] is not None, r[0] or 0, hash_(r[1]), r[1] is not None, (r[1] or "").encode())):
         ids = enc.tokenizer.encode(text or "", add_special_tokens=False).ids + [0]
         want.append((i, at, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
         at += len(ids)

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from edumart.llm.common import materialize, table
 from edumart.llm.language_id import filter_language
 from edumart.llm.mixing import sample_mix
-from edumart.llm.packing import pack
+from edumart.llm.packing import pack_apart
 from edumart.llm.quality_rules import filter_quality
 from edumart.llm.simhash import MAX_BITS, SHINGLE_WORDS, drop_near_duplicates
 
@@ -31,7 +31,7 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return pack(docs)
+    return pack_apart(docs)
 
 
 STAGES = [("quality_rules", quality), ("language_id", language), ("simhash_dedup", dedup),

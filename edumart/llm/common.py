@@ -4,6 +4,9 @@ two whitespace-word definitions the contracts use."""
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -51,6 +54,20 @@ def space_words(c: Column) -> Column:
     return F.filter(F.split(F.coalesce(c, F.lit("")), f"[{SPACE}]+"), lambda w: w != "")
 
 
+def word_chunks(data: bytes, size: int = 1 << 20) -> Iterator[list[bytes]]:
+    """The whitespace words of a text's bytes, in order, about ``size`` bytes at a time."""
+    pos = 0
+    while pos < len(data):
+        m = _SPACE.search(data, pos + size)
+        end = m.start() if m else len(data)
+        if words := data[pos:end].split():
+            yield words
+        pos = end
+
+
+_SPACE = re.compile(rb"[ \t-\r]")
+
+
 def components(edges: DataFrame, name: str = "cc") -> DataFrame:
     """Connected components of an undirected graph: ``(v, root)`` for every
     vertex that has an edge to another one; ``root`` is the same long for all

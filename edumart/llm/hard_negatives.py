@@ -240,10 +240,12 @@ def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLE = """
 WITH r AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label::BIGINT + 1) % 10 ELSE label::BIGINT END AS label, embedding AS e FROM embeddings
   WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL),
-c AS (SELECT vec_id, label, unnest(e) AS x, generate_subscripts(e, 1) AS d FROM r),
-q AS (SELECT vec_id, any_value(label) AS label, list(floor(256 * x::DOUBLE)::BIGINT ORDER BY d) AS v FROM c GROUP BY vec_id
-  HAVING bool_and(x IS NOT NULL AND isfinite(x))),
-s AS (SELECT a.vec_id AS a, b.vec_id AS b, a.label = b.label AS same, list_inner_product(a.v::DOUBLE[], b.v::DOUBLE[])::BIGINT AS s
+c AS (SELECT vec_id, unnest(e)::DOUBLE AS x, generate_subscripts(e, 1) AS d FROM r),
+bad AS (SELECT DISTINCT vec_id FROM c WHERE x IS NULL OR NOT isfinite(x)),
+w AS (SELECT vec_id, list(CASE WHEN isfinite(x) THEN floor(256 * x) END ORDER BY d) AS v FROM c GROUP BY vec_id),
+q AS (SELECT vec_id, label, list_resize(coalesce(v, []::DOUBLE[]), (SELECT greatest(max(len(e)), 1) FROM r), 0.0::DOUBLE) AS v
+  FROM r LEFT JOIN w USING (vec_id) WHERE vec_id NOT IN (SELECT vec_id FROM bad)),
+s AS (SELECT a.vec_id AS a, b.vec_id AS b, a.label = b.label AS same, list_inner_product(a.v, b.v)::BIGINT AS s
   FROM q a JOIN q b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
 p AS (SELECT a, b, s FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY a ORDER BY s DESC, b) <= 5),
 n AS (SELECT p.a, p.b AS pos, s.b AS neg, p.s AS ps, s.s AS ns, row_number() OVER (PARTITION BY p.a, p.b ORDER BY s.s DESC, s.b) AS rank

@@ -12,7 +12,7 @@ For every language ``l`` of the inventory
   language with a single row can. TEMPER allows for neighbouring trigrams not being independent. A uniform
   background language "und" competes, so text like no language loses.
 * declared: P(declared language | l), from counts of (declared, best language by
-  text alone) over all rows;
+  text alone) over all rows; a declaration seen in no row with text says nothing;
 * host: P(l | host) from counts of (host, best by text), smoothed towards the
   address suffix, which is smoothed towards the whole table:
   (n(host, l) + K P(l | suffix)) / (n(host) + K).
@@ -53,6 +53,7 @@ POOL = 0.1                      # share of the pooled counts in a language's lik
 HOST_K, SUFFIX_K = 20.0, 50.0
 MIN_POSTERIOR = 0.5
 UND_PRIOR = 0.01
+SENT_LANGS = 256               # the table of declarations is broadcast up to so many languages (half a MB)
 HELD_LANGS = 256               # languages whose counts a task holds at a time
 CHUNK = 1 << 20                # bytes of a text looked at a time
 
@@ -173,60 +174,82 @@ def text_model(rows: DataFrame, text: str, lang: str) -> TextModel:
 
 def likelihoods(df: DataFrame, text: str, declared: str, into: str, model: TextModel) -> DataFrame:
     """``df`` with an array column: log-likelihood per language and und, then the number of trigrams."""
-    @F.pandas_udf("array<double>")
-    def udf(texts, said):
-        import pandas as pd
-        out = []
-        for t, d in zip(texts, said):
-            c = counted(t)
-            out.append([*model.score(c, d).tolist(), float(c.sum())])
-        return pd.Series(out)
+    width = len(model.langs) + 2
+
+    @F.arrow_udf("array<double>")
+    def udf(texts: pa.Array, said: pa.Array) -> pa.Array:
+        out = np.empty((len(texts), width))
+        for row, t, d in zip(out, texts, said):
+            c = counted(t.as_py())
+            row[:-1] = model.score(c, d.as_py())
+            row[-1] = c.sum()
+        return pa.ListArray.from_arrays(pa.array(np.arange(0, width * len(texts) + 1, width, dtype=np.int32)), pa.array(out.ravel()))
     return df.withColumn(into, udf(F.col(text), F.col(declared)))
 
 
+def constant(values) -> Column:
+    """An array or map as one literal that Spark folds, whatever its length."""
+    kind = "map<string,int>" if isinstance(values, dict) else "array<string>" if values and isinstance(values[0], str) else "array<double>"
+    return F.from_json(F.lit(json.dumps(values)), kind)
+
+
 def argmax(scores: Column, names: list[str]) -> Column:
     """Name of the largest score; of equal ones the first."""
-    return F.get(F.array(*[F.lit(n) for n in names]), F.array_position(scores, F.array_max(scores)).cast("int") - 1)
-
-
-def evidence(slim: DataFrame, langs: list[str]) -> tuple[Column, DataFrame]:
-    """From rows (declared, host, ll): the log P(declared | l) expression of a
-    column ``declared``, and the host table (h_host, h_prior: log prior per
-    language)."""
-    best = argmax(F.slice("ll", 1, len(langs)), langs)
-    rows = slim.filter(F.get("ll", F.lit(len(langs) + 1)) > 0).select("declared", "host", suffix_of(F.col("host")).alias("suffix"), best.alias("best"))
-    # inventory x inventory counts of declarations: bounded by the inventory
-    seen = rows.withColumn("declared", F.when(F.col("declared").isin(langs), F.col("declared"))) \
-        .groupBy("declared", "best").count().collect()
-    by = {l: sum(r["count"] for r in seen if r["best"] == l) for l in langs}
-    n = {(r["declared"], r["best"]): r["count"] for r in seen}
-    p = lambda d: [float(np.log((n.get((d, l), 0) + SMOOTH) / (by[l] + SMOOTH * (len(langs) + 1)))) for l in langs]
-    # one constant, folded by Spark, instead of an expression per pair of languages
-    table_of = F.from_json(F.lit(json.dumps({d: p(d) for d in langs})), "map<string,array<double>>")
-    said = F.coalesce(F.try_element_at(table_of, F.col("declared")), F.array(*[F.lit(x) for x in p(None)]))
-    whole = [(by[l] + SMOOTH) / (sum(by.values()) + SMOOTH * len(langs)) for l in langs]
-    counts = [F.count_if(F.col("best") == l).cast("double").alias(f"n{k}") for k, l in enumerate(langs)]
-    hosts = rows.groupBy("host", "suffix").agg(*counts)
-    names = [f"n{k}" for k in range(len(langs))]
-    total = lambda: sum((F.col(c) for c in names), F.lit(0.0))
-    suffixes = hosts.groupBy("suffix").agg(*[F.sum(c).alias(c) for c in names]).select(
-        F.col("suffix").alias("s"), F.array(*[(F.col(c) + SUFFIX_K * w) / (total() + SUFFIX_K) for c, w in zip(names, whole)]).alias("prior"))
-    table_ = hosts.join(suffixes, F.col("suffix").eqNullSafe(F.col("s"))).select(
-        F.col("host").alias("h_host"), F.array(*[F.log((F.col(c) + HOST_K * F.get("prior", F.lit(k))) / (total() + HOST_K))
-                                                 for k, c in enumerate(names)]).alias("h_prior"))
-    default = F.array(*[F.lit(float(np.log(w))) for w in whole])
-    return said, materialize(table_, "language-hosts").withColumn("h_default", default)
-
-
-def fuse(slim: DataFrame, langs: list[str], said: Column, hosts: DataFrame, into: str) -> DataFrame:
+    return F.get(constant(names), F.array_position(scores, F.array_max(scores)).cast("int") - 1)
+
+
+def _dense(best: str, n: str, size: int) -> Column:
+    """Aggregate: counts by place 0 .. size - 1 as an array (a place occurs once per group)."""
+    at = F.map_from_entries(F.collect_list(F.struct(best, n)))
+    return F.transform(F.sequence(F.lit(0), F.lit(size - 1)), lambda i: F.coalesce(F.try_element_at(at, i), F.lit(0)).cast("double"))
+
+
+def evidence(slim: DataFrame, langs: list[str]) -> tuple[DataFrame, DataFrame]:
+    """From rows (declared, host, ll): tables (said, d_prior: log P(declared | l)
+    per language l) and (h_host, h_prior: log prior per language).
+
+    One aggregate over the rows, in long form (declared, host, best, n), serves
+    both; its plan does not grow with the languages. ``said`` is the declared
+    language's place in the inventory, null for any other value."""
+    k = len(langs)
+    own = F.slice("ll", 1, k)
+    rows = slim.filter(F.get("ll", F.lit(k + 1)) > 0).select(
+        place_of(langs).alias("said"), "host", (F.array_position(own, F.array_max(own)) - 1).cast("int").alias("best"))
+    cells = materialize(rows.groupBy("said", "host", "best").agg(F.count(F.lit(1)).alias("n")), "language-evidence")
+    # one count per language reaches the driver
+    by = {r["best"]: r["n"] for r in cells.groupBy("best").agg(F.sum("n").alias("n")).collect()}
+    total = [by.get(i, 0) for i in range(k)]
+    whole = [(n + SMOOTH) / (sum(total) + SMOOTH * k) for n in total]
+    log = lambda values, weights: F.zip_with(values, weights, lambda x, y: F.log(x / y))
+    said = cells.groupBy("said", "best").agg(F.sum("n").alias("n")).groupBy("said").agg(_dense("best", "n", k).alias("d")) \
+        .select("said", log(F.transform("d", lambda x: x + SMOOTH), constant([n + SMOOTH * (k + 1) for n in total])).alias("d_prior"))
+    hosts = cells.groupBy("host", "best").agg(F.sum("n").alias("n")).withColumn("suffix", suffix_of(F.col("host")))
+    suffixes = hosts.groupBy("suffix", "best").agg(F.sum("n").alias("n")).groupBy("suffix").agg(
+        _dense("best", "n", k).alias("d"), F.sum("n").alias("sn")).select(F.col("suffix").alias("s"), F.zip_with(
+            "d", constant([SUFFIX_K * w for w in whole]), lambda x, y: x + y).alias("d"), (F.col("sn") + SUFFIX_K).alias("sn"))
+    table_ = hosts.groupBy("host", "suffix").agg(_dense("best", "n", k).alias("h"), F.sum("n").alias("hn")) \
+        .join(suffixes, F.col("suffix").eqNullSafe(F.col("s"))).select(F.col("host").alias("h_host"), F.zip_with(
+            "h", "d", lambda x, y: F.log((x + HOST_K * y / F.col("sn")) / (F.col("hn") + HOST_K))).alias("h_prior"))
+    return materialize(said, "language-said"), materialize(table_, "language-hosts")
+
+
+def place_of(langs: list[str]) -> Column:
+    return F.try_element_at(constant({g: i for i, g in enumerate(langs)}), F.col("declared"))
+
+
+def fuse(slim: DataFrame, langs: list[str], said: DataFrame, hosts: DataFrame, into: str) -> DataFrame:
     """``slim`` (declared, host, ll and any other columns) plus the struct
     ``into``: language, posterior, kept."""
     k = len(langs)
-    s, m = fresh(slim, "fuse_scores", "fuse_max")
-    joined = slim.join(hosts, F.col("host").eqNullSafe(F.col("h_host")), "left")
-    # a host none of whose rows had text takes the prior of no evidence: uniform
-    prior = F.coalesce("h_prior", F.array(*[F.lit(-float(np.log(k)))] * k))
-    scores = F.concat(F.zip_with(F.zip_with(F.slice("ll", 1, k), prior, lambda a, b: a * TEMPER + b), said, lambda a, b: a + b),
+    s, m, at = fresh(slim, "fuse_scores", "fuse_max", "fuse_said")
+    if k <= SENT_LANGS:                                     # at most SENT_LANGS + 1 rows of as many numbers
+        said = F.broadcast(said)
+    joined = slim.withColumn(at, place_of(langs)).join(said, F.col(at).eqNullSafe(F.col("said")), "left") \
+        .join(hosts, F.col("host").eqNullSafe(F.col("h_host")), "left")
+    # a host none of whose rows had text takes the prior of no evidence: uniform; likewise a declaration
+    none = F.transform(F.slice("ll", 1, k), lambda _: F.lit(-float(np.log(k))))
+    scores = F.concat(F.zip_with(F.zip_with(F.slice("ll", 1, k), F.coalesce("h_prior", none), lambda a, b: a * TEMPER + b),
+                                 F.coalesce("d_prior", none), lambda a, b: a + b),
                       F.array(F.get("ll", F.lit(k)) * TEMPER + float(np.log(UND_PRIOR))))
     out = joined.withColumn(s, scores).withColumn(m, F.array_max(s))
     norm = F.aggregate(F.transform(s, lambda x: F.exp(x - F.col(m))), F.lit(0.0), lambda a, x: a + x)
@@ -234,7 +257,7 @@ def fuse(slim: DataFrame, langs: list[str], said: Column, hosts: DataFrame, into
     some = F.get("ll", F.lit(k + 1)) > 0
     return out.withColumn(into, F.struct(
         F.when(some, language).otherwise("und").alias("language"), F.when(some, posterior).otherwise(0.0).alias("posterior"),
-        (some & (posterior >= MIN_POSTERIOR) & (language != "und")).alias("kept"))).drop(s, m, "h_host", "h_prior", "h_default")
+        (some & (posterior >= MIN_POSTERIOR) & (language != "und")).alias("kept"))).drop(s, m, at, "said", "d_prior", "h_host", "h_prior")
 
 
 def identify(df: DataFrame, text: Column, declared: Column, address: Column, into: str) -> DataFrame:

@@ -16,10 +16,11 @@ opening order and continues to the next leaf until a compatible bin is found.
 ``op1_best_fit_packing`` clusters near copies: texts whose ``SHINGLE`` word
 shingles agree to 0.8 or more meet in one of ``BANDS`` MinHash bands with a chance
 of 99.7 % (at 0.6: 42 %, at 0.5: 12 %; a pair that meets only parts bins), and
-clusters are the connected components. ``pack`` itself, on documents already
-free of near copies, takes exact copies up to letter case and spacing.
+clusters are the connected components (``pack_apart``). ``pack`` itself takes
+exact copies up to letter case and spacing, or the clusters it is given.
 
-Scale: bands are one row per distinct text and band; each leads to the smallest
+Scale: the texts are read once, chunk by chunk, for words, cluster and bands.
+Bands are one row per document and band; each leads to the smallest
 text of its band (map-side combining), never to all pairs. Pieces are dealt to shards of about ``shard_docs`` documents by a hash of
 id and text, so neither a hot source nor a cluster of copies makes a hot shard;
 bins never span shards. Tasks see lengths and codes, no texts.
@@ -36,15 +37,18 @@ import math
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from edumart.llm.common import ascii_lower, components, materialize, space_words, table
+from edumart.llm.common import ascii_lower, components, materialize, space_words, table, word_chunks
 
 CAPACITY = 2048
 SHARD_DOCS = 8192
 SHINGLE, BANDS, BAND_ROWS = 5, 32, 8
 SHINGLES_HELD = 4096           # shingles of a text looked at a time
+CHUNK = 1 << 20                # bytes of a text taken into words at a time
+LONG_WORD = 4096               # longer words count by their hash
 BASE = 0x9E3779B97F4A7C15      # odd, so it has an inverse modulo 2**64
 
 
@@ -180,37 +184,75 @@ _XOR, _TIMES = (_RNG.integers(0, 1 << 32, BANDS * BAND_ROWS, np.uint32) for _ in
 _TIMES |= np.uint32(1)
 
 
-def bands(text: str | None) -> np.ndarray:
-    """A signed 64-bit hash per MinHash band of a text; none without words."""
-    h = shingle_hashes((text or "").encode().lower().split())
-    if not len(h):
-        return np.zeros(0, np.int64)
-    low = np.full(BANDS * BAND_ROWS, 0xFFFFFFFF, np.uint32)
-    for lo in range(0, len(h), SHINGLES_HELD):
-        low = np.minimum(low, ((h[lo:lo + SHINGLES_HELD, None] ^ _XOR) * _TIMES).min(0))
+def read_text(text: str | None) -> tuple[int, int | None, np.ndarray]:
+    """(words, hash of the words in lower case, a signed 64-bit hash per MinHash
+    band) of a whole text; no hash and no bands without words."""
+    low, n, tail, whole, seen = np.full(BANDS * BAND_ROWS, 0xFFFFFFFF, np.uint32), 0, [], True, xxhash.xxh64(seed=42)
+
+    def lower(words: list[bytes]) -> None:
+        h = shingle_hashes(words)
+        for lo in range(0, len(h), SHINGLES_HELD):
+            np.minimum(low, ((h[lo:lo + SHINGLES_HELD, None] ^ _XOR) * _TIMES).min(0), out=low)
+
+    for words in word_chunks((text or "").encode().lower(), CHUNK):
+        seen.update((b" " if n else b"") + b" ".join(words))
+        n += len(words)
+        words = tail + [w if len(w) <= LONG_WORD else xxhash.xxh128_digest(w).hex().encode() for w in words]
+        if len(words) >= SHINGLE:
+            lower(words)
+            tail, whole = words[len(words) - SHINGLE + 1:], False
+        else:
+            tail = words
+    if not n:
+        return 0, None, np.zeros(0, np.int64)
+    if whole:
+        lower(tail)
     out = np.arange(1, BANDS + 1, dtype=np.uint64)
     for row in low.reshape(BANDS, BAND_ROWS).T.astype(np.uint64):
         out = (out ^ row) * np.uint64(BASE)
         out ^= out >> np.uint64(32)
-    return out.view(np.int64)
+    return n, seen.intdigest() - (1 << 64 if seen.intdigest() >> 63 else 0), out.view(np.int64)
+
+
+def bands(text: str | None) -> np.ndarray:
+    return read_text(text)[2]
+
 
+def measured(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
+    """(doc_id, key, source, cluster, total, bands) per document, from one read
+    of the texts, written down. ``cluster`` is the hash of the lower-cased words
+    (exact copies up to case and spacing share it), ``total`` the tokens with the end token."""
+    schema = "doc_id long, key long, source string, cluster long, total long, bands array<long>"
 
-def near_copies(docs: DataFrame, text: str = "text") -> DataFrame:
-    """(v, root): the cluster of near copies per ``cluster_key`` that has any."""
     def run(batches):
         for b in batches:
-            found = [bands(t.as_py()) for t in b.column(1)]
+            found = [read_text(t.as_py()) for t in b.column(3)]
+            sizes = np.cumsum([0, *(len(f[2]) for f in found)]).astype(np.int32)
             yield pa.RecordBatch.from_arrays([
-                pa.array(np.repeat(b.column(0).to_numpy(), [len(f) for f in found])),
-                pa.array(np.concatenate([np.zeros(0, np.int64), *found]))], names=["key", "band"])
+                b.column(0), b.column(1), b.column(2), pa.array([f[1] or 0 for f in found], pa.int64()),
+                pa.array([f[0] + 1 for f in found], pa.int64()),
+                pa.ListArray.from_arrays(pa.array(sizes), pa.array(np.concatenate([np.zeros(0, np.int64), *(f[2] for f in found)])))],
+                names=["doc_id", "key", "source", "cluster", "total", "bands"])
+
+    return materialize(docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(F.col(doc_id), F.col(text)).alias("key"),
+                                   F.col(source).cast("string").alias("source"), F.col(text).alias("text")).mapInArrow(run, schema), "pack-read")
 
-    cells = materialize(docs.select(cluster_key(F.col(text)).alias("key"), F.col(text)).mapInArrow(run, "key long, band long"), "pack-bands")
+
+def near_copies(read: DataFrame) -> DataFrame:
+    """(v, root): the cluster of near copies per ``cluster`` of ``measured`` rows that has any."""
+    cells = read.select(F.col("cluster").alias("key"), F.explode("bands").alias("band"))
     first = materialize(cells.groupBy("band").agg(F.min("key").alias("a"), F.max("key").alias("z"))
                         .filter("a <> z").select("band", "a"), "pack-first")
     edges = cells.join(first, "band").filter("a <> key").select("a", F.col("key").alias("b"))
     return materialize(components(edges, "pack-cc"), "pack-near")
 
 
+def pack_apart(docs: DataFrame, capacity: int = CAPACITY, shard_docs: int = SHARD_DOCS) -> DataFrame:
+    """``pack`` with near copies as clusters; the texts are read once."""
+    read = measured(docs)
+    return _packed(read.drop("bands"), near_copies(read), capacity, shard_docs)
+
+
 def pack(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source",
          cluster: Column | None = None, near: DataFrame | None = None, capacity: int = CAPACITY, shard_docs: int = SHARD_DOCS) -> DataFrame:
     """One row per piece: doc_id, piece, start (first token of the document in
@@ -220,6 +262,11 @@ def pack(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: st
         F.col(doc_id).cast("long").alias("doc_id"), key.alias("key"), F.col(source).cast("string").alias("source"),
         (cluster_key(F.col(text)) if cluster is None else cluster).cast("long").alias("cluster"),
         (F.size(space_words(F.col(text))) + 1).cast("long").alias("total")), "pack-lengths")
+    return _packed(slim, near, capacity, shard_docs)
+
+
+def _packed(slim: DataFrame, near: DataFrame | None, capacity: int, shard_docs: int) -> DataFrame:
+    """Bins for written rows (doc_id, key, source, cluster, total)."""
     shards = max(1, math.ceil(slim.count() / shard_docs))
     if near is not None:
         slim = slim.join(near, F.col("cluster") == F.col("v"), "left").withColumn("cluster", F.coalesce("root", "cluster")).drop("v", "root")
@@ -247,5 +294,4 @@ def pack(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: st
 
 
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
-    return pack(docs, near=near_copies(docs))
+    return pack_apart(table(spark, sf_dir, "documents"))

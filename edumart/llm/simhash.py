@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from edumart.llm.common import components, forest, fresh, materialize, table
+from edumart.llm.common import components, forest, fresh, materialize, table, word_chunks
 
 SHINGLE_WORDS = 3
 MAX_BITS = 3
@@ -48,35 +48,49 @@ SAMPLE_PER_SHARD = 64
 MAX_SAMPLE = 65_536            # bound of the rows fetched to fit the routing tree
 LEAF = 256
 RUN = 65_536                   # shingle hashes held at a time
+CHUNK = 1 << 20                # bytes of a text taken into words at a time
 
 
 def fingerprint(text: str | None, k: int = SHINGLE_WORDS) -> int:
     """SimHash of a whole text as an unsigned 64-bit number."""
+    total, n, tail, whole = np.zeros(64, np.int64), 0, [], True
+    for words in word_chunks((text or "").encode().lower(), CHUNK):     # bytes: A-Z and ASCII spaces only
+        words = tail + words
+        if len(words) >= k:
+            found, tail, whole = _votes(words, k, total), words[len(words) - k + 1:], False
+            n += found
+        else:
+            tail = words
+    if whole:
+        if not tail:
+            return 0
+        n = _votes(tail, len(tail), total)
+    bits = (2 * total > n).astype(np.uint8)
+    return int(np.packbits(bits, bitorder="little").view(np.uint64)[0])
+
+
+def _votes(words: list[bytes], k: int, total: np.ndarray) -> int:
+    """Add the bits of the hashes of all runs of ``k`` words to ``total``; their number."""
     from xxhash import xxh64_intdigest
-    words = (text or "").encode().lower().split()          # bytes: A-Z and ASCII spaces only
-    if not words:
-        return 0
     joined, at, starts = b" ".join(words), 0, []
     for w in words:
         starts.append(at)
         at += len(w) + 1
-    ends = [s - 1 for s in starts[k:]] + [len(joined)] if len(words) >= k else [len(joined)]
-    view, total, n = memoryview(joined), np.zeros(64, np.int64), len(ends)
+    ends = [s - 1 for s in starts[k:]] + [len(joined)]
+    view, n = memoryview(joined), len(ends)
     for lo in range(0, n, RUN):
         h = np.fromiter((xxh64_intdigest(view[a:b], 42) for a, b in zip(starts[lo:lo + RUN], ends[lo:lo + RUN])),
                         np.uint64, min(RUN, n - lo))
         total += np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
-    bits = (2 * total > n).astype(np.uint8)
-    return int(np.packbits(bits, bitorder="little").view(np.uint64)[0])
+    return n
 
 
 def fingerprints(docs: DataFrame, text: str, into: str, k: int = SHINGLE_WORDS) -> DataFrame:
     """``docs`` with the fingerprint as a (signed) long column ``into``."""
-    @F.pandas_udf("long")
-    def udf(texts):
-        import pandas as pd
-        prints = np.fromiter((fingerprint(None if t is None or t != t else t, k) for t in texts), np.uint64, len(texts))
-        return pd.Series(prints.view(np.int64))
+    @F.arrow_udf("long")
+    def udf(texts: pa.Array) -> pa.Array:
+        prints = np.fromiter((fingerprint(t.as_py(), k) for t in texts), np.uint64, len(texts))
+        return pa.array(prints.view(np.int64))
     return docs.withColumn(into, udf(F.col(text)))
 
 
@@ -194,17 +208,19 @@ def drop_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "t
                          k: int = SHINGLE_WORDS, bits: int = MAX_BITS) -> DataFrame:
     """One document of each component of near copies, with its own columns: the
     one with the smallest id (null ids last; of rows equal in id, one)."""
-    fp, n, first = fresh(docs, "sim_fp", "sim_rows", "sim_first")
-    slim = materialize(fingerprints(docs.select(doc_id, text), text, fp, k).select(doc_id, fp), "simhash-prints")
-    kept = near_duplicates(slim, doc_id, fp, bits).filter("fp = rank_fp") \
-        .select(F.col("fp").alias(first), F.col("component_id"))
-    # rows of the winning fingerprint that carry the winning id; nearly always one
-    rows = slim.join(kept, (F.col(fp) == F.col(first)) & F.col(doc_id).eqNullSafe(F.col("component_id"))) \
-        .groupBy(F.col(doc_id).alias("w_id"), F.col(fp).alias("w_fp")).agg(F.count(F.lit(1)).alias(n))
-    won = fingerprints(docs, text, fp, k).join(
-        rows, F.col(doc_id).eqNullSafe(F.col("w_id")) & (F.col(fp) == F.col("w_fp")))
+    own, n = fresh(docs, "sim_text", "sim_rows")
+    # a text is fingerprinted once; its rows are found again by id and a hash that needs no Python
+    slim = materialize(fingerprints(docs.select(F.col(doc_id).alias("id"), F.col(text).alias("t"), F.xxhash64(text).alias("h")), "t", "fp", k)
+                       .drop("t"), "simhash-prints")
+    kept = near_duplicates(slim, "id", "fp", bits).filter("fp = rank_fp").select("fp", F.col("component_id").alias("w_id"))
+    # the rows of the winning fingerprint that carry the winning id, nearly always one; of several texts the first by hash
+    rows = slim.join(kept, "fp").filter(F.col("id").eqNullSafe(F.col("w_id"))).groupBy("w_id", "fp", "h") \
+        .agg(F.count(F.lit(1)).alias("c")).groupBy("w_id", "fp").agg(F.min(F.struct("h", "c")).alias("w")) \
+        .select("w_id", F.col("w.h").alias("w_h"), F.col("w.c").alias(n))
+    won = docs.withColumn(own, F.xxhash64(text)).join(
+        materialize(rows, "simhash-kept"), F.col(doc_id).eqNullSafe(F.col("w_id")) & (F.col(own) == F.col("w_h")))
     single = won.filter(F.col(n) == 1).select(*docs.columns)
-    again = won.filter(F.col(n) > 1).dropDuplicates(["w_id", "w_fp"]).select(*docs.columns)
+    again = won.filter(F.col(n) > 1).dropDuplicates(["w_id", "w_h"]).select(*docs.columns)
     return single.unionByName(again)
 
 

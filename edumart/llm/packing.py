@@ -46,7 +46,7 @@ from edumart.llm.common import ascii_lower, components, materialize, space_words
 CAPACITY = 2048
 SHARD_DOCS = 8192
 SHINGLE, BANDS, BAND_ROWS = 5, 32, 8
-SHINGLES_HELD = 4096           # shingles of a text looked at a time
+SHINGLES_HELD = 512            # shingles of a text looked at a time: half a MB of hashes, which stays in a core's cache
 CHUNK = 1 << 20                # bytes of a text taken into words at a time
 LONG_WORD = 4096               # longer words count by their hash
 BASE = 0x9E3779B97F4A7C15      # odd, so it has an inverse modulo 2**64
@@ -197,7 +197,9 @@ def read_text(text: str | None) -> tuple[int, int | None, np.ndarray]:
     for words in word_chunks((text or "").encode().lower(), CHUNK):
         seen.update((b" " if n else b"") + b" ".join(words))
         n += len(words)
-        words = tail + [w if len(w) <= LONG_WORD else xxhash.xxh128_digest(w).hex().encode() for w in words]
+        if max(map(len, words)) > LONG_WORD:
+            words = [w if len(w) <= LONG_WORD else xxhash.xxh128_digest(w).hex().encode() for w in words]
+        words = tail + words
         if len(words) >= SHINGLE:
             lower(words)
             tail, whole = words[len(words) - SHINGLE + 1:], False

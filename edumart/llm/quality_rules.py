@@ -8,11 +8,14 @@ merge in any order with the same result, and languages or the whole corpus are
 the sums of their sources' sketches. A group smaller than ``min_docs`` takes
 the threshold of its language, a small language that of the corpus.
 
-Each rule has a value per document (an integer, per 10,000 words); a document
-fails it above the group's far fence ``q75 + fence * max(q75 - q25, floor)``,
-``q`` being sketch quantiles. The floor is the smallest spread that counts as
-spread; it keeps a group of clean documents, all at zero, from rejecting one
-with a single symbol.
+Each rule has a value per document (an integer, per 10,000 words) and a percent
+``p`` of the documents that set its threshold; a document fails above the
+group's fence ``qp + fence * max(qp - q50, step)``, ``q`` being sketch
+quantiles. No constant is a cut-off: where most documents tie (no symbols at
+all) the spread is ``step``, one occurrence in the group's median document, its
+length being a sketch quantile too. The percents say what a rule is for: up to
+a tenth of a group may be full of symbols, a twentieth of overlong words; repeats
+and doubled lines also stand in good prose, so only their last hundredth tells.
 
 Scale: DataFrame functions only. One pass builds the sketch (its exchange holds
 buckets, not documents: map-side combining, so a hot source is no hot key), a
@@ -37,8 +40,9 @@ WINDOW_WORDS = 8
 SUB_BITS = 6
 FENCE = 3
 MIN_DOCS = 100
-#: rule -> smallest spread between the quartiles that counts, per 10,000 words
-RULES = {"symbols": 1000, "dup_lines": 200, "repeats": 300, "long_words": 10000}
+#: rule -> (percent of the documents that set the threshold, size of one occurrence:
+#: a repeat takes two windows of words)
+RULES = {"symbols": (90, 1), "dup_lines": (99, 1), "repeats": (99, 2 * WINDOW_WORDS), "long_words": (95, 1)}
 
 
 def measures(df: DataFrame, text: str, into: str) -> DataFrame:
@@ -96,7 +100,7 @@ def bucket(v: Column) -> Column:
 
 def sketch(df: DataFrame, lang: str, source: str, m: str) -> DataFrame:
     """Counts (lang, source, rule, edge, n) over the documents that pass the base rules."""
-    values = rule_values(F.col(m))
+    values = rule_values(F.col(m)) | {"words": F.col(m)["n_words"]}
     long = df.filter(~base_failed(F.col(m))).select(
         F.col(lang).alias("lang"), F.col(source).alias("source"),
         F.explode(F.array(*[F.struct(F.lit(r).alias("rule"), bucket(v).alias("edge"))
@@ -108,33 +112,37 @@ def merged(sk: DataFrame, keys: list[str]) -> DataFrame:
     return sk.groupBy(*keys, "rule", "edge").agg(F.sum("n").alias("n"))
 
 
-def fences(sk: DataFrame, keys: list[str], fence: int, floors: dict[str, int]) -> DataFrame:
-    """(keys, rule, docs, fence) from a sketch: the window runs over the buckets of one sketch."""
+def fences(sk: DataFrame, keys: list[str], fence: int, rules: dict[str, tuple[int, int]]) -> DataFrame:
+    """(keys, docs, rule, fence) from a sketch: the window runs over the buckets of one sketch."""
     w = Window.partitionBy(*keys, "rule")
     upto = w.orderBy("edge").rowsBetween(Window.unboundedPreceding, 0)
     q = sk.select("*", F.sum("n").over(upto).alias("upto"), F.sum("n").over(w).alias("docs"))
-    low = lambda p: F.min(F.when(F.col("upto") * 100 >= F.col("docs") * p, F.col("edge")))
-    floor = F.element_at(F.create_map(*[F.lit(x) for kv in floors.items() for x in kv]), F.col("rule")).cast("long")
-    return q.groupBy(*keys, "rule").agg(F.max("docs").alias("docs"), low(25).alias("q25"), low(75).alias("q75")) \
-        .select(*keys, "rule", "docs", (F.col("q75") + fence * F.greatest(F.col("q75") - F.col("q25"), floor)).alias("fence"))
+    at = lambda r, p: F.min(F.when((F.col("rule") == r) & (F.col("upto") * 100 >= F.col("docs") * p), F.col("edge")))
+    quantiles = q.groupBy(*keys).agg(
+        F.max("docs").alias("docs"), at("words", 50).alias("words"),
+        *[at(r, p).alias(f"high_{r}") for r, (p, _) in rules.items()], *[at(r, 50).alias(f"mid_{r}") for r in rules])
+    edge = lambda r, size: F.col(f"high_{r}") + fence * F.greatest(
+        F.col(f"high_{r}") - F.col(f"mid_{r}"), F.floor(F.lit(10000 * size) / F.col("words")))
+    return quantiles.select(*keys, "docs", F.inline(F.array(*[
+        F.struct(F.lit(r).alias("rule"), edge(r, size).alias("fence")) for r, (_, size) in rules.items()])))
 
 
 def thresholds(sk: DataFrame, fence: int = FENCE, min_docs: int = MIN_DOCS,
-               floors: dict[str, int] = RULES) -> DataFrame:
+               rules: dict[str, tuple[int, int]] = RULES) -> DataFrame:
     """One row per (lang, source) with a fence per rule (columns ``fence_<rule>``),
     backed off to the language and the corpus for small groups."""
     by_lang = merged(sk, ["lang"])
-    own = fences(sk, ["lang", "source"], fence, floors)
-    lang = fences(by_lang, ["lang"], fence, floors).select(
+    own = fences(sk, ["lang", "source"], fence, rules)
+    lang = fences(by_lang, ["lang"], fence, rules).select(
         F.col("lang").alias("l"), F.col("rule").alias("lr"), F.col("docs").alias("ld"), F.col("fence").alias("lf"))
     # every rule has a row of the corpus-wide sketch: at most len(RULES) rows
-    corpus = fences(merged(by_lang, []), [], fence, floors).select(
+    corpus = fences(merged(by_lang, []), [], fence, rules).select(
         F.col("rule").alias("cr"), F.col("fence").alias("cf"))
     pick = F.when(F.col("docs") >= min_docs, F.col("fence")).when(F.col("ld") >= min_docs, F.col("lf")).otherwise(F.col("cf"))
     all_ = own.join(lang, F.col("lang").eqNullSafe(F.col("l")) & (F.col("rule") == F.col("lr"))) \
         .join(corpus, F.col("rule") == F.col("cr")).select("lang", "source", "rule", pick.alias("fence"))
     return all_.groupBy("lang", "source").agg(*[
-        F.max(F.when(F.col("rule") == r, F.col("fence"))).alias(f"fence_{r}") for r in floors])
+        F.max(F.when(F.col("rule") == r, F.col("fence"))).alias(f"fence_{r}") for r in rules])
 
 
 def judge(measured: DataFrame, m: str, th: DataFrame, lang: str = "lang", source: str = "source") -> tuple[DataFrame, str]:

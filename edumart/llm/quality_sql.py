@@ -2,19 +2,27 @@
 
 from edumart.llm.quality_rules import FENCE, MIN_DOCS, RULES, SUB_BITS
 
-_VALUES = ", ".join(f"('{r}', {f})" for r, f in RULES.items())
+_RULES = ", ".join(f"('{r}', {p}, {size})" for r, (p, size) in RULES.items())
 _BUCKET = (f"(value - value % (CASE WHEN value < {1 << SUB_BITS} THEN 1 ELSE "
            f"pow(2, length(bin(value)) - {SUB_BITS})::BIGINT END))")
 
 
 def _fences(keys: str, source: str) -> str:
     by = f"{keys}, " if keys else ""
+    same = " AND ".join(f"q.{k} IS NOT DISTINCT FROM w.{k}" for k in keys.split(", ") if k) or "true"
     return f"""
-  SELECT {by}rule, max(docs) AS docs, (min(edge) FILTER (upto * 100 >= docs * 75) + {FENCE} * greatest(
-      min(edge) FILTER (upto * 100 >= docs * 75) - min(edge) FILTER (upto * 100 >= docs * 25),
-      (SELECT floor FROM (VALUES {_VALUES}) x(r, floor) WHERE r = rule)))::BIGINT AS fence
+  SELECT {", ".join(f"q.{k}" for k in keys.split(", ") if k)}{", " if keys else ""}q.rule, max(docs) AS docs,
+    (min(edge) FILTER (upto * 100 >= docs * p) + {FENCE} * greatest(
+      min(edge) FILTER (upto * 100 >= docs * p) - min(edge) FILTER (upto * 100 >= docs * 50),
+      10000 * max(size) // max(w.words)))::BIGINT AS fence
   FROM (SELECT {by}rule, edge, sum(n) OVER (PARTITION BY {by}rule ORDER BY edge) AS upto, sum(n) OVER (PARTITION BY {by}rule) AS docs
-        FROM (SELECT {by}rule, edge, sum(n) AS n FROM {source} GROUP BY ALL)) GROUP BY {by}rule"""
+        FROM (SELECT {by}rule, edge, sum(n) AS n FROM {source} GROUP BY ALL)) q
+  JOIN (VALUES {_RULES}) x(r, p, size) ON x.r = q.rule
+  JOIN (SELECT {by}min(edge) FILTER (upto * 2 >= docs) AS words
+        FROM (SELECT {by}edge, sum(n) OVER ({f"PARTITION BY {keys} " if keys else ""}ORDER BY edge) AS upto,
+                     sum(n) OVER ({f"PARTITION BY {keys}" if keys else ""}) AS docs
+              FROM (SELECT {by}edge, sum(n) AS n FROM {source} WHERE rule = 'words' GROUP BY ALL)) GROUP BY ALL) w ON {same}
+  GROUP BY ALL"""
 
 
 QUALITY_SQL = f"""
@@ -31,9 +39,10 @@ m AS (SELECT s.r, doc_id, lang, source, len(w)::BIGINT AS n_words, length(transl
         (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines, coalesce(rep.n, 0)::BIGINT AS n_repeat_words
       FROM s LEFT JOIN rep ON rep.r = s.r),
 b AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM m),
-v AS (SELECT r, lang, source, base_failed, rule, CASE WHEN n_words = 0 THEN 0 ELSE x * 10000 // n_words END AS value FROM (
-        SELECT r, lang, source, base_failed, n_words, unnest(['symbols', 'dup_lines', 'repeats', 'long_words']) AS rule,
-               unnest([n_symbols, n_dup_lines, n_repeat_words, word_chars]) AS x FROM b)),
+v AS (SELECT r, lang, source, base_failed, rule,
+        CASE WHEN rule = 'words' THEN x WHEN n_words = 0 THEN 0 ELSE x * 10000 // n_words END AS value FROM (
+        SELECT r, lang, source, base_failed, n_words, unnest(['symbols', 'dup_lines', 'repeats', 'long_words', 'words']) AS rule,
+               unnest([n_symbols, n_dup_lines, n_repeat_words, word_chars, n_words]) AS x FROM b)),
 sk AS (SELECT lang, source, rule, {_BUCKET} AS edge, count(*) AS n FROM v WHERE NOT base_failed GROUP BY ALL),
 own AS ({_fences("lang, source", "sk")}),
 lng AS ({_fences("lang", "sk")}),

@@ -462,3 +462,35 @@ def test_pipeline_is_its_stages_and_brute_force_holds(spark, sf):
     assert all((a ^ b).bit_count() > 3 for k, a in enumerate(fp) for b in fp[:k])
     last = Counter((r.doc_id, r.piece, r.start, r.n_tokens) for r in corpus_pipeline.packing(spark, docs, sf).collect())
     assert last == Counter((r["doc_id"], r["piece"], r["start"], r["n_tokens"]) for r in result(spark, "pipeline", sf))
+
+
+def test_fences_move_with_the_group(spark):
+    """Fences follow each group's own tail; a clean group still rejects junk, and a small group takes its language's."""
+    rng, rows = random.Random(3), []
+    for s, (noise, words) in {"prose": (0, 200), "short": (0, 50), "code": (40, 200), "few": (0, 200)}.items():
+        for k in range(30 if s == "few" else 300):
+            w = ["".join(rng.choice(SYL["en"]) for _ in range(2)) for _ in range(words)]
+            for i in rng.sample(range(words), rng.randint(0, noise)):
+                w[i] = "#"
+            if k % 20 == 0 and s != "code":
+                w = ["#$%"] * 30 + w[:100]
+            rows.append((s, k, " ".join(w)))
+    docs = quality_rules.measures(spark.createDataFrame([("en", *r) for r in rows], "lang string, source string, k int, text string"), "text", "m")
+    th = quality_rules.thresholds(quality_rules.sketch(docs, "lang", "source", "m"))
+    got = {r.source: r for r in th.collect()}
+    assert got["short"].fence_symbols > got["prose"].fence_symbols > 0
+    assert got["code"].fence_symbols > 2000 and len({r.fence_symbols for r in got.values()}) == 4
+    kept = {(r.source, r.k) for r in quality_rules.filter_quality(
+        spark.createDataFrame([("en", *r) for r in rows], "lang string, source string, k int, text string")).collect()}
+    assert all((s, k) in kept for s, k, _ in rows if s == "code" or k % 20)
+    assert not any((s, k) in kept for s, k, _ in rows if s in ("prose", "short") and k % 20 == 0)
+
+
+def test_quality_keeps_documents_labelled_good(spark):
+    """No document labelled good is lost beside those of the base rules; most labelled bad ones go."""
+    d = "/root/testdata/sf0.01"
+    label = {r.doc_id: r.quality for r in spark.read.parquet(f"{d}/labels.parquet").collect()}
+    got = [(label[r.doc_id], r.kept) for r in QUERIES["op9_quality_rules"](spark, d).collect()
+           if r.doc_id in label and not r.base_failed]
+    good, bad = [k for q, k in got if q == 1], [k for q, k in got if q == 0]
+    assert len(good) > 100 and all(good) and sum(bad) < len(bad) / 2

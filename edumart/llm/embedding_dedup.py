@@ -5,7 +5,8 @@ so the pairs are found by a metric tree:
 
 1. Equal vectors of a label collapse into a class (hash aggregate).
 2. Upper levels: from a bounded sample per label (``SAMPLE_PER_LABEL``) nested
-   nets with halving radii give routing centres; each class goes to its nearest
+   nets with halving radii give routing centres, kept as a table; blocks of a
+   label's classes meet its centres in one task each, a class goes to its nearest
    centre and every node learns its exact covering radius. Nodes of one label
    whose centres lie further apart than both radii plus ``tau`` are pruned;
    each remaining pair of nodes is one task. Nodes above ``node_rows`` are cut
@@ -22,25 +23,26 @@ Defined results: vectors that are null, empty, zero or hold null or non-finite
 components, and vectors without a label, link with nothing and stay their own
 component; vectors of different lengths never link; repeated rows are vectors
 that link with each other; a null id never becomes ``component_id`` unless all
-ids of the component are null; an empty table gives an empty result; extra
-columns are ignored.
+ids of the component are null; vectors are scaled by a power of two before
+any product, so components of any magnitude neither overflow nor vanish; an empty
+table gives an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
 
 import math
-from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from edumart.llm.common import components, forest, materialize, table
 
 THRESHOLD = 0.98
 NODE_ROWS = 4096
-SAMPLE_PER_LABEL = 512         # bound of the rows per label fetched to place centres
+SAMPLE_PER_LABEL = 512         # rows per label, up to twice that on average, that place its centres
+ROUTE_ROWS = 16384             # classes routed by one task
 TOP_RADIUS = 2.0               # the unit sphere's diameter covers everything
 LOW_RADIUS = 0.125             # below it a tree node is a leaf
 SLACK = 1e-7                   # bounds are widened by it against rounding
@@ -116,9 +118,15 @@ def _close(u, ru, v, rv, tau, step=512):
     return np.concatenate(out_i), np.concatenate(out_j)
 
 
+def scaled(x: np.ndarray) -> np.ndarray:
+    """Rows times a power of two each, so that the largest component lies in [0.5, 1)."""
+    return np.ldexp(x, -np.frexp(np.abs(x).max(axis=1, initial=0.0))[1][:, None])
+
+
 def task_links(raw_a: np.ndarray, raw_b: np.ndarray | None, t: float) -> tuple[np.ndarray, np.ndarray]:
     """All links (i in a, j in b) with cosine >= t; ``raw_b`` None: within a, i < j."""
     tau = math.sqrt(2 - 2 * t)
+    raw_a, raw_b = scaled(raw_a), None if raw_b is None else scaled(raw_b)
     na = np.sqrt(np.einsum("ij,ij->i", raw_a, raw_a))
     a = Tree(raw_a / na[:, None])
     raw_o, no, b = (raw_a, na, a) if raw_b is None else (
@@ -148,74 +156,85 @@ def task_links(raw_a: np.ndarray, raw_b: np.ndarray | None, t: float) -> tuple[n
 
 # ---------------------------------------------------------------- upper levels
 
-def nets(sample: dict[object, np.ndarray], wanted: dict[object, int]) -> dict[object, np.ndarray]:
-    """Routing centres per label: nets of halving radii, finer until there are
-    at least as many centres as nodes wanted (cut to that number)."""
-    out = {}
-    for label, u in sample.items():
-        radius, centres = TOP_RADIUS, u[:1]
-        while len(centres) < wanted[label] and radius > LOW_RADIUS:
-            radius /= 2
-            picked = [0]
-            for k in range(1, len(u)):
-                if len(picked) >= wanted[label]:
-                    break
-                if np.sqrt(np.maximum(0, 2 - 2 * (u[picked] @ u[k]))).min() > radius:
-                    picked.append(k)
-            centres = u[picked]
-        out[label] = centres
-    return out
+def nets(u: np.ndarray, wanted: int) -> np.ndarray:
+    """Routing centres of one label from its sample of unit vectors: nets of halving
+    radii, finer until there are as many centres as nodes wanted (cut to that number)."""
+    radius, centres = TOP_RADIUS, u[:1]
+    while len(centres) < wanted and radius > LOW_RADIUS:
+        radius /= 2
+        picked = [0]
+        for k in range(1, len(u)):
+            if len(picked) >= wanted:
+                break
+            if np.sqrt(np.maximum(0, 2 - 2 * (u[picked] @ u[k]))).min() > radius:
+                picked.append(k)
+        centres = u[picked]
+    return centres
+
+
+def unit_rows(tab: pa.Table) -> np.ndarray:
+    """Unit vectors of the column v, whose lists are of one length."""
+    u = scaled(tab.column("v").combine_chunks().flatten().to_numpy().reshape(tab.num_rows, -1))
+    return u / np.linalg.norm(u, axis=1)[:, None]
+
+
+def place_centres(tab: pa.Table) -> pa.Table:
+    """One label's sample (grp, node, nodes wanted, v) to its centres (grp, home, v)."""
+    tab = tab.sort_by("node")
+    c = nets(unit_rows(tab), tab.column("wanted")[0].as_py())
+    return pa.table({"grp": pa.array([tab.column("grp")[0].as_py()] * len(c), pa.string()),
+                     "home": pa.array(np.arange(len(c), dtype=np.int32)), "v": pa.array(list(c), pa.list_(pa.float64()))})
+
+
+def centre_distances(tab: pa.Table) -> pa.Table:
+    """Distances (grp, home, home2, d) of one label's centres, home < home2."""
+    u, home = unit_rows(tab), tab.column("home").to_numpy()
+    i, j = np.nonzero(home[:, None] < home[None])
+    d = np.sqrt(np.maximum(0.0, 2 - 2 * np.einsum("ij,ij->i", u[i], u[j])))
+    return pa.table({"grp": pa.array([tab.column("grp")[0].as_py()] * len(i), pa.string()),
+                     "home": home[i], "home2": home[j], "d": d})
+
+
+def route(rows: pa.Table, centres: pa.Table) -> pa.Table:
+    """Each class of a block to its nearest centre."""
+    home, dist = np.zeros(rows.num_rows, np.int32), np.full(rows.num_rows, TOP_RADIUS)
+    if rows.num_rows and centres.num_rows:
+        u, c, names = unit_rows(rows), unit_rows(centres), centres.column("home").to_numpy()
+        for lo in range(0, len(u), 2048):
+            d = np.sqrt(np.maximum(0, 2 - 2 * (u[lo:lo + 2048] @ c.T)))
+            home[lo:lo + 2048], dist[lo:lo + 2048] = names[d.argmin(1)], d.min(1)
+    return pa.table({"node": rows.column("node"), "grp": rows.column("grp"), "home": pa.array(home),
+                     "dist": pa.array(dist), "v": rows.column("v"), "n_rows": rows.column("n_rows")})
 
 
 def near_links(classes: DataFrame, t: float = THRESHOLD, node_rows: int = NODE_ROWS) -> tuple[DataFrame, DataFrame]:
     """``classes`` (node, grp, v: array<double>, n_rows), materialised. Returns
     (node, n_linked rows of other classes) and edges (a, b)."""
-    spark, tau = classes.sparkSession, math.sqrt(2 - 2 * t)
-    counts = {r[0]: r[1] for r in classes.groupBy("grp").count().filter(f"count > {node_rows}").collect()}
-    # groups that need more than one node; their number is at most rows / node_rows
-    rank = F.row_number().over(Window.partitionBy("grp").orderBy(F.xxhash64("node")))
-    sample = defaultdict(list)
-    if counts:
-        big = spark.createDataFrame([(g,) for g in counts], "grp string")
-        share = F.pmod(F.xxhash64("node", F.lit(1)), F.lit(max(1, min(counts.values()) // SAMPLE_PER_LABEL)))
-        for g, v in classes.join(big, "grp").filter(share == 0).withColumn("r", rank) \
-                .filter(F.col("r") <= SAMPLE_PER_LABEL).select("grp", "v").collect():
-            sample[g].append(v)
-    unit = {g: (x := np.array(v)) / np.linalg.norm(x, axis=1)[:, None] for g, v in sample.items()}
-    centres = nets(unit, {g: math.ceil(counts[g] / node_rows) for g in unit})
-
-    def place(batches):
-        for b in batches:
-            g, v, node = b.column("grp").to_pylist(), b.column("v"), b.column("node")
-            flat, off = v.flatten().to_numpy(), v.offsets.to_numpy()
-            home, dist = np.zeros(len(g), np.int32), np.full(len(g), TOP_RADIUS)
-            by = defaultdict(list)
-            for i, x in enumerate(g):
-                if x in centres:
-                    by[x].append(i)
-            for x, idx in by.items():
-                u = np.stack([flat[off[i]:off[i + 1]] for i in idx])
-                u /= np.linalg.norm(u, axis=1)[:, None]
-                d = np.sqrt(np.maximum(0, 2 - 2 * (u @ centres[x].T)))
-                home[idx], dist[idx] = d.argmin(1), d.min(1)
-            yield pa.RecordBatch.from_arrays([node, b.column("grp"), pa.array(home), pa.array(dist), v, b.column("n_rows")],
-                                             names=["node", "grp", "home", "dist", "v", "n_rows"])
-
-    placed = materialize(classes.select("node", "grp", "v", "n_rows").mapInArrow(
-        place, "node long, grp string, home int, dist double, v array<double>, n_rows long"), "cover-placed")
+    tau = math.sqrt(2 - 2 * t)
+    # labels that need more than one node
+    big = materialize(classes.groupBy("grp").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > node_rows), "cover-labels")
+    large = classes.select("node", "grp", "v", "n_rows").join(big, "grp")
+    drawn = F.pmod(F.xxhash64("node", F.lit(1)), F.greatest(F.lit(1), F.floor(F.col("n") / SAMPLE_PER_LABEL))) == 0
+    centres = materialize(large.filter(drawn).select(
+        "grp", "node", F.ceil(F.col("n") / F.lit(node_rows)).alias("wanted"), "v")
+        .groupBy("grp").applyInArrow(place_centres, "grp string, home int, v array<double>"), "cover-centres")
+    cdist = materialize(centres.groupBy("grp").applyInArrow(
+        centre_distances, "grp string, home int, home2 int, d double"), "cover-distances")
+    parts = F.ceil(F.col("n") / F.lit(ROUTE_ROWS)).cast("int")
+    routed = large.withColumn("part", F.pmod(F.xxhash64("node", F.lit(2)), parts).cast("int")).drop("n") \
+        .groupBy("grp", "part").cogroup(
+            centres.join(big, "grp").select("grp", "home", "v", F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"))
+            .groupBy("grp", "part")) \
+        .applyInArrow(route, "node long, grp string, home int, dist double, v array<double>, n_rows long")
+    whole = classes.join(big, "grp", "left_anti").select(
+        "node", "grp", F.lit(0).alias("home"), F.lit(TOP_RADIUS).alias("dist"), "v", "n_rows")
+    placed = materialize(whole.unionByName(routed), "cover-placed")
     homes = placed.groupBy("grp", "home").agg(F.max("dist").alias("r"), F.count(F.lit(1)).alias("n"))
-    if centres:
-        cdist = spark.createDataFrame(
-            [(g, i, j, float(np.sqrt(max(0.0, 2 - 2 * float(c[i] @ c[j])))))
-             for g, c in centres.items() for i in range(len(c)) for j in range(len(c))],
-            "grp string, home int, home2 int, d double")
-    else:
-        cdist = spark.createDataFrame([], "grp string, home int, home2 int, d double")
     k = F.ceil(F.col("n") / F.lit(node_rows)).cast("int")
     nodes = materialize(homes.withColumn("k", k), "cover-nodes")
     single = nodes.select("grp", "home", F.col("home").alias("home2"), "k", F.col("k").alias("k2"))
     other = nodes.select("grp", F.col("home").alias("home2"), F.col("r").alias("r2"), F.col("k").alias("k2"))
-    pairs = nodes.join(cdist.filter("home < home2"), ["grp", "home"]).join(other, ["grp", "home2"]) \
+    pairs = nodes.join(cdist, ["grp", "home"]).join(other, ["grp", "home2"]) \
         .filter(F.col("d") <= F.col("r") + F.col("r2") + F.lit(tau + SLACK)).select("grp", "home", "home2", "k", "k2")
     # node pairs, then the blocks of both: one task each
     todo = single.unionByName(pairs) \
@@ -290,7 +309,9 @@ def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 ORACLE = """
 WITH RECURSIVE v AS (
-  SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+  SELECT vec_id, label, CASE WHEN top BETWEEN 1e-100 AND 1e100 THEN e ELSE list_transform(e, lambda x: x / top) END AS e FROM (
+    SELECT vec_id, label, embedding, embedding::DOUBLE[] AS e,
+      list_max(list_transform(embedding::DOUBLE[], lambda x: abs(x))) AS top FROM embeddings)
   WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
 links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id

@@ -494,3 +494,19 @@ def test_quality_keeps_documents_labelled_good(spark):
            if r.doc_id in label and not r.base_failed]
     good, bad = [k for q, k in got if q == 1], [k for q, k in got if q == 0]
     assert len(good) > 100 and all(good) and sum(bad) < len(bad) / 2
+
+
+@pytest.mark.parametrize("node_rows", [4096, 3])
+def test_links_do_not_depend_on_magnitude(spark, tmp_path, monkeypatch, node_rows):
+    """Near-parallel vectors link at any magnitude, whatever row comes first, and orthogonal ones do not."""
+    a, b, c = [1.0, 0.01, 0.0], [1.0, 0.0, 0.01], [0.0, 1.0, 0.0]
+    vecs = [[m * x for x in v] for m in (1e-170, 1e160, 1.0, 5e-300, 1e-170, 1e300) for v in (a, b)] + [[m * x for x in c] for m in (1e160, 1e-170)]
+    pq.write_table(pa.table({"vec_id": pa.array(range(len(vecs)), pa.int64()), "embedding": pa.array(vecs, pa.list_(pa.float64())),
+                             "label": pa.array([0] * len(vecs), pa.int32())}), f"{tmp_path}/embeddings.parquet")
+    plain = embedding_dedup.near_links
+    monkeypatch.setattr(embedding_dedup, "near_links", lambda k, t: plain(k, t, node_rows))
+    want = [(i, 11, 0, i == 0) if i < 12 else (i, 1, 12, i == 12) for i in range(14)]
+    assert sorted(tuple(r.values()) for r in result(spark, "op2_embedding_dedup", str(tmp_path))) == want
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW embeddings AS SELECT * FROM '{tmp_path}/embeddings.parquet'")
+    assert sorted(con.sql(ORACLE_SQL["op2_embedding_dedup"]).fetchall()) == want

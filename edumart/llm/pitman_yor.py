@@ -2,24 +2,36 @@
 
 Restaurants and their parents:
 
-    word restaurants, one per context (what the word before ends in)
+    one restaurant per previous word (and one for the start of a text)
     ->  one word restaurant they share  ->  uniform over the V words and "unknown"
 
 A restaurant ``u`` serves word ``w`` with probability
-``(c_uw - d t_uw + (theta + d t_u) P_parent(w)) / (theta + c_u)``; each of its
-tables is a customer of its parent. All unknown words are one dish, so the
-probabilities of the V words and of "unknown" sum to one in every context.
-
-Seating is sampled by Gibbs sweeps: all customers of a word leave a restaurant
-and enter again by the Chinese-restaurant rule, given the tables of all other
-words as the last sweep left them. The predictive probabilities of the sweeps
-after burn-in are averaged.
-
-Scale: word counts are one map-side combined aggregate; the state has a row per
-distinct word and is resampled where it lies, exchanging only the totals of the
-restaurants per sweep. To score, the ``HEAD_WORDS`` most frequent words (a bound,
-not a cut: the others are joined) go to the tasks; all rarer tokens meet the word
-table in a join, which thereby has no hot keys.
+``(c_uw - d t_uw) / (theta + c_u) + (theta + d t_u) / (theta + c_u) P_parent(w)``;
+each of its tables is a customer of its parent. All unknown words are one dish,
+so the probabilities of the V words and of "unknown" sum to one in every context.
+After a word that training never saw the context is empty and its parent speaks.
+
+Seating is sampled by Gibbs sweeps. In a sweep all customers of a pair (u, w)
+leave, their tables leave the parent, and they enter again by the
+Chinese-restaurant rule; all pairs of a sweep are reseated at once, given the
+tables of the others as the sweep before left them. Then the shared restaurant
+is reseated the same way. A pair seen once has one customer and so one table: it
+is never drawn. Draws are hashes of (pair, sweep, step), so they depend neither
+on partitions nor on retries. The predictive probabilities after burn-in are
+averaged restaurant by restaurant: they are linear in the tables, so the mean
+tables of a context and the mean probability of its parent still sum to one.
+
+Scale: words and pairs are counted in one read of the texts, combined per run of
+``RUN`` tokens in the task and again by the aggregate; the counts grow with the
+corpus. Words are told apart by two 64-bit hashes, contexts and dishes by one.
+Sweeps touch only pairs seen twice or more. The ``HEAD_WORDS`` most frequent words
+find their restaurants by broadcast, the others by join, and the ``HEAD_ENTRIES``
+most frequent words and pairs are scored inside the tasks, the others in a join
+(bounds, not cuts), which thereby have no hot keys.
+
+A text's score is a sum over its words of ``log P_shared(w) + log backoff(w as
+context)`` and over its seen pairs of what the pair adds to that, so one table
+of words and pairs serves it.
 
 Defined results: a null text is empty (its end token only); a null id is not
 held out; repeated rows count and are scored each; an empty table gives an
@@ -30,199 +42,303 @@ empty result; if no row trains, N = V = 0 and every word is unknown (probability
 from __future__ import annotations
 
 import math
-import zlib
-from collections import Counter
-from collections.abc import Iterator
+from array import array
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from edumart.llm.common import materialize, table
+from edumart.llm.common import materialize, table, word_chunks
 
 FOLDS, HELD_OUT = 7, 2
-END = b"\n"                       # never inside a word
-DISCOUNT, STRENGTH = 0.6, 5.0
+START, END = b"", b"\n"                       # neither is ever a word
+#: of the context restaurants and of the shared one
+DISCOUNT, STRENGTH = (0.75, 0.6), (1.0, 5.0)
 BURN_IN, SAMPLES = 2, 3
-HEAD_WORDS, HEAD_CHARS = 200_000, 64
-FLUSH_WORDS = 300_000             # distinct (word, context) a task counts before it emits them
-#: contexts: 0 start of a text, then by the last byte of the word before
-ENDINGS = [".!?", None, "aoiu", "e", "tdhgy", "bcfjklmnpqrsvwxz"]    # None: digits and other signs
-CONTEXTS = 2 + len(ENDINGS)                                          # the last one: non-ASCII endings
+HEAD_WORDS, HEAD_ENTRIES = 200_000, 1_000_000
+RUN = 500_000                                 # tokens a task takes at once
+WORD, PAIR = 0, 1
+
+
+# ------------------------------------------------------------------ tokens
+
+class Vocabulary(dict):
+    """Word -> place of its two hashes."""
+
+    def __init__(self):
+        super().__init__()
+        self.first, self.second = array("Q"), array("Q")
+
+    def __missing__(self, word: bytes) -> int:
+        k = self[word] = len(self.first)
+        self.first.append(xxhash.xxh64_intdigest(word, 42))
+        self.second.append(xxhash.xxh64_intdigest(word, 43))
+        return k
+
+
+def token_runs(texts: Iterator[str | None]) -> Iterator[tuple[np.ndarray, ...]]:
+    """(number of the text, hash of the word before, hash, second hash) of all
+    tokens in order, about ``RUN`` at a time; every text also has a row for its
+    start, whose hash is that of ``START``."""
+    before = 0
+    places, parts, owner, size = Vocabulary(), [], [], 0
+
+    def run():
+        nonlocal before, places, size
+        at = np.concatenate(parts)
+        h, h2 = (np.array(x, np.uint64).view(np.int64)[at] for x in (places.first, places.second))
+        prev = np.concatenate([[before], h[:-1]])
+        before, size = h[-1], 0
+        out = np.repeat(owner, [len(p) for p in parts]), prev, h, h2
+        parts.clear(), owner.clear()
+        if len(places) > RUN:
+            places = Vocabulary()
+        return out
+
+    for k, text in enumerate(texts):
+        for words in ([START], *word_chunks((text or "").encode().lower()), [END]):
+            parts.append(np.fromiter(map(places.__getitem__, words), np.int64, len(words)))
+            owner.append(k)
+            size += len(words)
+            if size >= RUN:
+                yield run()
+    if parts:
+        yield run()
+
+
+def signed(h: int) -> int:
+    return h - (1 << 64) if h >> 63 else h
+
+
+START_HASH = signed(xxhash.xxh64_intdigest(START, 42))
 
 
-def endings() -> np.ndarray:
-    ctx = np.full(256, 2, np.int8)
-    for k, signs in enumerate(ENDINGS):
-        ctx[[ord(c) for c in signs or ""]] = k + 1
-    ctx[0x80:] = CONTEXTS - 1
-    return ctx
+def mixed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return a.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + b.view(np.uint64)
 
 
-AFTER = endings()
+def tally(*key: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
+    """Distinct rows of the last two columns (after those before them) and their counts."""
+    q = mixed(key[-2], key[-1])
+    order = np.argsort(q) if len(key) == 2 else np.lexsort((q, key[0]))
+    key = [k[order] for k in key]
+    new = np.ones(len(q), bool)
+    new[1:] = np.any([k[1:] != k[:-1] for k in key], axis=0)
+    first = np.flatnonzero(new)
+    return [k[first] for k in key], np.diff(np.append(first, len(q)))
 
 
-def tokens(text: str | None) -> tuple[list[bytes], np.ndarray]:
-    """Words and the end of a text, and the context of each."""
-    words = (text or "").encode().lower().split()
-    ctx = np.zeros(len(words) + 1, np.int8)
-    ctx[1:] = AFTER[np.fromiter((w[-1] for w in words), np.int64, len(words))]
-    words.append(END)
-    return words, ctx
+def count_cells(texts: DataFrame) -> DataFrame:
+    """(kind, a, b, n): occurrences of each word (a: its second hash, b: its hash)
+    and of each pair (a: hash of the word before, b: hash of the word)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, prev, h, h2 in token_runs(t.as_py() for b in batches for t in b.column(0)):
+            token = h != START_HASH
+            for kind, a in ((WORD, h2), (PAIR, prev)):
+                (x, y), n = tally(a[token], h[token])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(n), kind, np.int8)), pa.array(x), pa.array(y), pa.array(n)], names=["kind", "a", "b", "n"])
+
+    return texts.mapInArrow(run, "kind byte, a long, b long, n long").groupBy("kind", "a", "b").agg(F.sum("n").alias("n"))
 
 
 # ------------------------------------------------------------------ seating
 
-def seat(rng: np.random.Generator, c: np.ndarray, a0: np.ndarray, da: np.ndarray, d: float) -> np.ndarray:
+def uniform(key: np.ndarray, sweep: int, step: int) -> np.ndarray:
+    """A number in (0, 1) per key, by the finaliser of SplitMix64."""
+    with np.errstate(over="ignore"):
+        x = key + np.uint64((sweep * 0x632BE59BD9B4E019 + (step + 1) * 0x9E3779B97F4A7C15) % 2 ** 64)
+        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return ((x ^ (x >> np.uint64(31))) >> np.uint64(11)).astype(float) * 2.0 ** -53 + 2.0 ** -54
+
+
+def binomial(u: np.ndarray, v: np.ndarray, k: np.ndarray, p: np.ndarray) -> np.ndarray:
+    """Successes among ``k`` at chance ``p`` from two uniform numbers: by
+    inversion, or by the normal limit where the variance is over 100."""
+    p = np.clip(p, 0.0, 1.0)
+    q, out = np.minimum(p, 1 - p), np.zeros(len(k))
+    wide = k * q * (1 - q) > 100
+    z = np.sqrt(-2 * np.log(u)) * np.cos(2 * np.pi * v)
+    out[wide] = np.clip(np.rint(k * q + np.sqrt(k * q * (1 - q)) * z), 0, k)[wide]
+    live = np.flatnonzero(~wide & (q > 0))
+    mass = (1 - q) ** np.where(wide, 0, k)
+    below = mass.copy()
+    while len(live := live[(u[live] > below[live]) & (out[live] < k[live])]):
+        mass[live] *= (k[live] - out[live]) / (out[live] + 1) * q[live] / (1 - q[live])
+        out[live] += 1
+        below[live] += mass[live]
+    return np.where(p > 0.5, k - out, out)
+
+
+def seat(key: np.ndarray, sweep: int, c: np.ndarray, a0: np.ndarray, da: np.ndarray, d: float) -> np.ndarray:
     """Tables that ``c >= 1`` customers of each dish open: with ``i`` customers
     at ``t`` tables the next one opens a table with weight ``a0 + da * t`` against
     ``i - d * t``. The first 64 enter one by one, later ones in groups of 1/64
     of those seated (the chance moves by less than 2 % within a group)."""
-    t, i, live = np.ones(len(c)), np.ones(len(c)), np.flatnonzero(c > 1)
+    t, i, live, step = np.ones(len(c)), np.ones(len(c)), np.flatnonzero(c > 1), 0
     while len(live):
-        a, n, k = a0[live] + da[live] * t[live], i[live], c[live] - i[live]
-        k = np.minimum(np.maximum(1, n // 64), k)
-        t[live] += rng.binomial(k.astype(np.int64), a / (a + n - d * t[live]))
+        a, n = a0[live] + da[live] * t[live], i[live]
+        k = np.minimum(np.maximum(1, n // 64), c[live] - n)
+        p, u = a / (a + n - d * t[live]), uniform(key[live], sweep, step)
+        t[live] += u < p if k.max() == 1 else binomial(u, uniform(key[live], sweep, step + 1), k, p)
         i[live] += k
+        step += 2
         live = live[i[live] < c[live]]
     return t
 
 
-# ------------------------------------------------------------------ training
-
-def count_words(texts: DataFrame) -> DataFrame:
-    """(word, c0 ..): occurrences per context over all texts."""
+def by_rows(df: DataFrame, schema: str, change: Callable[[dict[str, np.ndarray]], dict[str, np.ndarray]]) -> DataFrame:
+    """``df`` with its columns as changed, batch by batch."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: Counter = Counter()
-
-        def emit():
-            w, x = zip(*seen.keys())
-            return pa.RecordBatch.from_arrays(
-                [pa.array(w, pa.binary()), pa.array(x, pa.int8()), pa.array(list(seen.values()), pa.int64())],
-                names=["word", "ctx", "n"])
         for b in batches:
-            for text in b.column(0):
-                words, ctx = tokens(text.as_py())
-                seen.update(zip(words, ctx.tolist()))
-                if len(seen) > FLUSH_WORDS:
-                    yield emit()
-                    seen.clear()
-        if seen:
-            yield emit()
+            col = change({n: b.column(n).to_numpy() for n in b.schema.names})
+            yield pa.RecordBatch.from_arrays([pa.array(v) for v in col.values()], names=list(col))
 
-    cells = texts.mapInArrow(run, "word binary, ctx byte, n long")
-    return cells.groupBy("word").agg(*[
-        F.coalesce(F.sum(F.when(F.col("ctx") == u, F.col("n"))), F.lit(0)).alias(f"c{u}") for u in range(CONTEXTS)])
+    return df.mapInArrow(run, schema)
 
 
-COUNT = [f"c{u}" for u in range(CONTEXTS)]
-TABLES = [f"t{u}" for u in range(CONTEXTS)] + ["t"]       # of the context restaurants, then the shared one
-PROBS = [f"p{u}" for u in range(CONTEXTS)]
-STATE = "word binary, " + ", ".join(f"{c} long" for c in COUNT + TABLES) + ", " + ", ".join(f"{p} double" for p in PROBS)
+def seat_shared(words: DataFrame, tables: int, base: float, sweep: int) -> DataFrame:
+    """(b, single, mean, c0, t0): the shared restaurant reseated."""
+    d, th = DISCOUNT[1], STRENGTH[1]
 
+    def change(x):
+        n, t = x["c0"].astype(float), x["t0"].astype(float)
+        flat = np.full(len(n), base)
+        t = seat(x["b"].view(np.uint64), sweep, n, (th + d * (tables - t)) * flat, d * flat, d)
+        return x | {"t0": t.astype(np.int64)}
 
-def totals(state: DataFrame) -> dict[str, int]:
-    row = state.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in COUNT + TABLES]).first()
-    return {c: int(row[c]) for c in COUNT + TABLES}
+    return by_rows(words, "b long, single long, mean double, c0 long, t0 long", change)
 
 
-def sweep(state: DataFrame, total: dict[str, int], n_words: int, number: int, keep: bool, seed: int) -> DataFrame:
-    """One Gibbs sweep over all restaurants; ``keep``: add the predictive
-    probabilities that the seating before it gives."""
-    d, th, base = DISCOUNT, STRENGTH, 1 / (n_words + 1)
-    customers = sum(total[f"t{u}"] for u in range(CONTEXTS))
+def seat_contexts(pairs: DataFrame, customers: int, tables: int, base: float, sweep: int, keep: bool) -> DataFrame:
+    """(a, b, n, t, kept): pairs reseated; their own tables have left the parent.
+    ``pairs`` has besides: tu, tables of the context; c0 and t0 of the word."""
+    (d, d0), (th, th0) = DISCOUNT, STRENGTH
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            col = {n: b.column(n).to_numpy().astype(float) for n in COUNT + TABLES + PROBS}
-            # draws follow from the batch's content, so a repeated task repeats them
-            rng = np.random.default_rng([seed, number, zlib.crc32(b.column(0)[0].as_py()) if len(b) else 0, len(b)])
-            c0 = sum(col[f"t{u}"] for u in range(CONTEXTS))
-            p0 = (c0 - d * col["t"] + (th + d * total["t"]) * base) / (th + customers)
-            for u in range(CONTEXTS):
-                n, t = col[f"c{u}"], col[f"t{u}"]
-                if keep:
-                    col[f"p{u}"] = col[f"p{u}"] + (n - d * t + (th + d * total[f"t{u}"]) * p0) / (th + total[f"c{u}"])
-                some = n > 0
-                a0 = (th + d * (total[f"t{u}"] - t[some])) * p0[some]
-                col[f"t{u}"] = np.zeros(len(n))
-                col[f"t{u}"][some] = seat(rng, n[some], a0, d * p0[some], d)
-            c0 = sum(col[f"t{u}"] for u in range(CONTEXTS))
-            flat = np.full(len(c0), base)
-            col["t"] = seat(rng, c0, (th + d * (total["t"] - col["t"])) * flat, d * flat, d)
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), *[pa.array(col[n].astype(np.int64)) for n in COUNT + TABLES], *[pa.array(col[n]) for n in PROBS]],
-                names=["word", *COUNT, *TABLES, *PROBS])
-
-    return materialize(state.mapInArrow(run, STATE), "py-state")
-
-
-def train(texts: DataFrame, seed: int = 0) -> tuple[DataFrame, dict]:
-    """(words with averaged probabilities p0 .., figures: N, V, probability of
-    "unknown" per context)."""
-    one = lambda c: F.least(F.col(c), F.lit(1))  # noqa: E731  first seating: a table per context a word occurs in
-    state = materialize(count_words(texts).select(
-        "word", *COUNT, *[one(c).alias(f"t{u}") for u, c in enumerate(COUNT)], F.lit(1).cast("long").alias("t"),
-        *[F.lit(0.0).alias(p) for p in PROBS]), "py-state")
-    n_words, unseen = state.count(), np.zeros(CONTEXTS)
+    def change(x):
+        own, tu, c0, t0 = (x[c].astype(float) for c in ("t", "tu", "c0", "t0"))
+        left = np.maximum(c0 - own, 0)
+        parent = (left - d0 * np.minimum(t0, left) + (th0 + d0 * tables) * base) / (th0 + customers - own)
+        t = seat(mixed(x["a"], x["b"]), sweep, x["n"].astype(float), (th + d * (tu - own)) * parent, d * parent, d).astype(np.int64)
+        return {"a": x["a"], "b": x["b"], "n": x["n"], "t": t, "kept": x["kept"] + t if keep else x["kept"]}
+
+    return by_rows(pairs.select("a", "b", "n", "t", "kept", "tu", "c0", "t0"), "a long, b long, n long, t long, kept long", change)
+
+
+# ------------------------------------------------------------------ training
+
+def fetch(df: DataFrame, key: str, side: DataFrame, head: DataFrame) -> DataFrame:
+    """``df`` with the columns of ``side``, one row per ``key``: the words of
+    ``head`` by broadcast, the others by join."""
+    got = [c for c in side.columns if c != key]
+    hot = side.join(F.broadcast(head.withColumnRenamed("b", key)), key, "left_semi")
+    out = df.join(F.broadcast(hot), key, "left")
+    return out.filter(F.col(got[0]).isNotNull()).unionByName(out.filter(F.col(got[0]).isNull()).drop(*got).join(side, key))
+
+
+def train(texts: DataFrame) -> tuple[DataFrame, dict]:
+    """(entries, figures). Entries: (a, b, n, value, known) with a row per word
+    (known: true; value: log10 of its shared probability times its backoff as a
+    context) and per pair (known: false; value: what it adds to that). Figures:
+    N, V, log10 of the shared probability of "unknown" and of the start's backoff."""
+    spark, (d, d0), (th, th0) = texts.sparkSession, DISCOUNT, STRENGTH
+    counts = materialize(count_cells(texts), "py-counts")
+    words_n, pairs = counts.filter(F.col("kind") == WORD), counts.filter(F.col("kind") == PAIR).drop("kind")
+    n_words, n_tokens = words_n.agg(F.count("n"), F.coalesce(F.sum("n"), F.lit(0))).first()
+    base, once = 1 / (n_words + 1), F.count_if(F.col("n") == 1).alias("single")
+    head = materialize(words_n.orderBy(F.desc("n"), "b").limit(HEAD_WORDS).select("b")
+                       .union(spark.createDataFrame([(START_HASH,)], "b long")).distinct(), "py-head")
+    contexts = materialize(pairs.groupBy("a").agg(F.sum("n").alias("cu"), once), "py-contexts")
+    words = materialize(pairs.groupBy("b").agg(once).select("b", "single", F.lit(0.0).alias("mean"), F.lit(1).cast("long").alias("t0")), "py-words")
+    # the first seating: a table per pair, one shared table per word
+    multi = pairs.filter("n > 1").select("a", "b", "n", F.lit(1).cast("long").alias("t"), F.lit(0).cast("long").alias("kept"))
+    tables, unseen = n_words, 0.0
     for k in range(BURN_IN + SAMPLES):
-        total = totals(state)
-        if k >= BURN_IN:
-            customers = sum(total[f"t{u}"] for u in range(CONTEXTS))
-            shared = (STRENGTH + DISCOUNT * total["t"]) / (STRENGTH + customers) / (n_words + 1)
-            unseen += [shared * (STRENGTH + DISCOUNT * total[f"t{u}"]) / (STRENGTH + total[f"c{u}"]) for u in range(CONTEXTS)]
-        state = sweep(state, total, n_words, k, k >= BURN_IN, seed)
-    words = state.select("word", sum(F.col(c) for c in COUNT).alias("c"),
-                         *[(F.col(p) / SAMPLES).alias(p) for p in PROBS])
-    return words, {"N": sum(total[c] for c in COUNT), "V": n_words, "unseen": unseen / SAMPLES}
+        keep = k >= BURN_IN
+        per = multi.groupBy("b").agg(F.sum("t").alias("m"))
+        guests = words.join(per, "b", "left").select("b", "single", "mean", (F.col("single") + F.coalesce("m", F.lit(0))).alias("c0"), "t0")
+        words = materialize(seat_shared(guests, tables, base, k), "py-words")
+        customers, tables = words.agg(F.coalesce(F.sum("c0"), F.lit(0)), F.coalesce(F.sum("t0"), F.lit(0))).first()
+        rest = (th0 + d0 * tables) / (th0 + customers) * base
+        if keep:
+            unseen += rest / SAMPLES
+            words = words.withColumn("mean", F.col("mean") + ((F.col("c0") - d0 * F.col("t0")) / (th0 + customers) + rest) / SAMPLES)
+        per = multi.groupBy("a").agg(F.sum("t").alias("m"))
+        seated = materialize(contexts.join(per, "a", "left").select("a", (F.col("single") + F.coalesce("m", F.lit(0))).alias("tu")), "py-seated")
+        both = fetch(fetch(multi, "a", seated, head), "b", words.select("b", "c0", "t0"), head)
+        multi = materialize(seat_contexts(both, customers, tables, base, k, keep), "py-pairs")
+
+    per = multi.groupBy("a").agg(F.sum("kept").alias("m"))
+    mean_tables = F.col("single") + F.coalesce("m", F.lit(0)) / SAMPLES
+    backoff = materialize(contexts.join(per, "a", "left").select("a", "cu", ((th + d * mean_tables) / (th + F.col("cu"))).alias("backoff")), "py-backoff")
+    start = backoff.filter(F.col("a") == START_HASH).select("backoff").collect()
+    shared = materialize(words.select("b", "mean"), "py-shared")
+    of_words = words_n.join(shared, "b").join(backoff.select(F.col("a").alias("b"), "backoff"), "b", "left").select(
+        "a", "b", "n", F.log10(F.col("mean") * F.coalesce("backoff", F.lit(1.0))).alias("value"), F.lit(True).alias("known"))
+    all_pairs = pairs.filter("n = 1").withColumn("kept", F.lit(SAMPLES).cast("long")).unionByName(multi.drop("t"))
+    fall = F.col("backoff") * F.col("mean")
+    of_pairs = fetch(fetch(all_pairs, "a", backoff, head), "b", shared, head).select(
+        "a", "b", "n", F.log10(((F.col("n") - d * F.col("kept") / SAMPLES) / (th + F.col("cu")) + fall) / fall).alias("value"),
+        F.lit(False).alias("known"))
+    return materialize(of_words.unionByName(of_pairs), "py-entries"), {
+        "N": n_tokens, "V": n_words, "unseen": math.log10(unseen), "start": math.log10(start[0][0]) if start else 0.0}
 
 
 # ------------------------------------------------------------------ scoring
 
-def score(docs: DataFrame, doc_id: str, text: str, words: DataFrame, figures: dict) -> DataFrame:
-    """(doc_id, key, n_tokens, n_known, base, score) per distinct (doc_id, text)."""
-    top = words.filter(F.length("word") <= HEAD_CHARS).orderBy(F.desc("c"), "word").limit(HEAD_WORDS).toArrow()
-    head = top.column("word").to_pylist()
-    head_c = np.append(top.column("c").to_numpy(), 0).astype(float)
-    head_p = np.log10(np.stack([np.append(top.column(p).to_numpy(), 1.0) for p in PROBS], 1))
-    head_base = np.log10(head_c + 1)
-    unseen = np.log10(figures["unseen"]).tolist()
-    index: dict[bytes, int] = {}
-    schema = pa.schema([("doc_id", pa.int64()), ("key", pa.int64()), ("word", pa.binary()), ("ctx", pa.int8()), ("n", pa.int64()),
-                        ("rows", pa.int64()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base", pa.float64()), ("lp", pa.float64())])
+def score(docs: DataFrame, doc_id: str, text: str, entries: DataFrame, figures: dict) -> DataFrame:
+    """(doc_id, key, rows, n_tokens, n_known, base, score) per distinct (doc_id, text)."""
+    top = entries.orderBy(F.desc("n"), "a", "b").limit(HEAD_ENTRIES).toArrow()
+    top = {c: top.column(c).to_numpy() for c in top.column_names}
+    q, first = np.unique(mixed(top["a"], top["b"]), return_index=True)     # of two that mix alike one is joined
+    a, b, value = (np.append(top[c][first], 0) for c in ("a", "b", "value"))
+    base = np.append(np.where(top["known"], np.log10(top["n"] + 1.0), 0.0)[first], 0.0)
+    here = np.append(np.ones(len(q), bool), False)
+    schema = pa.schema([("doc_id", pa.int64()), ("key", pa.int64()), ("a", pa.int64()), ("b", pa.int64()), ("word", pa.bool_()),
+                        ("n", pa.int64()), ("rows", pa.int64()), ("n_tokens", pa.int64()), ("n_known", pa.int64()),
+                        ("base", pa.float64()), ("lp", pa.float64())])
+
+    def look_up(x, y):
+        at = np.searchsorted(q, mixed(x, y))
+        hit = here[at] & (a[at] == x) & (b[at] == y)
+        return hit, np.where(hit, value[at], 0.0), np.where(hit, base[at], 0.0)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        place = index or {w: i for i, w in enumerate(head)}
-        for b in batches:
-            rows = []
-            for id_, key, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2)):
-                ws, ctx = tokens(t.as_py())
-                at = np.fromiter((place.get(w, -1) for w in ws), np.int64, len(ws))
-                known = at >= 0
-                # a word that no vocabulary has keeps the text's own row apart from the join's hot keys
-                rows.append((id_, key, b" %d" % key, 0, 0, 1, len(ws), int(known.sum()),
-                             float(head_base[at[known]].sum()), float(head_p[at[known], ctx[known]].sum())))
-                rare = np.flatnonzero(~known)
-                if len(rare):
-                    cells = Counter(zip([ws[i] for i in rare], ctx[rare].tolist()))
-                    rows += [(id_, key, w, x, n, 0, 0, 0, 0.0, unseen[x]) for (w, x), n in cells.items()]
-            for lo in range(0, len(rows), 100_000):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(zip(*rows[lo:lo + 100_000]), schema.types)], schema=schema)
+        for batch in batches:
+            ids, keys = batch.column(0), batch.column(1).to_numpy()
+            for own, prev, h, h2 in token_runs(t.as_py() for t in batch.column(2)):
+                lo, hi = own[0], own[-1] + 1
+                begin, n = h == START_HASH, hi - lo
+                add = lambda w=None, o=own: np.bincount(o - lo, w, n)
+                starts = add(begin.astype(float))
+                own, prev, h, h2 = (x[~begin] for x in (own, prev, h, h2))
+                known, lp, lc = look_up(h2, h)
+                seen, gain, _ = look_up(prev, h)
+                sums = [starts.astype(np.int64), add(o=own).astype(np.int64), add(known.astype(float), own).astype(np.int64),
+                        add(lc, own), add(lp + gain, own) + starts * figures["start"]]
+                some, zero = np.arange(lo, hi), np.zeros(n, np.int64)
+                # keys that no entry has keep the texts' own rows apart from each other in the join
+                parts = [[some, keys[some], ~keys[some], zero.astype(bool), zero, *sums]]
+                for word, x, miss in ((True, h2, ~known), (False, prev, ~seen)):
+                    (o, x, y), times = tally(own[miss], x[miss], h[miss])
+                    none = np.zeros(len(o), np.int64)
+                    parts.append([o, x, y, np.full(len(o), word), times, none, none, none, none.astype(float), none.astype(float)])
+                for o, *cols in parts:
+                    yield pa.RecordBatch.from_arrays([ids.take(pa.array(o)), pa.array(keys[o]), *map(pa.array, cols)], schema=schema)
 
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(F.col(doc_id), F.col(text)).alias("key"), F.col(text).alias("t")) \
-        .mapInArrow(run, "doc_id long, key long, word binary, ctx byte, n long, rows long, n_tokens long, n_known long, base double, lp double")
-    joined = rows.withColumn("h", F.xxhash64("word")).drop("word").join(
-        words.select(F.xxhash64("word").alias("h"), "c", *PROBS), "h", "left")
-    seen = F.col("c").isNotNull() & (F.col("rows") == 0)
-    p = F.element_at(F.array(*PROBS), F.col("ctx").cast("int") + 1)
-    own = F.col("rows") == 1
+        .mapInArrow(run, "doc_id long, key long, a long, b long, word boolean, n long, rows long, n_tokens long, n_known long, base double, lp double")
+    joined = rows.join(entries.select("a", "b", F.col("n").alias("c"), "value", "known"), ["a", "b"], "left")
+    met, n = (F.col("n") > 0) & F.col("known").eqNullSafe(F.col("word")), F.col("n")
     return joined.groupBy("doc_id", "key").agg(
         F.sum("rows").alias("rows"), F.sum("n_tokens").alias("n_tokens"),
-        F.sum(F.when(own, F.col("n_known")).when(seen, F.col("n")).otherwise(0)).alias("n_known"),
-        F.sum(F.when(own, F.col("base")).when(seen, F.col("n") * F.log10(F.col("c") + 1)).otherwise(0.0)).alias("base"),
-        F.sum(F.when(own, F.col("lp")).when(seen, F.col("n") * F.log10(p)).otherwise(F.col("n") * F.col("lp"))).alias("score"))
+        F.sum(F.when(met & F.col("word"), n).otherwise(F.col("n_known"))).alias("n_known"),
+        F.sum(F.when(met & F.col("word"), n * F.log10(F.col("c") + 1)).otherwise(F.col("base"))).alias("base"),
+        F.sum(F.when(met, n * F.col("value")).when(F.col("word"), n * figures["unseen"]).otherwise(F.col("lp"))).alias("score"))
 
 
 def held_out(doc_id: str) -> Column:
@@ -231,8 +347,8 @@ def held_out(doc_id: str) -> Column:
 
 def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    words, figures = train(docs.filter(~held_out("doc_id")).select("text"))
-    per = score(docs, "doc_id", "text", words, figures)
+    entries, figures = train(docs.filter(~held_out("doc_id")).select("text"))
+    per = score(docs, "doc_id", "text", entries, figures)
     n, v = figures["N"], figures["V"]
     # repeated rows were summed into one group: each of them is one share of it
     return per.withColumn("i", F.explode(F.sequence(F.lit(1), F.col("rows").cast("int")))).select(

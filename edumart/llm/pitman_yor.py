@@ -244,7 +244,8 @@ def train(texts: DataFrame) -> tuple[DataFrame, dict]:
     """(entries, figures). Entries: (a, b, n, value, known) with a row per word
     (known: true; value: log10 of its shared probability times its backoff as a
     context) and per pair (known: false; value: what it adds to that). Figures:
-    N, V, log10 of the shared probability of "unknown" and of the start's backoff."""
+    N, V, log10 of the shared probability of "unknown" and of the start's backoff,
+    and as tables all shared probabilities (b, mean) and backoffs (a, backoff)."""
     spark, (d, d0), (th, th0) = texts.sparkSession, DISCOUNT, STRENGTH
     counts = materialize(count_cells(texts), "py-counts")
     words_n, pairs = counts.filter(F.col("kind") == WORD), counts.filter(F.col("kind") == PAIR).drop("kind")
@@ -285,7 +286,8 @@ def train(texts: DataFrame) -> tuple[DataFrame, dict]:
         "a", "b", "n", F.log10(((F.col("n") - d * F.col("kept") / SAMPLES) / (th + F.col("cu")) + fall) / fall).alias("value"),
         F.lit(False).alias("known"))
     return materialize(of_words.unionByName(of_pairs), "py-entries"), {
-        "N": n_tokens, "V": n_words, "unseen": math.log10(unseen), "start": math.log10(start[0][0]) if start else 0.0}
+        "N": n_tokens, "V": n_words, "unseen": math.log10(unseen), "start": math.log10(start[0][0]) if start else 0.0,
+        "shared": shared, "backoff": backoff.select("a", "backoff")}
 
 
 # ------------------------------------------------------------------ scoring
@@ -297,7 +299,7 @@ def score(docs: DataFrame, doc_id: str, text: str, entries: DataFrame, figures:
     q, first = np.unique(mixed(top["a"], top["b"]), return_index=True)     # of two that mix alike one is joined
     a, b, value = (np.append(top[c][first], 0) for c in ("a", "b", "value"))
     base = np.append(np.where(top["known"], np.log10(top["n"] + 1.0), 0.0)[first], 0.0)
-    here = np.append(np.ones(len(q), bool), False)
+    here, opening = np.append(np.ones(len(q), bool), False), figures["start"]
     schema = pa.schema([("doc_id", pa.int64()), ("key", pa.int64()), ("a", pa.int64()), ("b", pa.int64()), ("word", pa.bool_()),
                         ("n", pa.int64()), ("rows", pa.int64()), ("n_tokens", pa.int64()), ("n_known", pa.int64()),
                         ("base", pa.float64()), ("lp", pa.float64())])
@@ -319,7 +321,7 @@ def score(docs: DataFrame, doc_id: str, text: str, entries: DataFrame, figures:
                 known, lp, lc = look_up(h2, h)
                 seen, gain, _ = look_up(prev, h)
                 sums = [starts.astype(np.int64), add(o=own).astype(np.int64), add(known.astype(float), own).astype(np.int64),
-                        add(lc, own), add(lp + gain, own) + starts * figures["start"]]
+                        add(lc, own), add(lp + gain, own) + starts * opening]
                 some, zero = np.arange(lo, hi), np.zeros(n, np.int64)
                 # keys that no entry has keep the texts' own rows apart from each other in the join
                 parts = [[some, keys[some], ~keys[some], zero.astype(bool), zero, *sums]]

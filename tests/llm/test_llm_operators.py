@@ -272,20 +272,73 @@ def test_lm_scoring(spark, sf):
     assert all(math.isfinite(r["score"]) and r["score"] < 0 for r in rows)
 
 
-def test_lm_probabilities_sum_to_one_and_beat_the_base(spark):
-    texts = spark.read.parquet(f"{SF}/documents.parquet")
-    words, figures = pitman_yor.train(texts.filter(~pitman_yor.held_out("doc_id")).select("text"))
-    for u, p in enumerate(words.selectExpr(*[f"sum({p}) as {p}" for p in pitman_yor.PROBS]).first()):
-        assert abs(p + figures["unseen"][u] - 1) < 1e-9
+def hashes(text):
+    return [pitman_yor.signed(xxhash.xxh64_intdigest(w, 42)) for w in [b"", *(text or "").encode().lower().split(), b"\n"]]
+
+
+def test_lm_probabilities_sum_to_one_and_make_the_scores(spark, sf, monkeypatch):
+    """Every context's probabilities sum to one, the query's scores are the plain
+    sums of their logarithms, whichever words are head words and however the
+    tables are partitioned."""
+    texts = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
+    train = lambda: pitman_yor.train(texts.filter(~pitman_yor.held_out("doc_id")).select("text"))
+    entries, figures = train()
+    rows = entries.collect()
+    shared, backoff = (dict(map(tuple, figures[t].collect())) for t in ("shared", "backoff"))
+    assert len(shared) == figures["V"] and set(backoff) == set(shared) - {hashes("")[-1]} | {hashes("")[0]}
+    gain = {(r.a, r.b): r.value for r in rows if not r.known}
+    counts = Counter((a, b) for i, t, *_ in ROWS if not (i is not None and zlib.crc32(str(i).encode()) % 7 == 2)
+                     for h in [hashes(t)] for a, b in zip(h, h[1:]))
+    assert {(r.a, r.b): r.n for r in rows if not r.known} == counts
+    followers = defaultdict(list)
+    for a, b in gain:
+        followers[a].append(b)
+    unknown = 10 ** figures["unseen"]
+    assert abs(sum(shared.values()) + unknown - 1) < 1e-9
+    for a, seen in followers.items():
+        p = sum(shared[b] * backoff[a] * 10 ** gain[a, b] for b in seen)
+        assert abs(p + backoff[a] * (1 - sum(shared[b] for b in seen)) - 1) < 1e-9
+
+    plain = lambda t: sum(math.log10(backoff.get(a, 1.0) * shared.get(b, unknown)) + gain.get((a, b), 0.0)
+                          for h in [hashes(t)] for a, b in zip(h, h[1:]))
+    want = sorted((key(i), round(plain(t), 6)) for i, t, *_ in ROWS)
+    got = lambda: sorted((key(r["doc_id"]), round(r["score"], 6)) for r in result(spark, "op6_lm_scoring", sf))
+    close = lambda x, y: len(x) == len(y) and all(i == j and abs(s - t) < 1e-5 for (i, s), (j, t) in zip(x, y))
+    assert close(got(), want)
+    monkeypatch.setattr(pitman_yor, "HEAD_WORDS", 3)
+    monkeypatch.setattr(pitman_yor, "HEAD_ENTRIES", 5)
+    monkeypatch.setattr(pitman_yor, "RUN", 50)
+    spark.conf.set("spark.sql.shuffle.partitions", "3")
+    try:
+        assert close(got(), want)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+
+
+def test_lm_beats_the_base_on_held_out_texts(spark):
     rows = [r for r in result(spark, "op6_lm_scoring", SF) if r["held_out"]]
     assert sum(r["score"] for r in rows) > sum(r["base_score"] for r in rows)
 
 
-def test_rare_words_score_as_head_words(spark, sf, monkeypatch):
-    full = {(r["doc_id"], r["n_tokens"]): r for r in result(spark, "op6_lm_scoring", sf)}
-    monkeypatch.setattr(pitman_yor, "HEAD_WORDS", 3)
-    for r in result(spark, "op6_lm_scoring", sf):
-        assert abs(full[(r["doc_id"], r["n_tokens"])]["score"] - r["score"]) < 1e-6 * abs(r["score"])
+@pytest.mark.parametrize("c, a0, d", [(2, 0.3, 0.75), (40, 2.0, 0.75), (400, 0.02, 0.6)])
+def test_lm_seating_follows_the_rule(c, a0, d):
+    """Tables drawn for many dishes against the exact distribution."""
+    n, da = 40_000, 0.01
+    t = pitman_yor.seat(np.arange(n, dtype=np.uint64) * np.uint64(2654435761), 3, np.full(n, float(c)), np.full(n, a0), np.full(n, da), d)
+    p = {1: 1.0}
+    for i in range(1, c):
+        step = defaultdict(float)
+        for k, x in p.items():
+            new = (a0 + da * k) / (a0 + da * k + i - d * k)
+            step[k + 1] += x * new
+            step[k] += x * (1 - new)
+        p = step
+    mean = sum(k * x for k, x in p.items())
+    spread = math.sqrt(sum((k - mean) ** 2 * x for k, x in p.items()))
+    assert abs(t.mean() - mean) < 5 * spread / math.sqrt(n) + 0.02 * (mean - 1) and abs(t.std() - spread) < 0.05 * spread
+    few = np.full(n, 5000.0)
+    wide = pitman_yor.binomial(*(pitman_yor.uniform(np.arange(n, dtype=np.uint64), 1, s) for s in (0, 1)), few, np.full(n, 0.9))
+    assert abs(wide.mean() - 4500) < 1 and abs(wide.std() - math.sqrt(450)) < 1
 
 
 def plain_simhash(text):

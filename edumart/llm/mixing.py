@@ -10,9 +10,10 @@ repeatable on any cluster. Two scales of the probabilities:
   are lowered to that and the others raised, raking keeps full cells full and
   moves the rest, and the common factor gives the budget exactly. A thin cell is
   then kept whole and takes its few tokens from the others.
-* ``probabilities`` (``op8_source_mixing``, whose SQL states it) divides the
-  ratio weight / tokens by the largest ratio: expected tokens have exactly the
-  raked mix, but the thinnest cell alone sets how much is kept.
+* ``rates`` (``op8_source_mixing``) gives every cell its raked share of the same
+  budget, exactly: a rate is the expected copies of a cell's documents. Rates over 1
+  are repeats: the whole part as copies, the rest as one draw. A thin cell is
+  repeated, and what the others get does not hang on it.
 
 Targets: a share per value may be given; otherwise a value's share is its
 tokens to the power ``temperature`` over the sum (1 keeps the natural mix, 0
@@ -68,7 +69,7 @@ def cells(df: DataFrame, dims: list[str], tokens: str) -> DataFrame:
 def targets(cell: DataFrame, dim: str, temperature: float) -> DataFrame:
     """(value, share) of one marginal from its token totals."""
     per = cell.groupBy(F.col(dim).alias("value")).agg(F.pow(F.sum("tokens").cast("double"), F.lit(temperature)).alias("x"))
-    return per.select("value", (F.col("x") / F.sum("x").over(Window.partitionBy(F.lit(1)))).alias("share"))
+    return per.select("value", (F.col("x") / per.agg(F.sum("x")).scalar()).alias("share"))
 
 
 def factor(parts: DataFrame, part: str, cap: str, whole: float) -> float:
@@ -148,13 +149,14 @@ def budgeted(cell: DataFrame, dims: list[str], share: float = SHARE, temperature
     return raked.select(*dims, "tokens", weight.alias("weight"), F.round(weight / F.col("cap"), 9).alias("probability"))
 
 
-def probabilities(cell: DataFrame, dims: list[str], temperature: dict[str, float] = TEMPERATURE,
-                  given: dict[str, DataFrame] | None = None, sweeps: int = SWEEPS) -> DataFrame:
-    """(dims, tokens, weight, probability) per cell."""
+def rates(cell: DataFrame, dims: list[str], share: float = SHARE, temperature: dict[str, float] = TEMPERATURE,
+          given: dict[str, DataFrame] | None = None, sweeps: int = SWEEPS) -> DataFrame:
+    """(dims, tokens, weight, rate) per cell: expected copies of its documents when
+    the sample has ``share`` of all tokens in the raked mix."""
     cell = materialize(cell, "mix-counts")
-    raked = rake(cell, dims, shares_of(cell, dims, temperature, given), sweeps).withColumn("ratio", F.col("weight") / F.col("tokens"))
-    top = raked.agg(F.max("ratio").alias("m")).scalar()
-    return raked.select(*dims, "tokens", "weight", F.round(F.col("ratio") / top, 9).alias("probability"))
+    raked = rake(cell, dims, shares_of(cell, dims, temperature, given), sweeps)
+    budget = F.lit(share) * cell.agg(F.sum("tokens").cast("double")).scalar()
+    return raked.select(*dims, "tokens", "weight", F.round(F.col("weight") * budget / F.col("tokens"), 9).alias("rate"))
 
 
 def draw(doc_id: Column, text: Column, seed: int = SEED) -> Column:
@@ -166,26 +168,40 @@ def draw(doc_id: Column, text: Column, seed: int = SEED) -> Column:
 def sample_mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source",
                lang: str = "lang", seed: int = SEED, **how) -> DataFrame:
     """The sampled documents, with their own columns."""
-    p, on = _with_probability(docs, doc_id, text, source, lang, budgeted, **how)
+    p, on = _with_rate(docs, doc_id, text, source, lang, budgeted, "probability", **how)
     return p.filter(draw(F.col(doc_id), F.col(text), seed) < F.col(on)).select(*docs.columns)
 
 
-def _with_probability(docs, doc_id, text, source, lang, rates=probabilities, **how) -> tuple[DataFrame, str]:
-    top, tok, prob, *keys = fresh(docs, "mix_topic", "mix_tokens", "mix_probability", "mix_source", "mix_lang", "mix_kind")
+def repeat_mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source",
+               lang: str = "lang", seed: int = SEED, **how) -> DataFrame:
+    """The documents, each as often as its rate and its draw say, with their own columns."""
+    p, on = _with_rate(docs, doc_id, text, source, lang, rates, "rate", **how)
+    times, = fresh(p, "mix_times")
+    n = copies(F.col(on), F.col(doc_id), F.col(text), seed)
+    return p.withColumn(times, F.explode(F.when(n > 0, F.sequence(F.lit(1), n.cast("int"))))).select(*docs.columns)
+
+
+def copies(rate: Column, doc_id: Column, text: Column, seed: int = SEED) -> Column:
+    return (F.floor(rate) + (draw(doc_id, text, seed) < rate - F.floor(rate)).cast("long")).cast("long")
+
+
+def _with_rate(docs, doc_id, text, source, lang, measure, name, **how) -> tuple[DataFrame, str]:
+    top, tok, rate, *keys = fresh(docs, "mix_topic", "mix_tokens", "mix_rate", "mix_source", "mix_lang", "mix_kind")
     valued = docs.withColumns({top: topic(F.col(text)), tok: n_tokens(F.col(text))})
     slim = valued.select(F.col(source).alias("source"), F.col(lang).alias("lang"), F.col(top).alias("topic"), F.col(tok).alias("n"))
     dims = ["source", "lang", "topic"]
-    per = materialize(rates(cells(slim, dims, "n"), dims, **how), "mix-probabilities") \
-        .select(*[F.col(d).alias(k) for d, k in zip(dims, keys)], F.col("probability").alias(prob))
+    per = materialize(measure(cells(slim, dims, "n"), dims, **how), "mix-rates") \
+        .select(*[F.col(d).alias(k) for d, k in zip(dims, keys)], F.col(name).alias(rate))
     match = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(k)) for c, k in zip((source, lang, top), keys)])
-    return valued.join(per, match).drop(*keys), prob
+    return valued.join(per, match).drop(*keys), rate
 
 
 def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
-    p, prob = _with_probability(docs, "doc_id", "text", "source", "lang")
+    p, rate = _with_rate(docs, "doc_id", "text", "source", "lang", rates, "rate")
+    n = copies(F.col(rate), F.col("doc_id"), F.col("text"))
     return p.select("doc_id", "source", "lang", F.col("mix_topic").alias("topic"), F.col("mix_tokens").alias("n_tokens"),
-                    F.col(prob).alias("probability"), (draw(F.col("doc_id"), F.col("text")) < F.col(prob)).alias("kept"))
+                    F.col(rate).alias("rate"), n.alias("copies"), (n > 0).alias("kept"))
 
 
 def oracle(docs: str = "documents", sweeps: int = SWEEPS, seed: int = SEED) -> str:
@@ -205,8 +221,8 @@ def oracle(docs: str = "documents", sweeps: int = SWEEPS, seed: int = SEED) -> s
             ctes.append(f"r{k} AS MATERIALIZED (SELECT source, lang, topic, tokens, w * share / sum(w) OVER (PARTITION BY {dim}) AS w "
                         f"FROM {last} JOIN s_{dim} ON {dim} IS NOT DISTINCT FROM v)")
             last = f"r{k}"
-    ctes.append(f"p AS (SELECT source, lang, topic, round((w / tokens) / max(w / tokens) OVER (), 9) AS probability FROM {last})")
+    ctes.append(f"p AS (SELECT source, lang, topic, round(w * ({SHARE}::DOUBLE * sum(tokens) OVER ()::DOUBLE) / tokens, 9) AS rate FROM {last})")
     u = f"('0x' || substr(md5(coalesce(doc_id::VARCHAR, text, '') || ':{seed}'), 1, 8))::BIGINT / 4294967296.0::DOUBLE"
-    return "WITH " + ",\n".join(ctes) + f"""
-SELECT doc_id, d.source, d.lang, d.topic, n_tokens, probability, {u} < probability AS kept
-FROM d JOIN p ON d.source IS NOT DISTINCT FROM p.source AND d.lang IS NOT DISTINCT FROM p.lang AND d.topic = p.topic"""
+    ctes.append(f"""c AS (SELECT doc_id, d.source, d.lang, d.topic, n_tokens, rate, floor(rate)::BIGINT + ({u} < rate - floor(rate))::BIGINT AS copies
+FROM d JOIN p ON d.source IS NOT DISTINCT FROM p.source AND d.lang IS NOT DISTINCT FROM p.lang AND d.topic = p.topic)""")
+    return "WITH " + ",\n".join(ctes) + "\nSELECT *, copies > 0 AS kept FROM c"

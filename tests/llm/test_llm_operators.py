@@ -404,13 +404,32 @@ def test_mixing_reaches_its_targets(spark):
                                  "source string, lang string, topic string, tokens long")
     want = {"source": {"a": .5, "b": .3, "c": .2}, "lang": {"d": .6, "e": .4}, "topic": {"x": 1.0}}
     given = {d: spark.createDataFrame(list(t.items()), "value string, share double") for d, t in want.items()}
-    rows = mixing.probabilities(cell, list(want), given=given).collect()
+    rows = mixing.rates(cell, list(want), given=given).collect()
     for d, t in want.items():
         for value, share in t.items():
             assert abs(sum(r.weight for r in rows if r[d] == value) - share) < 1e-6
-    total = sum(r.tokens * r.probability for r in rows)
-    assert abs(sum(r.tokens * r.probability for r in rows if r.source == "a") / total - .5) < 1e-6
-    assert max(r.probability for r in rows) == 1.0
+    total = sum(r.tokens * r.rate for r in rows)
+    assert abs(total / sum(r.tokens for r in rows) - mixing.SHARE) < 1e-6
+    assert abs(sum(r.tokens * r.rate for r in rows if r.source == "a") / total - .5) < 1e-6
+
+
+def test_one_stray_document_leaves_the_rates_of_the_others(spark):
+    rng = random.Random(3)
+    rows = [(s, g, t, rng.randint(20_000, 900_000)) for s in "abcd" for g in "de" for t in "xy"]
+    shape, dims = "source string, lang string, topic string, tokens long", ["source", "lang", "topic"]
+    rate = lambda x: {tuple(r)[:3]: r.rate for r in mixing.rates(spark.createDataFrame(x, shape), dims).collect()}
+    plain, more = rate(rows), rate([*rows, ("nowhere", "zz", "x", 30)])
+    assert more.pop(("nowhere", "zz", "x")) > 1 and all(abs(more[c] / r - 1) < 0.02 for c, r in plain.items())
+
+
+def test_repeated_mix_gives_each_document_its_copies(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    want = Counter()
+    for r in result(spark, "op8_source_mixing", sf):
+        assert r["copies"] in (math.floor(r["rate"]), math.floor(r["rate"]) + 1) and r["kept"] == (r["copies"] > 0)
+        want[key(r["doc_id"])] += r["copies"]
+    out = mixing.repeat_mix(docs)
+    assert out.columns == docs.columns and Counter(key(r.doc_id) for r in out.collect()) == +want
 
 
 def test_one_stray_document_moves_the_sample_little(spark):

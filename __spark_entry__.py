@@ -73,6 +73,10 @@ _SQL = {
     "crosstab_count": "SELECT o_custkey, count(CASE WHEN o_orderstatus = 'F' THEN o_orderkey END) AS st_F, count(CASE WHEN o_orderstatus = 'O' THEN o_orderkey END) AS st_O, count(CASE WHEN o_orderstatus = 'P' THEN o_orderkey END) AS st_N FROM orders GROUP BY o_custkey",
     "crosstab_labelled": "SELECT o_custkey, count(CASE WHEN o_orderstatus = 'F' THEN o_orderkey END) AS status_final, count(CASE WHEN o_orderstatus = 'O' THEN o_orderkey END) AS status_open, count(CASE WHEN o_orderstatus = 'P' THEN o_orderkey END) AS status_not_answered FROM orders GROUP BY o_custkey",
     "crosstab_missing_code": "SELECT o_custkey, count(CASE WHEN o_orderstatus = 'F' THEN 1 END) AS st_f, count(CASE WHEN o_orderstatus = 'O' THEN 1 END) AS st_o, count(CASE WHEN o_orderstatus = 'P' THEN 1 END) AS st_p, count(CASE WHEN o_orderstatus = 'X' THEN 1 END) AS st_x FROM orders GROUP BY o_custkey",
+    "crosstab_discovered": "SELECT o_custkey, " + ", ".join(
+        f"count(CASE WHEN o_orderpriority = '{c}' THEN o_orderkey END) AS {n}" for c, n in [
+            ("1-URGENT", "urgent"), ("2-HIGH", "high"), ("3-MEDIUM", "medium"), ("4-NOT SPECIFIED", "not_specified"), ("5-LOW", "low")]
+        ) + " FROM orders GROUP BY o_custkey",
     "institution_count_rollup": "SELECT c_nationkey, count(CASE WHEN o_orderstatus = 'F' THEN 1 END) AS st_f, count(CASE WHEN o_orderstatus = 'O' THEN 1 END) AS st_o, count(CASE WHEN o_orderstatus = 'P' THEN 1 END) AS st_n FROM orders JOIN customer ON o_custkey = c_custkey WHERE c_custkey % 7 <> 0 GROUP BY c_nationkey",
     "institution_score_mean": "WITH k AS (SELECT o_custkey, round_even(sum(o_totalprice::DECIMAL(18,2))::DOUBLE / count(o_totalprice) * 100, 0) / 100 AS score FROM orders GROUP BY o_custkey) SELECT c_nationkey, round_even(sum(score::DECIMAL(18,2))::DOUBLE / count(score) * 100, 0) / 100 AS score FROM k JOIN customer ON o_custkey = c_custkey WHERE c_custkey % 7 <> 0 GROUP BY c_nationkey",
     "institution_age_stats": "WITH k AS (SELECT o_custkey, avg(l_quantity) AS a, median(l_quantity) AS m, stddev_samp(l_quantity) AS s FROM orders JOIN lineitem ON o_orderkey = l_orderkey GROUP BY o_custkey) SELECT c_nationkey, round(avg(a), 4) AS mean_age, round(avg(m), 4) AS median_age, round(avg(s), 4) AS std_age FROM k JOIN customer ON o_custkey = c_custkey GROUP BY c_nationkey",

@@ -1,7 +1,9 @@
 from edumart.operators.checks import (  # noqa: F401
     count_rejects, domain_violations, duplicate_keys, long_domain_violations, require_columns)
 from edumart.operators.columns import drop_like, drop_null_keys, move_first, project, rename  # noqa: F401
-from edumart.operators.crosstab import answers_long, count_long, crosstab, profile, rollup, widen  # noqa: F401
+from edumart.operators.crosstab import (  # noqa: F401
+    CodeSetError, answers_long, count_long, crosstab, crosstab_discovered, discover_codes, label_by_position, profile, rollup,
+    widen)
 from edumart.operators.dedupe import dedupe_first  # noqa: F401
 from edumart.operators.joins import (  # noqa: F401
     chain_left, enrich, join_suffixed, null_safe_join)

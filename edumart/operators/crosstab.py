@@ -120,3 +120,47 @@ def profile(df: DataFrame, keys: Sequence[str], means: Sequence[tuple[str, Colum
     for code_col, code, name in cells:
         aggs.append(F.count(F.when(_c(code_col) == code, counted_col)).alias(name))
     return drop_null_keys(df, keys).groupBy(*keys).agg(*aggs)
+
+
+#: most codes one question may have; each becomes a column
+MAX_CODES = 256
+
+
+class CodeSetError(ValueError):
+    """The codes found are too many, or do not fit their labels."""
+
+
+def discover_codes(df: DataFrame, code, limit: int = MAX_CODES) -> list[str]:
+    """The distinct codes of a column in code-point order, missing ones left out.
+
+    ``df`` may be rows or their long counts (``count_long``), which are far
+    fewer. At most ``limit + 1`` codes reach the driver; beyond ``limit`` the
+    column is no answer code and is refused."""
+    found = df.select(_c(code).cast("string").alias(CODE)).dropna().distinct().limit(limit + 1).collect()
+    if len(found) > limit:
+        raise CodeSetError(f"more than {limit} codes, among them {sorted(r[0] for r in found)[:5]}")
+    return sorted(r[0] for r in found)
+
+
+def label_by_position(codes: Sequence[str], labels: Sequence[str]) -> list[tuple[str, str]]:
+    """``(code, label)``: the n-th code in order takes the n-th label. A code
+    that never occurs would shift all labels after it, so both lists must be
+    equally long, and labels must differ."""
+    if len(codes) != len(labels):
+        raise CodeSetError(f"{len(codes)} codes {list(codes)} for {len(labels)} labels {list(labels)}")
+    if len(set(labels)) < len(labels):
+        raise CodeSetError(f"labels repeat: {list(labels)}")
+    return list(zip(codes, labels))
+
+
+def crosstab_discovered(df: DataFrame, keys: Sequence[str], code, labels: Sequence[str] | None = None,
+                        prefix: str = "", counted=None, limit: int = MAX_CODES,
+                        fill: str | None = MISSING_CODE) -> DataFrame:
+    """Cross-tab with a column per code that occurs beside a key, in code order:
+    named by position from ``labels``, else ``prefix`` and the code. Rows
+    without a key bring no code. An empty table has the key columns only."""
+    rows = answers_long(df, keys, code, question=0, counted=counted, fill=fill)
+    codes = discover_codes(rows, CODE, limit)
+    named = label_by_position(codes, labels) if labels is not None else [(c, f"{prefix}{c}") for c in codes]
+    counts = count_long(rows, keys)
+    return widen(counts, keys, [(0, c, name) for c, name in named]) if named else counts.select(*keys).distinct()

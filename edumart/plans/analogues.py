@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from edumart.functions.scalar import exact_mean, fill_category, round_half_even
 from edumart.operators import (
-    answers_long, avg_of_stats, chain_left, count_long, count_rejects, crosstab, dedupe_first,
+    answers_long, avg_of_stats, chain_left, count_long, count_rejects, crosstab, crosstab_discovered, dedupe_first,
     desc_nulls_last_order, domain_violations, drop_like, drop_null_keys,
     duplicate_keys, enrich, join_suffixed, mean_of_means, mean_scores, move_first,
     null_safe_join, profile, project, rollup, union_editions, value_stats, value_stats_continuous,
@@ -372,6 +372,14 @@ def q_crosstab_missing_code(spark, sf):
     return crosstab(o, ["o_custkey"], "o_orderstatus", [("F", "st_f"), ("O", "st_o"), ("P", "st_p"), ("X", "st_x")])
 
 
+#: by position in the order of the codes found
+PRIORITY_LABELS = ["urgent", "high", "medium", "not_specified", "low"]
+
+
+def q_crosstab_discovered(spark, sf):
+    return crosstab_discovered(table(spark, sf, "orders"), ["o_custkey"], "o_orderpriority", PRIORITY_LABELS, counted="o_orderkey")
+
+
 def _course_to_nation(spark, sf, gaps=True):
     c = table(spark, sf, "customer")
     c = registered(c) if gaps else c
@@ -629,6 +637,7 @@ QUERIES = {
     "crosstab_count": q_crosstab_count,
     "crosstab_labelled": q_crosstab_labelled,
     "crosstab_missing_code": q_crosstab_missing_code,
+    "crosstab_discovered": q_crosstab_discovered,
     "institution_count_rollup": q_institution_count_rollup,
     "institution_score_mean": q_institution_score_mean,
     "institution_age_stats": q_institution_age_stats,

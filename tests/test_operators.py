@@ -5,8 +5,8 @@ from pyspark.sql import functions as F
 
 from edumart.functions import fill_category, round_half_even
 from edumart.operators import (
-    answers_long, avg_of_stats, count_long, crosstab, dedupe_first, desc_nulls_last_order,
-    domain_violations, drop_like, duplicate_keys, join_suffixed, mean_of_means, mean_scores,
+    CodeSetError, answers_long, avg_of_stats, count_long, crosstab, crosstab_discovered, dedupe_first, desc_nulls_last_order,
+    discover_codes, domain_violations, drop_like, duplicate_keys, join_suffixed, mean_of_means, mean_scores,
     move_first, null_safe_join, rollup, union_editions, value_stats, widen, with_position)
 
 
@@ -199,3 +199,31 @@ def test_continuous_stats_equal_plain_ones_without_gathering_the_hot_key(spark):
         assert got[k].mean == (pytest.approx(statistics.fmean(v)) if v else None)
         assert got[k].std == (pytest.approx(statistics.stdev(v)) if len(v) > 1 else None)
     assert value_stats_continuous(df.limit(0), ["k"], "v").count() == 0
+
+
+def test_crosstab_discovered_takes_the_codes_that_occur(spark):
+    rows = [(1, "B"), (1, "A"), (1, "A"), (2, None), (2, "é'x"), (None, "Z")]
+    df = spark.createDataFrame(rows, "c int, q string")
+    out = crosstab_discovered(df, ["c"], "q", prefix="q_")
+    assert out.columns == ["c", "q_A", "q_B", "q_N", "q_é'x"]          # the code without a key makes no column
+    assert {r[0]: tuple(r)[1:] for r in out.collect()} == {1: (2, 1, 0, 0), 2: (0, 0, 1, 1)}
+    named = crosstab_discovered(df, ["c"], "q", ["first", "second", "missing", "other"], fill="N")
+    assert named.columns == ["c", "first", "second", "missing", "other"] and named.count() == 2
+    # from counts already made
+    counts = count_long(answers_long(df, ["c"], "q", "Q"), ["c"])
+    assert discover_codes(counts, "code") == ["A", "B", "N", "é'x"]
+    unfilled = crosstab_discovered(df, ["c"], "q", fill=None)
+    assert unfilled.columns == ["c", "A", "B", "é'x"] and {r[0]: tuple(r)[1:] for r in unfilled.collect()}[2] == (0, 0, 1)
+
+
+def test_crosstab_discovered_refuses(spark):
+    df = spark.createDataFrame([(1, "A"), (1, "B"), (2, "C")], "c int, q string")
+    with pytest.raises(CodeSetError, match="3 codes .* for 2 labels"):
+        crosstab_discovered(df, ["c"], "q", ["a", "b"])
+    with pytest.raises(CodeSetError, match="repeat"):
+        crosstab_discovered(df, ["c"], "q", ["a", "b", "a"])
+    with pytest.raises(CodeSetError, match="more than 2 codes"):
+        crosstab_discovered(df, ["c"], "q", limit=2)
+    assert len(crosstab_discovered(df, ["c"], "q", limit=3).columns) == 4
+    empty = crosstab_discovered(df.limit(0), ["c"], "q")
+    assert empty.columns == ["c"] and empty.count() == 0

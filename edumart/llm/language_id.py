@@ -21,7 +21,7 @@ A row is rejected (``kept`` false) if its text has no trigram or the best
 posterior is below ``MIN_POSTERIOR`` or belongs to "und".
 
 Scale: three reads of the texts (train, evidence counts, verdict), no text is
-shuffled. Every count table is a grouped aggregate with map-side combining, so
+shuffled; texts travel to Python in batches of bounded bytes (``bound_batches``). Every count table is a grouped aggregate with map-side combining, so
 a host with a third of all rows is one row of it; rows join the host table by
 key with skew splitting, or by broadcast when its measured size allows. The
 likelihood table holds the cells that occur, per language of the inventory:
@@ -45,6 +45,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from edumart.llm.common import fresh, materialize, table
+from edumart.session import bound_batches
 
 BUCKETS = 1 << 14
 TEMPER = 0.2
@@ -262,6 +263,7 @@ def fuse(slim: DataFrame, langs: list[str], said: DataFrame, hosts: DataFrame, i
 
 def identify(df: DataFrame, text: Column, declared: Column, address: Column, into: str) -> DataFrame:
     """``df`` plus the struct column ``into`` (language, posterior, kept)."""
+    bound_batches(df.sparkSession)
     t, d, h, ll = fresh(df, "lid_text", "lid_declared", "lid_host", "lid_ll")
     own = df.columns
     rows = df.withColumns({t: text, d: primary_subtag(declared), h: host_of(address)})

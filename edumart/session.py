@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -84,3 +86,40 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never-reused folder under the shared checkpoint root."""
     return f"{checkpoint_root(spark)}/edumart-scratch/{name}-{uuid.uuid4().hex}"
+
+
+#: rows of the input that a task after a shuffle is sized for, and bytes of shuffled data AQE may give it
+ROWS_A_TASK, BYTES_A_TASK = 200_000, 32 << 20
+
+
+@contextmanager
+def sized(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Jobs run inside deal their shuffles to as many tasks as ``rows`` rows ask
+    for, never to fewer than the session sets, so that what a task sorts or
+    hashes does not grow with the input. The session's settings return after."""
+    parts, target = "spark.sql.shuffle.partitions", "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    was = {k: spark.conf.get(k, None) for k in (parts, target)}
+    spark.conf.set(parts, str(max(int(spark.conf.get(parts)), -(-rows // ROWS_A_TASK))))
+    spark.conf.set(target, str(min(_bytes(spark, target), BYTES_A_TASK)))
+    try:
+        yield
+    finally:
+        for k, v in was.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+#: bytes of an Arrow batch of texts; the JVM and the Python worker hold about two batches each
+BYTES_A_BATCH = 4 << 20
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Arrow batches of the session hold ``BYTES_A_BATCH`` at most, unless the
+    user has set a bound. Rows of numbers stay below it and keep their batches
+    of 10,000 rows; so many texts would be tens of MB."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(name, None) is None:
+        spark.conf.set(name, str(BYTES_A_BATCH))
+
+
+def _bytes(spark: SparkSession, name: str) -> int:
+    return spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(name))

@@ -156,3 +156,30 @@ def test_many_declared_codes_make_no_longer_plan(spark):
     got = language_id.identify(df, F.col("text"), F.col("lang"), F.col("source"), "v")
     assert len(got._jdf.queryExecution().analyzed().toString()) < 200_000
     assert got.count() == 330
+
+
+def test_language_id_bounds_the_bytes_of_a_batch(spark):
+    import pyarrow as pa
+    from pyspark.sql import functions as F
+
+    from edumart.llm.language_id import filter_language
+    from edumart.session import BYTES_A_BATCH
+
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    spark.conf.unset(name)
+    docs = spark.range(0, 2000, 1, 1).select(
+        F.col("id").alias("doc_id"), F.repeat(F.lit("some plain words "), 500).alias("text"), F.lit("en").alias("lang"), F.lit("a.org").alias("source"))
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows]), pa.array([b.nbytes])], names=["n", "size"])
+
+    try:
+        assert filter_language(docs).count() == 2000
+        got = docs.select("text").mapInArrow(sizes, "n long, size long").collect()
+        assert sum(r.n for r in got) == 2000 and max(r["size"] for r in got) < 1.1 * BYTES_A_BATCH
+        spark.conf.set(name, str(1 << 20))                       # the user's own bound stays
+        filter_language(docs.limit(5))
+        assert spark.conf.get(name) == str(1 << 20)
+    finally:
+        spark.conf.unset(name)

@@ -165,7 +165,8 @@ def land_extracts(spark: SparkSession, root: str, editions: Sequence[int], lake_
     read columnar, prunable tables instead of re-parsing Latin-1 text.
 
     What each file held (rows, records of the wrong width, unreadable ones) is
-    counted by the same write into the table ``accounting``.
+    counted by the same write into the silver table ``accounting`` (read with
+    ``read_layer``; the paths returned are those of the relations).
 
     Files the layout expects but the folder lacks are reported (key
     ``"absent"``) and that relation is landed for the other editions only,
@@ -190,8 +191,8 @@ def land_extracts(spark: SparkSession, root: str, editions: Sequence[int], lake_
             accounts.append((name, ed, file, *(n[c] for c in COUNTS)))
     if accounts:
         schema = "relation string, edition int, file_name string, " + ", ".join(f"{c} long" for c in COUNTS)
-        out["accounting"] = write_layer(spark.createDataFrame(accounts, schema), lake_root, "silver", "accounting", run_date,
-                                        [EDITION], keep_other_partitions=True)
+        write_layer(spark.createDataFrame(accounts, schema), lake_root, "silver", "accounting", run_date,
+                    [EDITION], keep_other_partitions=True)
     return out
 
 

@@ -32,7 +32,7 @@ from edumart.operators import (
     widen, with_position)
 from edumart.plans.incremental import (
     FILE, Delivery, answer_state, land, level_state, merged_counts, merged_levels, merged_scores, score_state)
-from edumart.session import scratch_path
+from edumart.session import scratch_path, sized
 from edumart.sources import (
     COUNTS, LATIN1, REJECTED, land_counted, Snapshot, commit, read_snapshot, resolve, run_atomic, write_run, write_runs, manifest_report, publish_layer, read_delimited, read_layer, read_mart, route_by_filename,
     write_delimited, write_layer, write_mart)
@@ -565,11 +565,13 @@ def q_mart_incremental(spark, sf):
     lake = scratch_path(spark, "incremental")
     states, marts = f"{lake}/states", f"{lake}/mart"
     late = edition() == 1997
-    for rows, name in zip(_delivered(spark, sf, ~late | (F.col("o_orderkey") % 3 == 0)), ("facts", "ages")):
-        rows = rows.withColumn("score", F.when(F.col("edition") == 1997, F.col("score") + 100).otherwise(F.col("score"))) if name == "facts" else rows
-        write_mart(rows, f"{lake}/first/{name}", partition_by=["edition"])
-    for rows, name in zip(_delivered(spark, sf, late), ("facts", "ages")):
-        write_mart(rows, f"{lake}/second/{name}", partition_by=["edition"])
+    n_rows = sum(table(spark, sf, t).count() for t in ("orders", "lineitem"))
+
+    def bring(folder: str, where: Column, shift: int) -> None:
+        for rows, name in zip(_delivered(spark, sf, where), ("facts", "ages")):
+            if shift and name == "facts":
+                rows = rows.withColumn("score", F.when(F.col("edition") == 1997, F.col("score") + shift).otherwise(F.col("score")))
+            write_mart(rows, f"{lake}/{folder}/{name}", partition_by=["edition"])
 
     def deliver(folder: str) -> Snapshot:
         facts, ages_ = (spark.read.parquet(f"{lake}/{folder}/{n}") for n in ("facts", "ages"))
@@ -580,10 +582,14 @@ def q_mart_incremental(spark, sf):
         mart = _analogue_mart(read_snapshot(spark, states, landed, list(files)))
         return commit(spark, marts, base, write_runs(mart, marts, F.col("edition").cast("string"), [str(e) for e in editions]))
 
-    deliver("first")
-    mart = read_snapshot(spark, marts, deliver("second"))
-    mart = enrich(mart, _mart_registry(spark, sf), "course", how="left")
-    return mart.select("edition", "course", "score", "c_nationkey", "n_name", "c_mktsegment", *CELL_NAMES, *AGE_NAMES)
+    with sized(spark, n_rows):
+        bring("first", ~late | (F.col("o_orderkey") % 3 == 0), 100)
+        bring("second", late, 0)
+        deliver("first")
+        mart = read_snapshot(spark, marts, deliver("second"))
+        mart = enrich(mart, _mart_registry(spark, sf), "course", how="left")
+        mart = mart.select("edition", "course", "score", "c_nationkey", "n_name", "c_mktsegment", *CELL_NAMES, *AGE_NAMES)
+        return spark.read.schema(mart.schema).parquet(write_mart(mart, f"{lake}/enriched"))
 
 
 def q_snapshot_read(spark, sf):

@@ -19,7 +19,9 @@ folders. Readers see the marts of before or after, never a mixture (see
 Scale: the text of a file is parsed once in its life. States have a row per
 (course, code) or (course, level) and file, made by partial aggregates, so a
 course with a third of all rows is no larger than others. A mart part is
-computed from the states of its editions only.
+computed from the states of its editions only. States and marts are written with
+tasks sized by the rows read (``session.sized``): what a task joins, aggregates
+and sorts for its files stays the same when the input grows.
 """
 
 from __future__ import annotations
@@ -41,9 +43,12 @@ from edumart.plans.marts import (
 from edumart.schemas import (
     AGE_COL, AGE_STATS, COUNTED, COURSE, COURSE_REGISTRY, EDITION, INSTITUTION, INSTITUTION_REGISTRY, QUESTIONS, SCORE_COLS,
     Question)
+from edumart.session import sized
 from edumart.sources import (
     REJECTED, Part, Snapshot, commit, file_digests, file_stamps, read_snapshot, resolve, write_runs)
 
+#: bytes of an extract's text that count as a row when the tasks of its parse are sized
+ROW_BYTES = 32
 STATE = "kind string, item string, code string, level double, n long, total decimal(38,18)"
 FILE = "_file"
 
@@ -225,7 +230,8 @@ def refresh_marts(spark: SparkSession, root: str, editions: Sequence[int], lake:
         d = compare(spark, root, files, base, [f for f in files if f in base.parts])
         if d.changed or d.same or d.gone:
             rows = make(spark, root, {f: of[f] for f in d.changed}, layout, questions)
-            now[name] = land(spark, rows, table, base, d)
+            with sized(spark, sum(i["length"] for i in d.changed.values()) // ROW_BYTES):
+                now[name] = land(spark, rows, table, base, d)
         changed += sorted(d.changed)
         gone += d.gone
 
@@ -243,6 +249,7 @@ def refresh_marts(spark: SparkSession, root: str, editions: Sequence[int], lake:
                 raise ValueError(f"editions {todo}: no facts or no registries under {root}")
             rows = [read_snapshot(spark, f"{silver}/{name}", now[name], files[name]) for name in ("states", "registries")]
             mart = labelled(marts_from_states(*rows, questions)[n], questions)
-            parts = write_runs(mart, tables[n], F.col(EDITION).cast("string"), [str(e) for e in todo], {str(e): facts(e) for e in todo})
+            with sized(spark, sum(r.count() for r in rows)):
+                parts = write_runs(mart, tables[n], F.col(EDITION).cast("string"), [str(e) for e in todo], {str(e): facts(e) for e in todo})
             commit(spark, tables[n], bases[n], parts)
     return Refresh(changed, gone, sorted({e for todo in stale.values() for e in todo}))

@@ -88,19 +88,23 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/edumart-scratch/{name}-{uuid.uuid4().hex}"
 
 
-#: rows of the input that a task after a shuffle is sized for, and bytes of shuffled data AQE may give it
-ROWS_A_TASK, BYTES_A_TASK = 200_000, 32 << 20
+#: rows of the input that a task after a shuffle is sized for; bytes of files or of shuffled data a task may get
+ROWS_A_TASK, BYTES_A_TASK = 200_000, 16 << 20
 
 
 @contextmanager
 def sized(spark: SparkSession, rows: int) -> Iterator[None]:
     """Jobs run inside deal their shuffles to as many tasks as ``rows`` rows ask
-    for, never to fewer than the session sets, so that what a task sorts or
-    hashes does not grow with the input. The session's settings return after."""
-    parts, target = "spark.sql.shuffle.partitions", "spark.sql.adaptive.advisoryPartitionSizeInBytes"
-    was = {k: spark.conf.get(k, None) for k in (parts, target)}
+    for, never to fewer than the session sets, and read files in splits of
+    ``BYTES_A_TASK`` at most, so that what a task sorts or hashes, also to combine
+    rows before a shuffle, does not grow with the input. The session's settings
+    return after."""
+    parts, *targets = ("spark.sql.shuffle.partitions", "spark.sql.adaptive.advisoryPartitionSizeInBytes",
+                       "spark.sql.files.maxPartitionBytes")
+    was = {k: spark.conf.get(k, None) for k in (parts, *targets)}
     spark.conf.set(parts, str(max(int(spark.conf.get(parts)), -(-rows // ROWS_A_TASK))))
-    spark.conf.set(target, str(min(_bytes(spark, target), BYTES_A_TASK)))
+    for k in targets:
+        spark.conf.set(k, str(min(_bytes(spark, k), BYTES_A_TASK)))
     try:
         yield
     finally:

@@ -14,6 +14,7 @@ import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 import xxhash
+from pyspark.sql import DataFrameWriter
 
 import corpus_pipeline
 from edumart.llm import (bpe, embedding_dedup, language_id, license_scan, mixing, packing, pitman_yor,
@@ -320,6 +321,31 @@ def test_lm_beats_the_base_on_held_out_texts(spark):
     assert sum(r["score"] for r in rows) > sum(r["base_score"] for r in rows)
 
 
+def test_lm_keeps_its_tables_small(spark, tmp_dir, monkeypatch):
+    """Tables of training go as soon as they are used: their largest sum on the way
+    and what is left for the result are bounded by the text."""
+    rng = np.random.default_rng(11)
+    words = np.minimum(rng.zipf(1.3, 300_000), 50_000)
+    texts = [" ".join(f"w{w:x}" for w in part) for part in np.split(words, 1000)]
+    pq.write_table(pa.table({"doc_id": pa.array(range(1000), pa.int64()), "text": texts}), f"{tmp_dir}/documents.parquet")
+    root = re.sub("^file:/*", "/", scratch_path(spark, "x").rsplit("/", 1)[0])
+    size = lambda: sum(os.path.getsize(f"{d}/{f}") for d, _, fs in os.walk(root) for f in fs)
+    before, held, write = size(), [], DataFrameWriter.parquet
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda self, *a, **k: (write(self, *a, **k), held.append(size() - before))[0])
+    rows = QUERIES["op6_lm_scoring"](spark, tmp_dir).collect()
+    assert len(rows) == 1000 and {r.train_tokens for r in rows} == {sum(r.n_tokens for r in rows if not r.held_out)}
+    text = sum(map(len, texts))
+    assert 0 < size() - before < 1.2 * text and max(held) < 2 * text, ((size() - before) / text, max(held) / text)
+
+
+def test_lm_packed_columns_come_back():
+    for n in (0, 1, 2, 1000):
+        columns = [np.arange(n) - 5 << 40, np.linspace(-3, 3, n), np.arange(n, dtype=np.int32), np.ones(n, np.int8), np.arange(3)]
+        back = pitman_yor.unpack(pitman_yor.pack(*columns))
+        assert [(x.dtype, x.tolist()) for x in back] == [(x.dtype, x.tolist()) for x in columns]
+        assert all(x.flags.writeable for x in back) and np.cumsum(pitman_yor.steps_of(columns[0])).tolist() == columns[0].tolist()
+
+
 @pytest.mark.parametrize("c, a0, d", [(2, 0.3, 0.75), (40, 2.0, 0.75), (400, 0.02, 0.6)])
 def test_lm_seating_follows_the_rule(c, a0, d):
     """Tables drawn for many dishes against the exact distribution."""

@@ -189,7 +189,7 @@ def seat(key: np.ndarray, sweep: int, c: np.ndarray, a0: np.ndarray, da: np.ndar
         a, n = a0[live] + da[live] * t[live], i[live]
         k = np.minimum(np.maximum(1, n // 64), c[live] - n)
         p, u = a / (a + n - d * t[live]), uniform(key[live], sweep, step)
-        t[live] += u < p if k.max() == 1 else binomial(u, uniform(key[live], sweep, step + 1), k, p)
+        t[live] += u < p if k.max() == 1 else np.where(k == 1, u < p, binomial(u, uniform(key[live], sweep, step + 1), k, p))
         i[live] += k
         step += 2
         live = live[i[live] < c[live]]

@@ -338,6 +338,14 @@ def test_lm_keeps_its_tables_small(spark, tmp_dir, monkeypatch):
     assert 0 < size() - before < 1.2 * text and max(held) < 2 * text, ((size() - before) / text, max(held) / text)
 
 
+def test_lm_seating_does_not_depend_on_the_batch():
+    n = 4000
+    key, c = np.arange(n, dtype=np.uint64) * np.uint64(2654435761), np.where(np.arange(n) % 2, 400.0, 129 + np.arange(n) % 70)
+    draw = lambda s: pitman_yor.seat(key[s], 1, c[s], np.full(len(c[s]), 2.0), np.full(len(c[s]), 0.5), 0.75)
+    whole = draw(slice(None))
+    assert draw(slice(0, None, 2)).tolist() == whole[::2].tolist() and draw(slice(0, 7)).tolist() == whole[:7].tolist()
+
+
 def test_lm_packed_columns_come_back():
     for n in (0, 1, 2, 1000):
         columns = [np.arange(n) - 5 << 40, np.linspace(-3, 3, n), np.arange(n, dtype=np.int32), np.ones(n, np.int8), np.arange(3)]

@@ -343,7 +343,8 @@ def test_lm_seating_does_not_depend_on_the_batch():
     key, c = np.arange(n, dtype=np.uint64) * np.uint64(2654435761), np.where(np.arange(n) % 2, 400.0, 129 + np.arange(n) % 70)
     draw = lambda s: pitman_yor.seat(key[s], 1, c[s], np.full(len(c[s]), 2.0), np.full(len(c[s]), 0.5), 0.75)
     whole = draw(slice(None))
-    assert draw(slice(0, None, 2)).tolist() == whole[::2].tolist() and draw(slice(0, 7)).tolist() == whole[:7].tolist()
+    last = np.flatnonzero(c == 129)                     # one customer is left when the others come in twos
+    assert len(last) > 50 and draw(last).tolist() == whole[last].tolist()
 
 
 def test_lm_packed_columns_come_back():
